@@ -8,8 +8,6 @@ ever held whole by one task.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +17,10 @@ SALTS = 64
 
 def inline_array(dim: DataFrame, limit: int = MAX_INLINE) -> Column | None:
     """The rows of ``dim`` as one array-of-struct literal, or None beyond ``limit``."""
-    rows = dim.limit(limit + 1).collect()
+    rows = dim.select(F.to_json(F.struct("*")).alias("j")).limit(limit + 1).collect()
     if len(rows) > limit:
         return None
-    text = json.dumps([r.asDict(recursive=True) for r in rows])
+    text = "[" + ",".join(r.j for r in rows) + "]"
     ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in dim.schema.fields)
     return F.from_json(F.lit(text), f"array<struct<{ddl}>>")
 

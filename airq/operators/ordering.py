@@ -87,20 +87,20 @@ def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after:
     return spread.withColumns(build(w)).filter(F.col("_chunk") == F.col("_own")).drop("_t", "_own", "_chunk")
 
 
-def running_sum(df: DataFrame, keys: list[str], time: str, value: str, out: str,
-                tie: list[str] | None = None, seconds: int = BLOCK_SECONDS) -> DataFrame:
-    """Inclusive cumulative sum of ``value`` by time within the keys."""
+def running_sums(df: DataFrame, keys: list[str], time: str, sums: dict[str, str],
+                 tie: list[str] | None = None, seconds: int = BLOCK_SECONDS) -> DataFrame:
+    """Inclusive cumulative sums by time within the keys; ``sums`` maps new column to summed column."""
     blocked = with_block(df, time, seconds)
-    sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_s"))
+    per = blocked.groupBy(*keys, "_block").agg(*[F.sum(v).alias(f"_s_{o}") for o, v in sums.items()])
     before = W.partitionBy(*_keys(keys)).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    carry = sums.select(*keys, "_block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_c"))
+    carry = per.select(*keys, "_block", *[
+        F.coalesce(F.sum(f"_s_{o}").over(before), F.lit(0)).alias(f"_c_{o}") for o in sums
+    ])
     inside = W.partitionBy(*keys, "_block").orderBy(time, *(tie or [])).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        blocked.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(carry, [*keys, "_block"])
-        .withColumn(out, F.col("_c") + F.col("_in"))
-        .drop("_block", "_in", "_c")
-    )
+    local = blocked.withColumns({f"_i_{o}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for o, v in sums.items()})
+    out = {o: F.col(f"_c_{o}") + F.col(f"_i_{o}") for o in sums}
+    return local.join(carry, [*keys, "_block"]).withColumns(out).drop(
+        "_block", *[f"_{k}_{o}" for o in sums for k in "ic"])
 
 
 def fill_missing(df: DataFrame, keys: list[str], time: str, cols: list[str], forward: bool = True,
