@@ -9,6 +9,7 @@ from airq import catalog as C
 from airq.functions.classes import flag
 from airq.functions.clock import epoch
 from airq.operators.ordering import fill_missing, number_rows, row_windows, running_sums
+from airq.session import materialize
 
 TIERS = [("watch", C.WATCH_PPB), ("critical", C.CRITICAL_PPB)]
 
@@ -28,7 +29,8 @@ def exceedance_events(readings: DataFrame, keys: list[str], as_of=None, time: st
     that find no quiet spell belong to no event.
     """
     k = [*keys, "tier"]
-    up = exceedances(readings, h2s, tiers)
+    # the passes below read this few-percent subset several times
+    up = materialize(exceedances(readings, h2s, tiers), "exceedances")
     gap = row_windows(number_rows(up, k, time), k, 1, 0, lambda w: {
         "_gap": epoch(F.col(time)) - epoch(F.lag(time).over(w))})
     marked = gap.withColumns({
@@ -62,15 +64,16 @@ def debounce(records: DataFrame, keys: list[str], time: str = "evaluated_at", re
     d = records.withColumns({
         "_f": flag(F.col("fired")), "_c": flag(~F.col("fired") & (F.col("score") < clear_below)),
     })
-    d = running_sums(d, keys, time, {"_fires": "_f", "_clears": "_c"})
+    # each pass reads its input twice, so the history is written once between them
+    d = running_sums(materialize(d, "cells"), keys, time, {"_fires": "_f", "_clears": "_c"})
     d = d.withColumns({"_mark": F.when(F.col("fired"), F.col("_clears")), "_last": F.when(F.col("fired"), F.col(time))})
-    d = fill_missing(d, keys, time, ["_mark", "_last"])
+    d = fill_missing(materialize(d, "cells"), keys, time, ["_mark", "_last"])
     since = F.col("_clears") - F.col("_mark")
     d = d.withColumns({
         "clear_cycles": F.least(F.coalesce(since, F.lit(0)), F.lit(clears)),
         "active": (F.col("_fires") > 0) & (F.coalesce(since, F.lit(0)) < clears),
     })
-    d = row_windows(number_rows(d, keys, time), keys, 1, 0, lambda w: {
+    d = row_windows(number_rows(materialize(d, "cells"), keys, time), keys, 1, 0, lambda w: {
         "_was": F.lag("active").over(w), "_prev": F.lag("_last").over(w)})
     silent = epoch(F.col(time)) - epoch(F.col("_prev")) >= refire_h * 3600
     return d.withColumn(

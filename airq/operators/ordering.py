@@ -31,9 +31,13 @@ def with_block(df: DataFrame, time: str, seconds: int = BLOCK_SECONDS) -> DataFr
 
 
 def number_rows(df: DataFrame, keys: list[str], time: str, tie: list[str] | None = None,
-                seconds: int = BLOCK_SECONDS) -> DataFrame:
-    """Add ``seq`` (1-based row number by time within the keys) and ``total``."""
-    blocked = with_block(df, time, seconds)
+                seconds: int = BLOCK_SECONDS, block: Column | None = None) -> DataFrame:
+    """Add ``seq`` (1-based row number by time within the keys) and ``total``.
+
+    ``block`` replaces the time block where the order column is not a time; it must
+    never decrease along the order.
+    """
+    blocked = with_block(df, time, seconds) if block is None else df.withColumn("_block", block)
     counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     whole = W.partitionBy(*_keys(keys))
     offsets = counts.select(

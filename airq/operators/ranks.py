@@ -19,16 +19,17 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log(F.abs(value) + 1.0) * 256.0)
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
+def value_counts(df: DataFrame, keys: list[str], value: str, extra: dict[str, Column] | None = None,
+                 weight: Column | None = None) -> DataFrame:
     """One row per (keys, value): ``n``, rows ``below`` it, group ``total``.
 
-    ``extra`` are further aggregates per value.
+    ``extra`` are further aggregates per value; ``weight`` counts a row several times.
     """
     counted = (
         df.filter(F.col(value).isNotNull())
         .withColumn("_bkt", _bucket(F.col(value)))
         .groupBy(*keys, "_bkt", value)
-        .agg(F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in (extra or {}).items()])
+        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"), *[c.alias(k) for k, c in (extra or {}).items()])
     )
     totals = counted.groupBy(*keys, "_bkt").agg(F.sum("n").alias("_n"))
     whole = W.partitionBy(*([F.col(k) for k in keys] or [F.lit(0)]))
@@ -46,9 +47,9 @@ def value_counts(df: DataFrame, keys: list[str], value: str, extra: dict[str, Co
     )
 
 
-def average_ranks(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+def average_ranks(df: DataFrame, keys: list[str], value: str, out: str, weight: Column | None = None) -> DataFrame:
     """(keys, value, ``out``): the mean 1-based rank of each distinct value."""
-    vc = value_counts(df, keys, value)
+    vc = value_counts(df, keys, value, weight=weight)
     return vc.select(*keys, value, (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias(out))
 
 
@@ -83,15 +84,17 @@ def medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 
 
 def spearman(df: DataFrame, keys: list[str], y: str, p: str, least: int = 3) -> DataFrame:
-    """(keys, n, spearman): rank correlation of the complete pairs; null below ``least``."""
+    """(keys, n, spearman): rank correlation of the complete pairs; null below ``least``.
+
+    Both rankings start from the merged pairs, so the rows are read and shuffled once.
+    """
     pairs = (
         df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
         .groupBy(*keys, y, p).agg(F.count(F.lit(1)).alias("m"))
     )
-    rows = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-    ranked = salted_join(pairs, average_ranks(rows, keys, y, "ry"), [*keys, y])
-    ranked = salted_join(ranked, average_ranks(rows, keys, p, "rp"), [*keys, p])
     m = F.col("m")
+    ranked = salted_join(pairs, average_ranks(pairs, keys, y, "ry", m), [*keys, y])
+    ranked = salted_join(ranked, average_ranks(pairs, keys, p, "rp", m), [*keys, p])
     s = ranked.groupBy(*keys).agg(
         F.sum("m").alias("n"),
         F.sum(m * F.col("ry")).alias("sy"), F.sum(m * F.col("rp")).alias("sp"),

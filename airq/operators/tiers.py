@@ -3,87 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq import catalog as C
 from airq.functions.classes import flag, truth
 from airq.functions.clock import epoch, night
-from airq.operators.dims import pair_with
-from airq.operators.ordering import time_windows
 from airq.operators.ranks import quantiles
 
 MEANS = ["sbiwtp_flow_mgd", "sbiwtp_anomaly", "sbiwtp_sli", "sbiwtp_deficit", "precipitation", "flow_log",
          "wind_speed_10m", "stable_atm", "temperature_2m", "dewpoint_2m", "surface_pressure"]
-CELL = ["n", *MEANS, "wind_speed_min", "temp_min", "night_share", "wind_u", "wind_v"]
 GATE_WIND, GATE_TEMP, GATE_DEW, GATE_STABLE = 4.0, 13.0, 11.0, 0.6
 PPB = dict(C.TIER_PPB)
 
 
-def evaluation_spine(obs: DataFrame, stations: DataFrame, group: list[str], time: str = "obs_time") -> DataFrame:
-    """Hourly evaluation times of each group, up to a day before its last hour, per station."""
-    ends = obs.groupBy(*group).agg(F.min(time).alias("a"), F.max(time).alias("b"))
-    first = F.date_trunc("hour", F.col("a") + F.expr("INTERVAL 3599999999 MICROSECONDS"))
-    last = F.date_trunc("hour", "b") - F.expr("INTERVAL 24 HOURS")
-    spans = ends.withColumns({"a": first, "b": last}).filter("a <= b")
-    times = spans.select(*group, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 HOUR"))).alias(time))
-    return pair_with(times, stations.select("site_name"))
+def group_facts(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
+                primary: str = C.PRIMARY_STATION) -> DataFrame:
+    """Per group: first and last evaluation hour (a day before the last reading),
+    whether the primary station reports at all, and how many stations carry h2s."""
+    first = F.date_trunc("hour", F.min(time) + F.expr("INTERVAL 3599999999 MICROSECONDS"))
+    last = F.date_trunc("hour", F.max(time)) - F.expr("INTERVAL 24 HOURS")
+    return obs.groupBy(*group).agg(
+        first.alias("first_eval"), last.alias("last_eval"), F.bool_or(F.col("site_name") == primary).alias("has_primary"),
+        F.count_distinct(F.when(F.col(h2s).isNotNull(), F.col("site_name"))).alias("n_active"))
 
 
-def horizon_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
-                  horizons=C.HORIZONS) -> DataFrame:
+def horizon_cells(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
+                  horizons=C.HORIZONS, seconds: int = 7 * 86400) -> DataFrame:
     """(group, evaluated_at, site, horizon): aggregates over the rows of
-    [t + start, t + end) at that site.
+    [t + start, t + end) at that site; windows without rows are absent.
 
-    Spine and readings share one time line; all horizons are forward frames of the
-    same sort, so the readings are shuffled once however many horizons there are.
+    A reading belongs to one evaluation hour per hour of look-ahead.  Readings are
+    shuffled once, by station and time chunk (with copies for evaluation hours of
+    the chunk before), and open into their hours only behind that shuffle, where the
+    same partitioning serves the aggregation.
     """
     rad = F.radians("wind_direction_10m")
+    reach = (max(b for _, _, b in horizons) - 1) * 3600
+    t = F.col("_t")
+    chunk = lambda x: F.floor(x / F.lit(seconds))
     rows = obs.select(
-        *group, "site_name", time, *MEANS, F.col(h2s).alias("_h2s"), F.lit(1).alias("_row"),
-        (-F.col("wind_speed_10m") * F.sin(rad)).alias("_u"), (-F.col("wind_speed_10m") * F.cos(rad)).alias("_v"),
-        night(F.col(time), "local").alias("_night"))
-    line = rows.unionByName(evaluation_spine(obs, stations, group, time).withColumn("_spine", F.lit(True)), allowMissingColumns=True)
-
-    def build(w):
-        out = {}
-        for name, a, b in horizons:
-            f = w.rangeBetween(a * 3600, b * 3600 - 1)
-            cols = [F.count("_row").over(f).alias("n")]
-            cols += [F.avg(c).over(f).alias(c) for c in MEANS]
-            cols += [
-                F.min("wind_speed_10m").over(f).alias("wind_speed_min"), F.min("temperature_2m").over(f).alias("temp_min"),
-                F.avg("_night").over(f).alias("night_share"), F.avg("_u").over(f).alias("wind_u"), F.avg("_v").over(f).alias("wind_v"),
-                F.max("_h2s").over(f).alias("h2s_max"),
-            ]
-            cols += [F.min(F.when(F.col("_h2s") >= p, F.col("_t"))).over(f).alias(f"first_{t}") for t, p in C.TIER_PPB]
-            out[f"_{name}"] = F.struct(F.lit(name).alias("horizon"), *cols)
-        return out
-
-    reach = max(b for _, _, b in horizons) * 3600
-    seen = time_windows(line, [*group, "site_name"], time, 0, reach, build).filter("_spine")
-    return seen.select(*group, F.col(time).alias("evaluated_at"), "site_name", F.inline(F.array(*[f"_{n}" for n, _, _ in horizons])))
-
-
-def horizon_features(cells: DataFrame, obs: DataFrame, group: list[str], h2s: str = "h2s",
-                     primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION) -> DataFrame:
-    """Cells with the met fallback applied: an empty station window takes the met
-    window, which is the primary station's or, where a group has none, the backup's.
-    """
-    known = obs.groupBy(*group).agg(
-        F.bool_or(F.col("site_name") == primary).alias("_has"),
-        F.count_distinct(F.when(F.col(h2s).isNotNull(), F.col("site_name"))).alias("n_active"))
-    joined = cells.join(known, group)
-    met_site = F.when(F.col("_has"), primary).otherwise(backup)
-    own = F.struct(*CELL)
-    w = W.partitionBy(*group, "evaluated_at", "horizon")
-    met = F.max(F.when((F.col("site_name") == met_site) & (F.col("n") > 0), own)).over(w)
-    eff = F.when(F.col("n") > 0, own).otherwise(F.col("_met"))
-    with_met = joined.withColumn("_met", met).withColumn("cell", eff)
-    return with_met.select(
-        *group, "evaluated_at", "horizon", "site_name", "n_active", (~F.col("_has")).alias("degraded"),
-        truth(F.col("_met.night_share") < 0.75).alias("met_daytime"), "cell", "h2s_max",
-        *[f"first_{t}" for t, _ in C.TIER_PPB])
+        *group, "site_name", epoch(F.date_trunc("hour", time)).alias("_t"), epoch(F.col(time)).alias("_at"), *MEANS,
+        F.col(h2s).alias("_h2s"), (-F.col("wind_speed_10m") * F.sin(rad)).alias("_u"),
+        (-F.col("wind_speed_10m") * F.cos(rad)).alias("_v"), night(F.col(time), "local").alias("_night"))
+    placed = rows.withColumn("_chunk", F.explode(F.array_distinct(F.array(chunk(t), chunk(t - reach)))))
+    placed = placed.repartition(*group, "site_name", "_chunk")
+    steps = F.array(*[F.struct(F.lit(n).alias("horizon"), F.lit(o * 3600).alias("_ahead")) for n, a, b in horizons for o in range(a, b)])
+    opened = placed.select("*", F.inline(steps)).withColumn("_e", t - F.col("_ahead")).filter(chunk(F.col("_e")) == F.col("_chunk"))
+    cells = opened.groupBy(*group, "site_name", "_chunk", "_e", "horizon").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in MEANS], F.min("wind_speed_10m").alias("wind_speed_min"),
+        F.min("temperature_2m").alias("temp_min"), F.avg("_night").alias("night_share"), F.avg("_u").alias("wind_u"), F.avg("_v").alias("wind_v"),
+        F.max("_h2s").alias("h2s_max"), *[F.min(F.when(F.col("_h2s") >= p, F.col("_at"))).alias(f"first_{n}") for n, p in C.TIER_PPB])
+    return cells.withColumn("evaluated_at", F.timestamp_seconds("_e")).drop("_chunk", "_e")
+
+
+def mean_direction(u: Column, v: Column) -> Column:
+    """Direction the mean wind comes from; null for a zero vector."""
+    deg = F.pmod(F.degrees(F.atan2(-u, -v)), F.lit(360.0))
+    return F.when((u != 0) | (v != 0), deg)
 
 
 def score(cell: str, weights: dict[str, float], single: Column) -> Column:
@@ -93,7 +69,7 @@ def score(cell: str, weights: dict[str, float], single: Column) -> Column:
         parts = []
         for stats in (C.SINGLE_STATION_STATS, C.QUIET_STATS):
             mean, std = stats[name]
-            parts.append((F.col(f"{cell}.{name}") - mean) / std * weight if std else F.lit(0.0))
+            parts.append((F.col(f"{cell}_{name}") - mean) / std * weight if std else F.lit(0.0))
         total = total + F.coalesce(F.when(single, parts[0]).otherwise(parts[1]), F.lit(0.0))
     return F.least(F.lit(0.95), F.lit(1.0) / (F.exp(-total) + 1.0))
 
@@ -102,38 +78,65 @@ def contributions(cell: str, weights: dict[str, float], single: Column) -> Colum
     """Array of (abs_z, feature, value, z, weight) of the features with a value."""
     rows = []
     for name, weight in weights.items():
-        v = F.col(f"{cell}.{name}")
+        v = F.col(f"{cell}_{name}")
         z = F.when(single, (v - C.SINGLE_STATION_STATS[name][0]) / C.SINGLE_STATION_STATS[name][1]).otherwise(
             (v - C.QUIET_STATS[name][0]) / C.QUIET_STATS[name][1])
         rows.append(F.struct(F.abs(z).alias("abs_z"), F.lit(name).alias("feature"), v.alias("value"), z.alias("z"), F.lit(weight).alias("weight")))
     return F.filter(F.array(*rows), lambda s: s["value"].isNotNull())
 
 
-def tier_cells(features: DataFrame, group: list[str], primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION) -> DataFrame:
-    """One row per evaluation time and horizon: gates, bellwether cell, scores, labels."""
-    w = W.partitionBy(*group, "evaluated_at", "horizon")
-    c = lambda n: F.col(f"cell.{n}")
-    t1 = truth(c("wind_speed_10m").isNotNull())
-    n_t1 = F.sum(flag(F.col("_g1"))).over(w)
-    least = F.least(F.lit(2), F.greatest(F.lit(1), F.col("n_active")))
-    gated = features.withColumn("_g1", t1).withColumn("n_t1", n_t1).withColumn(
-        "_g2", truth(F.col("_g1") & (F.col("n_t1") >= least) & (c("wind_speed_10m") < GATE_WIND))).withColumn(
-        "_g3", truth(F.col("_g2") & (c("temp_min") > GATE_TEMP) & (c("dewpoint_2m") > GATE_DEW) & (c("stable_atm") > GATE_STABLE)))
-    at = lambda site, col: F.max(F.when(F.col("site_name") == site, F.col(col)))
-    own_max = lambda site: F.coalesce(at(site, "h2s_max"), F.lit(0.0))
+def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
+               primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION) -> DataFrame:
+    """One row per evaluation hour and horizon: gates, bellwether features, scores, labels.
+
+    A station without rows in a window borrows the met window: the primary
+    station's, or the backup's in a group without a primary.  Borrowed cells equal
+    the met cell, so they only add to the number of stations that pass the first
+    gate.  The bellwether is the primary's window, else the backup's.
+    """
+    known = obs.join(stations.select("site_name"), "site_name", "left_semi")
+    facts = group_facts(known, group, time, h2s, primary)
+    spine = facts.filter("first_eval <= last_eval").select(
+        *group, F.explode(F.sequence("first_eval", "last_eval", F.expr("INTERVAL 1 HOUR"))).alias("evaluated_at"))
+    spine = spine.select("*", F.explode(F.array(*[F.lit(n) for n, _, _ in C.HORIZONS])).alias("horizon"))
+    cells = horizon_cells(known, group, time, h2s)
+    cols = [c for c in cells.columns if c not in (*group, "site_name", "evaluated_at", "horizon")]
+    c = F.col
+    g1 = c("wind_speed_10m").isNotNull()
+    g2 = truth(c("wind_speed_10m") < GATE_WIND)
+    g3 = g2 & truth((c("temp_min") > GATE_TEMP) & (c("dewpoint_2m") > GATE_DEW) & (c("stable_atm") > GATE_STABLE))
+    at = lambda site, col: F.max(F.when(c("site_name") == site, c(col)))
+    keep = ["n", *MEANS, "wind_speed_min", "temp_min", "night_share", "h2s_max"]
     aggs = [
-        F.bool_or("_g1").alias("gate_tier_1"), F.bool_or("_g2").alias("gate_tier_2"), F.bool_or("_g3").alias("gate_tier_3"),
-        F.max("n_t1").alias("n_t1"), F.max("n_active").alias("n_active"), F.bool_or("degraded").alias("degraded"),
-        F.coalesce(at(primary, "cell"), at(backup, "cell")).alias("bell"), at(primary, "cell").alias("primary_cell"),
-        truth(F.bool_or((F.col("site_name") == primary) & F.col("cell").isNotNull() & F.col("met_daytime"))).alias("daytime_horizon"),
-        own_max(primary).alias("primary_max"), own_max(backup).alias("backup_max"), F.coalesce(F.max("h2s_max"), F.lit(0.0)).alias("any_max"),
+        F.count("n").alias("_present"), F.sum(flag(g1)).alias("_t1"), F.max(flag(g2)).alias("_g2"), F.max(flag(g3)).alias("_g3"),
+        F.coalesce(F.max("h2s_max"), F.lit(0.0)).alias("any_max"), F.bool_or("_spine").alias("_due"),
+        *[at(primary, k).alias(f"p_{k}") for k in keep], *[at(backup, k).alias(f"b_{k}") for k in keep],
     ]
     for t, p in C.TIER_PPB:
-        aggs += [F.sum(flag(F.col("h2s_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
-    cells = gated.groupBy(*group, "evaluated_at", "horizon").agg(*aggs)
-    single = F.col("n_active") <= 1
-    return cells.withColumn("single_station_mode", single).withColumns({
-        f"score_{t}": score("bell", C.TIER_WEIGHTS[t], single) for t, _ in C.TIER_PPB})
+        aggs += [F.sum(flag(c("h2s_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
+    both = cells.select(*group, "evaluated_at", "horizon", "site_name", *cols).unionByName(
+        spine.withColumn("_spine", F.lit(True)), allowMissingColumns=True)
+    d = both.groupBy(*group, "evaluated_at", "horizon").agg(*aggs).filter("_due").join(facts, group)
+    total = stations.agg(F.count(F.lit(1))).scalar()
+    p_ok, b_ok = c("p_n").isNotNull(), c("b_n").isNotNull()
+    met = lambda k: F.when(c("has_primary"), c(f"p_{k}")).otherwise(c(f"b_{k}"))
+    n_t1 = c("_t1") + F.when(met("wind_speed_10m").isNotNull(), total - c("_present")).otherwise(0)
+    least = F.least(F.lit(2), F.greatest(F.lit(1), c("n_active")))
+    d = d.withColumn("n_t1", n_t1).withColumns({
+        "gate_tier_1": c("n_t1") > 0,
+        "gate_tier_2": (c("n_t1") >= least) & (F.coalesce(c("_g2"), F.lit(0)) == 1),
+        "gate_tier_3": (c("n_t1") >= least) & (F.coalesce(c("_g3"), F.lit(0)) == 1),
+        "degraded": ~c("has_primary"), "single_station_mode": c("n_active") <= 1,
+        "daytime_horizon": truth(met("night_share") < 0.75),
+        "primary_known": p_ok | (~c("has_primary") & b_ok), "bell_known": p_ok | b_ok,
+        "primary_max": F.coalesce(c("p_h2s_max"), F.lit(0.0)), "backup_max": F.coalesce(c("b_h2s_max"), F.lit(0.0)),
+        **{f"bell_{k}": F.when(p_ok, c(f"p_{k}")).otherwise(c(f"b_{k}")) for k in keep},
+    })
+    single = c("single_station_mode")
+    return d.withColumns({f"score_{t}": score("bell", C.TIER_WEIGHTS[t], single) for t, _ in C.TIER_PPB}).select(
+        *group, "evaluated_at", "horizon", *[f"gate_{t}" for t, _ in C.TIER_PPB], *[f"score_{t}" for t, _ in C.TIER_PPB], "n_t1", "n_active",
+        "degraded", "single_station_mode", "daytime_horizon", "primary_known", "bell_known", "primary_max", "backup_max", "any_max",
+        *[f"exceeding_{t}" for t, _ in C.TIER_PPB], *[f"first_{t}" for t, _ in C.TIER_PPB], *[f"bell_{k}" for k in keep])
 
 
 def backtest(cells: DataFrame, group: list[str], threshold: float = 0.5) -> DataFrame:
@@ -208,10 +211,10 @@ def quiet_night_stats(cells: DataFrame, features: list[str] = MEANS) -> DataFram
     """Mean and sample deviation of the primary station's nowcast features over quiet local nights."""
     calm = cells.filter(
         (F.col("horizon") == "nowcast") & (night(F.col("evaluated_at"), "local") == 1) & (F.col("primary_max") < 1.0)
-        & F.col("primary_cell").isNotNull())
+        & F.col("primary_known"))
     aggs = []
     for f in features:
-        aggs += [F.avg(f"primary_cell.{f}").alias(f"{f}__m"), F.stddev_samp(f"primary_cell.{f}").alias(f"{f}__s")]
+        aggs += [F.avg(f"bell_{f}").alias(f"{f}__m"), F.stddev_samp(f"bell_{f}").alias(f"{f}__s")]
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"{f}__m").alias("mean"), F.col(f"{f}__s").alias("std")) for f in features])
     return calm.agg(*aggs).select(F.inline(rows))
 
@@ -220,4 +223,4 @@ def top_contributors(cells: DataFrame, group: list[str], tier: str = "tier_3", n
     """The ``n`` features with the largest absolute z per evaluation time and horizon."""
     z = contributions("bell", C.TIER_WEIGHTS[tier], F.col("single_station_mode"))
     best = F.slice(F.reverse(F.array_sort(z)), 1, n)
-    return cells.filter(F.col("bell").isNotNull()).select(*group, "evaluated_at", "horizon", F.inline(best))
+    return cells.filter("bell_known").select(*group, "evaluated_at", "horizon", F.inline(best))
