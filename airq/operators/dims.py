@@ -35,20 +35,26 @@ def pair_with(df: DataFrame, dim: DataFrame, limit: int = MAX_INLINE, salts: int
     return keyed.join(copies.hint("shuffle_hash"), "_salt").drop("_salt")
 
 
-def fold_over(df: DataFrame, dim: DataFrame, out: str, value, keys: list[str], limit: int = MAX_INLINE) -> DataFrame:
-    """Add ``out`` = sum over the rows of ``dim`` of ``value(row)``.
+def spread(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+    """Hash rows by ``keys`` over a fixed number of tasks.
 
-    A small table is folded inside the row (no shuffle); a large one is paired
-    and summed by ``keys``, which must identify a row of ``df``.
+    For steps whose work is far larger than their input bytes, which adaptive
+    coalescing would otherwise pack into a few tasks.  Aggregations by a superset of
+    ``keys`` then need no further exchange.
     """
-    arr = inline_array(dim, limit)
-    if arr is not None:
-        return df.withColumn(out, F.aggregate(arr, F.lit(0.0), lambda acc, s: acc + value(lambda n: s[n])))
-    wide = pair_with(df, dim, limit=0)
-    rest = [c for c in df.columns if c not in keys]
-    return wide.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in rest], F.sum(value(lambda n: F.col(n))).alias(out)
-    )
+    spark = df.sparkSession
+    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
+def sum_over(df: DataFrame, dim: DataFrame, keys: list[str], out: str, value: Column, carry: list[str] | None = None) -> DataFrame:
+    """(keys, carry, ``out``): the sum of ``value`` over every row of ``dim``.
+
+    ``keys`` identify a row of ``df``; the rows opened by ``dim`` are summed in the task that opened
+    them when ``df`` is hashed by the keys or some of them.
+    """
+    wide = pair_with(df, dim)
+    return wide.groupBy(*keys).agg(F.sum(value).alias(out), *[F.max(c).alias(c) for c in carry or []])
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 16) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions import emission
 from airq.functions import plume as P
-from airq.operators.dims import fold_over, inline_array, pair_with
+from airq.operators.dims import inline_array, pair_with, spread, sum_over
+from airq.operators.ordering import number_rows, row_windows, running_sums
 
 
 def point_sources(conditions: DataFrame) -> DataFrame:
@@ -30,20 +31,21 @@ def point_sources(conditions: DataFrame) -> DataFrame:
 def channel_segments(points: DataFrame, spacing_m: float = 150.0, keys: list[str] | None = None, order: str = "ord") -> DataFrame:
     """Centroids about every ``spacing_m`` along the line through the ordered points.
 
-    ``segment`` counts from 0 in channel order within the keys.
+    ``segment`` counts from 0 in channel order within the keys; ``order`` is a
+    non-negative number.
     """
     keys = keys or []
-    w = W.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
-    ends = points.withColumns({"_la": F.lead("lat").over(w), "_lo": F.lead("lon").over(w)}).filter("_la IS NOT NULL")
+    block = F.floor(F.col(order) / F.lit(4096))
+    numbered = number_rows(points, keys, order, block=block)
+    ends = row_windows(numbered, keys, 0, 1, lambda w: {"_la": F.lead("lat").over(w), "_lo": F.lead("lon").over(w)}).filter("_la IS NOT NULL")
     dy, dx = (F.col("_la") - F.col("lat")) * P.LAT_M, (F.col("_lo") - F.col("lon")) * P.LON_M
     n = F.greatest(F.lit(1), F.floor(F.sqrt(dx * dx + dy * dy) / spacing_m)).cast("int")
-    steps = ends.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    upto = running_sums(ends.withColumn("_n", n).drop("seq", "total"), keys, order, {"_upto": "_n"}, block=block)
+    steps = upto.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     t = (F.col("_k") + 0.5) / F.col("_n")
-    out = steps.select(
-        *keys, order, "_k", (F.col("lat") + (F.col("_la") - F.col("lat")) * t).alias("source_lat"),
-        (F.col("lon") + (F.col("_lo") - F.col("lon")) * t).alias("source_lon"))
-    seq = W.partitionBy(*(keys or [F.lit(0)])).orderBy(order, "_k")
-    return out.withColumn("segment", F.row_number().over(seq) - 1).drop(order, "_k")
+    return steps.select(
+        *keys, (F.col("lat") + (F.col("_la") - F.col("lat")) * t).alias("source_lat"),
+        (F.col("lon") + (F.col("_lo") - F.col("lon")) * t).alias("source_lon"), (F.col("_upto") - F.col("_n") + F.col("_k")).alias("segment"))
 
 
 def receptor_met(met: DataFrame, receptors: DataFrame, group: list[str], ref_site: str = C.PRIMARY_STATION,
@@ -68,16 +70,16 @@ def receptor_met(met: DataFrame, receptors: DataFrame, group: list[str], ref_sit
 
 def forward_model(met: DataFrame, sources: DataFrame, keys: list[str], min_rate: float = 0.0,
                   settings: P.PlumeSettings = P.PlumeSettings()) -> DataFrame:
-    """Predicted ppb per met row: the sum of the plumes of all ``sources``
-    (source_lat, source_lon, rate) at (station_lat, station_lon).
+    """(keys, predicted_ppb): the sum of the plumes of all ``sources``
+    (source_lat, source_lon, rate) at (station_lat, station_lon); null without met.
 
-    Sources at or below ``min_rate`` are dropped first.  A bounded source table is
-    folded inside each row, so the forecast needs no shuffle at all.
+    Sources below ``min_rate`` are dropped first.  Met rows are hashed by the keys, so
+    the plumes of a row are evaluated and summed in one task without an exchange of
+    met x source rows.
     """
     active = sources.filter(F.col("rate") >= min_rate if min_rate > 0 else F.col("rate") > 0).select("source_lat", "source_lon", "rate")
-    d = fold_over(P.with_wind_terms(met), active, "_ug", lambda g: P.concentration(
-        g("source_lat"), g("source_lon"), g("rate"), F.col("station_lat"), F.col("station_lon"), settings), keys)
-    return d.withColumn("predicted_ppb", P.to_ppb(F.col("_ug"), F.col("temperature_2m"))).drop("_ug", "_u", "_v", "_ws", "_ay", "_az", "_stab")
+    ug = P.concentration(F.col("source_lat"), F.col("source_lon"), F.col("rate"), F.col("station_lat"), F.col("station_lon"), settings)
+    return sum_over(P.with_wind_terms(spread(met, keys)), active, keys, "predicted_ppb", P.to_ppb(ug, F.col("temperature_2m")))
 
 
 def grid_shape(bounds: tuple[float, float, float, float], resolution_m: float) -> tuple[int, int]:
@@ -89,9 +91,13 @@ def grid_shape(bounds: tuple[float, float, float, float], resolution_m: float) -
 
 def on_grid(df: DataFrame, bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0) -> DataFrame:
     """Each row at every cell centre; cells come from arithmetic, not from a table."""
-    south, north, west, east = bounds
     rows, cols = grid_shape(bounds, resolution_m)
-    d = df.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(rows * cols - 1))))
+    return place_cells(df.withColumn("_cell", F.explode(F.sequence(F.lit(0), F.lit(rows * cols - 1)))), bounds, rows, cols)
+
+
+def place_cells(d: DataFrame, bounds, rows: int, cols: int) -> DataFrame:
+    """Row, column and centre of the cell number ``_cell``."""
+    south, north, west, east = bounds
     d = d.withColumns({"row": F.floor(F.col("_cell") / cols), "col": F.col("_cell") % cols}).drop("_cell")
     return d.withColumns({
         "cell_lat": (F.col("row") + 0.5) * ((north - south) / rows) + south,
@@ -100,29 +106,34 @@ def on_grid(df: DataFrame, bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 1
 
 
 def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS,
-                     resolution_m: float = 100.0, scale: float = 0.1, clip_ppb: float = 500.0, lead_h: str | None = None) -> DataFrame:
+                     resolution_m: float = 100.0, scale: float = 0.1, clip_ppb: float = 500.0, lead_h: str | None = None,
+                     block_cells: int = 4096) -> DataFrame:
     """Long raster (keys, row, col, ppb, confidence): one row per frame and cell.
 
-    All sources are summed inside the row, so met x source x cell is never laid out
-    and nothing is shuffled; frames are independent tasks.
+    Frames are copied once per block of cells and hashed by frame and block; cells and
+    sources open and are summed behind that exchange, which therefore carries met rows
+    only, and no task works on a whole frame of a large grid.
     """
     src = sources.filter("rate > 0").select("source_lat", "source_lon", (F.col("rate") * scale).alias("rate"))
-    s = P.PlumeSettings(floor_km=P.GRID_FLOOR_KM)
     near = inline_array(sensors.select("station_lat", "station_lon"))
     if near is None:
         raise ValueError("too many sensors for the confidence of a grid")
     lead = F.col(lead_h) if lead_h else F.lit(0.0)
-    d = on_grid(P.with_wind_terms(met), bounds, resolution_m)
-    d = fold_over(d, src, "_ug", lambda g: P.concentration(
-        g("source_lat"), g("source_lon"), g("rate"), F.col("cell_lat"), F.col("cell_lon"), s), [*keys, "row", "col"])
+    rows, cols = grid_shape(bounds, resolution_m)
+    blocks = -(-rows * cols // block_cells)
+    d = met.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    d = P.with_wind_terms(spread(d, [*keys, "_block"]))
+    last = F.least((F.col("_block") + 1) * block_cells, F.lit(rows * cols)) - 1
+    d = place_cells(d.withColumn("_cell", F.explode(F.sequence(F.col("_block") * block_cells, last))), bounds, rows, cols)
 
     def dist(p):
         dy, dx = (F.col("cell_lat") - p["station_lat"]) * P.LAT_M, (F.col("cell_lon") - p["station_lon"]) * P.LON_M
         return F.sqrt(dy * dy + dx * dx)
 
-    return d.select(
-        *keys, "row", "col", F.least(P.to_ppb(F.col("_ug"), F.col("temperature_2m")), F.lit(clip_ppb)).alias("ppb"),
-        P.confidence(F.array_min(F.transform(near, dist)), lead).alias("confidence"))
+    d = d.withColumn("confidence", P.confidence(F.array_min(F.transform(near, dist)), lead))
+    ug = P.concentration(F.col("source_lat"), F.col("source_lon"), F.col("rate"), F.col("cell_lat"), F.col("cell_lon"), P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
+    total = sum_over(d, src, [*keys, "_block", "row", "col"], "ppb", P.to_ppb(ug, F.col("temperature_2m")), ["confidence"])
+    return total.select(*keys, "row", "col", F.least(F.col("ppb"), F.lit(clip_ppb)).alias("ppb"), "confidence")
 
 
 def downsample_frames(frames: DataFrame, group: list[str], minutes: int = 60, time: str = "obs_time") -> DataFrame:

@@ -92,9 +92,9 @@ def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after:
 
 
 def running_sums(df: DataFrame, keys: list[str], time: str, sums: dict[str, str],
-                 tie: list[str] | None = None, seconds: int = BLOCK_SECONDS) -> DataFrame:
+                 tie: list[str] | None = None, seconds: int = BLOCK_SECONDS, block: Column | None = None) -> DataFrame:
     """Inclusive cumulative sums by time within the keys; ``sums`` maps new column to summed column."""
-    blocked = with_block(df, time, seconds)
+    blocked = with_block(df, time, seconds) if block is None else df.withColumn("_block", block)
     per = blocked.groupBy(*keys, "_block").agg(*[F.sum(v).alias(f"_s_{o}") for o, v in sums.items()])
     before = W.partitionBy(*_keys(keys)).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     carry = per.select(*keys, "_block", *[

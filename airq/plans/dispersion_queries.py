@@ -88,7 +88,7 @@ FWD = "network:i site_name:s hours_n:i predicted:i ppb_sum:d peak:d"
 
 def _forward(i, sources, hours=None, min_rate=0.0):
     met = D.receptor_met(i.base(), C.stations(i.spark), ["network"], hours=hours)
-    d = D.forward_model(met, sources, ["network", "obs_time", "site_name"], min_rate)
+    d = D.forward_model(met, sources, ["network", "site_name", "obs_time"], min_rate)
     return d.groupBy(*SITE).agg(F.count("*").alias("hours_n"), F.count("predicted_ppb").alias("predicted"),
                                 F.sum("predicted_ppb").alias("ppb_sum"), F.max("predicted_ppb").alias("peak"))
 
@@ -326,18 +326,18 @@ def _(i):
     return _rows(i).select("network", "obs_time", "site_name", F.posexplode("a").alias("segment", "a"))
 
 
-@query("f15_geometry_filter", "F15", "network:i obs_time:t n_sensors:i max_a:d max_obs:d q_required:d skipped:b", "SELECT * FROM chk", SENS)
+@query("f15_geometry_filter", "F15", "network:i obs_time:t n_sensors:i max_a:d max_obs:d q_log:d skipped:b", "SELECT *, ln(q_required) AS q_log FROM chk", SENS)
 def _(i):
-    return V.geometry_check(_rows(i), ["network"])
+    return V.geometry_check(_rows(i), ["network"]).withColumn("q_log", F.log("q_required"))
 
 
-@query("a41_sensitivity_summary", "A41 F17", "week:s n_events:i max_a_max:d peak_obs_max:d q_required_max:d n_needing_gt_500:i n_skipped:i max_a_p50:d q_required_p50:d", """
-SELECT CAST(date_trunc('week', obs_time) AS DATE) AS week, count(*) n_events, max(max_a) max_a_max, max(max_obs) peak_obs_max, max(q_required) q_required_max,
+@query("a41_sensitivity_summary", "A41 F17", "week:s n_events:i max_a_max:d peak_obs_max:d q_max_log:d n_needing_gt_500:i n_skipped:i max_a_p50:d q_required_p50:d", """
+SELECT CAST(date_trunc('week', obs_time) AS DATE) AS week, count(*) n_events, max(max_a) max_a_max, max(max_obs) peak_obs_max, ln(max(q_required)) q_max_log,
   count(CASE WHEN q_required > 500 THEN 1 END) n_needing_gt_500, count(CASE WHEN skipped THEN 1 END) n_skipped, median(max_a) max_a_p50, median(q_required) q_required_p50
 FROM chk GROUP BY 1""", SENS)
 def _(i):
     d = V.geometry_check(_rows(i), ["network"]).withColumn("week", F.to_date(F.date_trunc("week", "obs_time")))
-    return V.sensitivity_summary(d, ["week"])
+    return V.sensitivity_summary(d, ["week"]).withColumn("q_max_log", F.log("q_required_max"))
 
 
 def _usable(i):

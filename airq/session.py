@@ -18,7 +18,7 @@ def build_session(app: str = "airq", master: str | None = None, shuffle: int | N
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if master:
-        b = b.master(master).config("spark.ui.enabled", "false")
+        b = b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle))
     return b.getOrCreate()

@@ -16,3 +16,101 @@ def with_event_id(events: DataFrame, keys: list[str]) -> DataFrame:
 def newest_index(events: DataFrame, cap: int = 500) -> DataFrame:
     """The newest ``cap`` events: each task keeps its own newest before they meet."""
     return events.orderBy(F.desc("generated_at"), "event_id").limit(cap)
+
+
+def _iso(df: DataFrame) -> DataFrame:
+    """Timestamps as ISO text."""
+    return df.select(*[
+        F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(f.name) if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
+        else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def write_formats(df: DataFrame, base: str, formats=("csv", "json"), updated: Column | None = None) -> list[str]:
+    """The same rows as CSV, JSON records (with ``lastUpdated``) and / or parquet below ``base``."""
+    paths = []
+    for fmt in formats:
+        path = f"{base}.{fmt}"
+        if fmt == "csv":
+            _iso(df).write.mode("overwrite").option("header", True).csv(path)
+        elif fmt == "json":
+            stamp = updated if updated is not None else F.current_timestamp()
+            _iso(df.withColumn("lastUpdated", stamp)).write.mode("overwrite").json(path)
+        elif fmt == "parquet":
+            df.write.mode("overwrite").parquet(path)
+        else:
+            raise ValueError(f"unknown format {fmt!r}")
+        paths.append(path)
+    return paths
+
+
+def write_versioned(df: DataFrame, base: str, version: str, latest: bool = True) -> DataFrame:
+    """Write ``base/version`` and copy it, as written, to ``base/latest``."""
+    spark = df.sparkSession
+    path = f"{base}/{version}"
+    df.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if latest:
+        written.write.mode("overwrite").parquet(f"{base}/latest")
+    return written
+
+
+def write_predictions(df: DataFrame, path: str, model: str, run_time: str = "run_time") -> None:
+    """Predictions partitioned by model, year, month, day and run hour; only the partitions
+    present in ``df`` are replaced."""
+    t = F.col(run_time)
+    df.withColumns({
+        "model": F.lit(model), "year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t), "hour": F.hour(t),
+    }).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "year", "month", "day", "hour").parquet(path)
+
+
+def write_q_field(field: DataFrame, path: str, now: str, max_age_days: int = 30, week: str = "week") -> None:
+    """Weekly partitions always; ``latest`` only from the newest week that ended at most
+    ``max_age_days`` before ``now``."""
+    field.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(week).parquet(f"{path}/weekly")
+    age = F.datediff(F.lit(now).cast("date"), F.date_add(F.col(week), 7))
+    fresh = field.filter(age <= max_age_days)
+    top = fresh.agg(F.max(week).alias("w")).first().w
+    if top is not None:
+        fresh.filter(F.col(week) == F.lit(top)).write.mode("overwrite").parquet(f"{path}/latest")
+
+
+def write_snapshot(df: DataFrame, path: str, stamp: str) -> str:
+    """A timestamped copy of the exact training input."""
+    target = f"{path}/snapshot_ts={stamp}"
+    df.write.mode("errorifexists").parquet(target)
+    return target
+
+
+def save_model_variant(model, features: list[str], path: str, spark) -> None:
+    import json
+
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(json.dumps(features),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
+
+
+def event_reports(events: DataFrame, stations: DataFrame, context: DataFrame, keys: list[str]) -> DataFrame:
+    """Nested report per event: station, observation, meteorology, flow, thresholds."""
+    from airq import catalog as C
+
+    d = with_event_id(events, keys).join(stations, "site_name", "left").join(context, [k for k in keys if k in context.columns], "left")
+    n = lambda c: F.expr(f"try_cast({c} AS double)")
+    report = F.struct(
+        F.lit("1.0").alias("schema_version"), F.col("event_id"), F.col("tier"),
+        F.struct(F.col("site_name").alias("name"), F.col("station_lat").alias("lat"), F.col("station_lon").alias("lon")).alias("station"),
+        F.struct(F.date_format("peak_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time_utc"), F.col("peak").alias("h2s_ppb")).alias("observation"),
+        F.struct(n("wind_speed_10m").alias("wind_speed_ms"), n("wind_direction_10m").alias("wind_direction_deg"),
+                 n("temperature_2m").alias("temperature_c"), n("relative_humidity_2m").alias("relative_humidity_pct")).alias("meteorology"),
+        F.struct(n("sbiwtp_flow_mgd").alias("sbiwtp_flow_mgd"), F.lit(C.PLANT_BASELINE_MGD).alias("sbiwtp_baseline_mgd"),
+                 F.round(C.PLANT_BASELINE_MGD - n("sbiwtp_flow_mgd"), 2).alias("sbiwtp_deficit_mgd")).alias("flow"),
+        F.struct(F.lit(C.WATCH_PPB).alias("watch_ppb"), F.lit(C.CRITICAL_PPB).alias("critical_ppb")).alias("thresholds"))
+    return d.select(*keys, "tier", "event_id", "last_exceedance", F.to_json(report).alias("report"))
+
+
+def archive_batch(path: str):
+    """A ``foreachBatch`` writer that keeps one folder per batch: a batch that is retried
+    replaces its own folder, so no event is archived twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.dropDuplicates(["event_id"]).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
