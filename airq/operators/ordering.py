@@ -37,6 +37,7 @@ def number_rows(df: DataFrame, keys: list[str], time: str, tie: list[str] | None
     ``block`` replaces the time block where the order column is not a time; it must
     never decrease along the order.
     """
+    df = df.drop("seq", "total")
     blocked = with_block(df, time, seconds) if block is None else df.withColumn("_block", block)
     counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     whole = W.partitionBy(*_keys(keys))

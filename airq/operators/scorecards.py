@@ -114,8 +114,3 @@ def approval(comparison: DataFrame) -> DataFrame:
         F.coalesce(F.bool_and("gate_passed"), F.lit(True)).alias("approved"),
         F.bool_or(F.col("missing_in_new") | F.col("missing_in_current")).alias("field_mismatch"),
     )
-
-
-def wide_to_metrics(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    return df.select(*keys, F.inline(rows)).filter(F.col("value").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["feature_queries", "metric_queries", "daily_queries", "tier_queries", "dispersion_queries", "io_queries", "stream_queries"]
+MODULES = ["feature_queries", "metric_queries", "daily_queries", "tier_queries", "dispersion_queries", "io_queries", "stream_queries", "model_queries"]
 
 
 def load_all() -> None:

@@ -351,7 +351,7 @@ SELECT metric, avg(value) mean, stddev_pop(value) std, min(value) min, max(value
   INTO NAME metric VALUE value) GROUP BY metric""", CM)
 def _(i):
     per = M.confusion_scores(M.confusion(i.scored(), ["network"]), ["network"])
-    return M.fold_summary(S.wide_to_metrics(per, ["network"], ["balanced_accuracy", "orange_recall", "accuracy"]), ["metric"])
+    return M.fold_summary(M.wide_to_metrics(per, ["network"], ["balanced_accuracy", "orange_recall", "accuracy"]), ["metric"])
 
 
 CMP = f"""
@@ -372,8 +372,8 @@ def _compare(i):
     new = M.confusion_scores(cm.filter("site_name <> 'SAN YSIDRO'"), [])
     cur = M.confusion_scores(cm.filter("site_name = 'SAN YSIDRO'"), [])
     shared = ["balanced_accuracy", "orange_recall", "orange_precision"]
-    return S.compare_metrics(S.wide_to_metrics(new, [], [*shared, "accuracy"]),
-                             S.wide_to_metrics(cur, [], [*shared, "false_alarm_rate"]), FLOORS)
+    return S.compare_metrics(M.wide_to_metrics(new, [], [*shared, "accuracy"]),
+                             M.wide_to_metrics(cur, [], [*shared, "false_alarm_rate"]), FLOORS)
 
 
 @query("j19_compare_metrics", "J19 U3", "metric:s new_value:d current_value:d difference:d missing_in_new:b missing_in_current:b gate_passed:b",
