@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airq import catalog as C
@@ -66,31 +66,73 @@ def with_wind_terms(df, speed="wind_speed_10m", direction="wind_direction_10m",
     })
 
 
-def concentration(src_lat, src_lon, rate, rec_lat, rec_lon, s: PlumeSettings = PlumeSettings()) -> Column:
-    """Concentration in µg/m³; reads the columns of :func:`with_wind_terms`.
+def add_plume(df: DataFrame, rec_lat: str, rec_lon: str, s: PlumeSettings = PlumeSettings(), out: str = "_ug") -> DataFrame:
+    """Add the concentration in µg/m³ of (source_lat, source_lon, rate) at a receptor;
+    reads the columns of :func:`with_wind_terms`.
 
-    Calm air spreads evenly over a 50 m layer, upwind receptors get nothing and
-    never reach the exponentials, the rest is the reflected plume with meander.
+    Calm air spreads evenly over a 50 m layer, upwind receptors get nothing and never
+    reach the powers and exponentials, the rest is the reflected plume with meander.
+    Each step is its own projection, so a term used twice is evaluated once.
     """
-    u, v, ws, ay, az = (F.col(n) for n in ("_u", "_v", "_ws", "_ay", "_az"))
-    dx = (rec_lon - src_lon) * LON_M
-    dy = (rec_lat - src_lat) * LAT_M
+    c = F.col
+    steps = [
+        {"_dx": (c(rec_lon) - c("source_lon")) * LON_M, "_dy": (c(rec_lat) - c("source_lat")) * LAT_M},
+        {"_al": (c("_dx") * c("_u") + c("_dy") * c("_v")) / _speed(), "_cr": (c("_u") * c("_dy") - c("_v") * c("_dx")) / _speed()},
+        {"_km": F.when(c("_al") > 0, F.pow(F.greatest(c("_al") / 1000.0, F.lit(s.floor_km)), F.lit(C.PLUME_EXPONENT)) * 1000.0)},
+        {"_sy": c("_ay") * c("_km"), "_sz": c("_az") * c("_km"), "_dr": c("_al") * math.radians(s.meander_deg)},
+        {"_s2": c("_sy") * c("_sy") + c("_dr") * c("_dr"), "_z2": c("_sz") * c("_sz")},
+        {out: _final(s, c("rate"), c("_dx"), c("_dy"), c("_al"), c("_cr"), c("_s2"), c("_z2"), c("_sz"))},
+    ]
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop("_dx", "_dy", "_al", "_cr", "_km", "_sy", "_sz", "_dr", "_s2", "_z2")
+
+
+def _speed() -> Column:
+    """The wind speed as a divisor; still air takes the calm branch whatever the quotient."""
+    return F.greatest(F.col("_ws"), F.lit(1e-9))
+
+
+def _final(s: PlumeSettings, rate, dx, dy, along, cross, s2, z2, sz) -> Column:
+    ws = F.col("_ws")
     dist = F.greatest(F.sqrt(dx * dx + dy * dy), F.lit(50.0))
     calm = rate * 1e6 / (dist * dist * 50.0)
-    along = (dx * u + dy * v) / ws
-    cross = (u * dy - v * dx) / ws
-    km = F.pow(F.greatest(along / 1000.0, F.lit(s.floor_km)), F.lit(C.PLUME_EXPONENT)) * 1000.0
-    sy, sz = ay * km, az * km
-    drift = along * math.radians(s.meander_deg)
-    sy_eff = F.sqrt(sy * sy + drift * drift)
-    direct = (s.receptor_m - s.stack_m) ** 2
-    mirror = (s.receptor_m + s.stack_m) ** 2
-    vertical = F.exp(F.lit(-0.5 * direct) / (sz * sz)) + F.exp(F.lit(-0.5 * mirror) / (sz * sz))
-    lateral = F.exp(cross * cross / (sy_eff * sy_eff) * -0.5)
-    plume = rate * 1e6 / (F.greatest(ws, F.lit(0.3)) * sy_eff * sz * math.pi) * lateral * vertical
+    direct, mirror = -0.5 * (s.receptor_m - s.stack_m) ** 2, -0.5 * (s.receptor_m + s.stack_m) ** 2
+    vertical = F.exp(F.lit(direct) / z2) + F.exp(F.lit(mirror) / z2)
+    plume = rate * 1e6 / (F.greatest(ws, F.lit(0.3)) * F.sqrt(s2) * sz * math.pi) * F.exp(cross * cross / s2 * -0.5) * vertical
     return F.when(ws < s.calm_ms, calm).when(along <= 0, 0.0).otherwise(plume)
 
 
+def plume_array(sources: Column, rec_lat: Column, rec_lon: Column, s: PlumeSettings = PlumeSettings()) -> Column:
+    """Unit-rate concentrations of an array of sources at one receptor, in array order.
+
+    The steps of :func:`add_plume` as a chain of array transforms.
+    """
+    c = F.col
+
+    def place(x):
+        return F.struct(((rec_lon - x["source_lon"]) * LON_M).alias("dx"), ((rec_lat - x["source_lat"]) * LAT_M).alias("dy"))
+
+    def turn(x):
+        return F.struct(x["dx"].alias("dx"), x["dy"].alias("dy"), ((x["dx"] * c("_u") + x["dy"] * c("_v")) / _speed()).alias("al"),
+                        ((c("_u") * x["dy"] - c("_v") * x["dx"]) / _speed()).alias("cr"))
+
+    def reach(x):
+        km = F.when(x["al"] > 0, F.pow(F.greatest(x["al"] / 1000.0, F.lit(s.floor_km)), F.lit(C.PLUME_EXPONENT)) * 1000.0)
+        return F.struct(*[x[n].alias(n) for n in ("dx", "dy", "al", "cr")], km.alias("km"))
+
+    def widen(x):
+        sy, sz, dr = c("_ay") * x["km"], c("_az") * x["km"], x["al"] * math.radians(s.meander_deg)
+        return F.struct(*[x[n].alias(n) for n in ("dx", "dy", "al", "cr")], (sy * sy + dr * dr).alias("s2"), (sz * sz).alias("z2"), sz.alias("sz"))
+
+    def end(x):
+        return _final(s, F.lit(1.0), x["dx"], x["dy"], x["al"], x["cr"], x["s2"], x["z2"], x["sz"])
+
+    for step in (place, turn, reach, widen, end):
+        sources = F.transform(sources, step)
+    return sources
+
+
 def confidence(min_dist_m: Column, lead_h: Column) -> Column:
     near = F.least(F.greatest(F.lit(1.0) - min_dist_m / 1000.0 * 0.07, F.lit(0.3)), F.lit(1.0))
     return near * F.greatest(F.lit(1.0) - lead_h * 0.02, F.lit(0.3))

@@ -11,48 +11,53 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions import geo
 from airq.functions.clock import night
-from airq.operators.dims import inline_array, pair_with
+from airq.operators.dims import look_up, pair_with
 from airq.operators.ordering import earliest, fill_missing, latest
 from airq.operators.ranks import medians, quantiles
 
 MIXED, UNALIGNED = "Daytime (mixed)", "Unaligned"
 
 
-def aligned_source(df: DataFrame, sources: DataFrame, threshold: float = 30.0, wind_dir: str = "wind_direction_10m",
-                   is_night: str = "is_night") -> DataFrame:
-    """Add ``aligned_source`` and ``source_distance_km``: the source whose bearing
-    from the station is nearest to the wind direction, if within ``threshold``.
+def station_geometry(stations: DataFrame, sources: DataFrame) -> DataFrame:
+    """Per station its coordinates and ``near``: bearing and distance of every source, in source order."""
+    ordered = sources if "ord" in sources.columns else sources.withColumn("ord", F.monotonically_increasing_id())
+    g = [F.col(c) for c in ("station_lat", "station_lon", "source_lat", "source_lon")]
+    pairs = pair_with(stations, ordered).select(
+        "site_name", "station_lat", "station_lon",
+        F.struct("ord", "source", geo.bearing(*g).alias("bearing"), geo.distance_km(*g).alias("km")).alias("s"))
+    return pairs.groupBy("site_name", "station_lat", "station_lon").agg(F.array_sort(F.collect_list("s")).alias("near"))
 
-    Expects ``station_lat`` / ``station_lon``.  Sources beyond the inline bound are
-    paired by salt and reduced per row of ``df``.
-    """
-    lat, lon, wd = F.col("station_lat"), F.col("station_lon"), F.col(wind_dir)
 
-    def candidate(get) -> Column:
-        off = F.abs(geo.angular_difference(wd, geo.bearing(lat, lon, get("source_lat"), get("source_lon"))))
-        dist = geo.distance_km(lat, lon, get("source_lat"), get("source_lon"))
-        return F.struct(off.alias("off"), get("ord").alias("ord"), get("source").alias("source"), dist.alias("km"))
+def aligned_source(df: DataFrame, stations: DataFrame, sources: DataFrame, threshold: float = 30.0,
+                   wind_dir: str = "wind_direction_10m", is_night: str = "is_night") -> DataFrame:
+    """Add ``aligned_source`` and ``source_distance_km``: the source whose bearing from
+    the station is nearest to the wind direction, if within ``threshold``.
 
-    ordered = sources if "ord" in sources.columns else sources.withColumn("ord", F.monotonically_increasing_id())
-    arr = inline_array(ordered)
-    if arr is not None:
-        best = df.withColumn("_b", F.array_min(F.transform(arr, lambda s: candidate(lambda n: s[n]))))
+    Bearings are worked out once per station and looked up by its name: as a literal
+    map when the stations are few, by a join otherwise.  Unknown stations are dropped.
+    """
+    geometry = station_geometry(stations, sources)
+    table = look_up(geometry, "site_name")
+    if table is not None:
+        placed = df.withColumn("_near", table[F.col("site_name")]["near"]).filter("_near IS NOT NULL")
     else:
-        wide = pair_with(df, ordered, limit=0)
-        best = wide.groupBy(*df.columns).agg(F.min(candidate(F.col)).alias("_b"))
+        placed = df.join(geometry.select("site_name", F.col("near").alias("_near")), "site_name")
+    off = lambda s: F.abs(geo.angular_difference(F.col(wind_dir), s["bearing"]))
+    best = placed.withColumn("_b", F.array_min(F.transform("_near", lambda s: F.struct(
+        off(s).alias("off"), s["ord"].alias("ord"), s["source"].alias("source"), s["km"].alias("km")))))
     near = (F.col(is_night) == 1) & (F.col("_b.off") < threshold)
     label = (
         F.when(F.coalesce(F.col(is_night), F.lit(0)) == 0, MIXED).when(near, F.col("_b.source")).otherwise(UNALIGNED)
     )
     return best.withColumns({
         "aligned_source": label, "source_distance_km": F.when(near, F.col("_b.km")),
-    }).drop("_b")
+    }).drop("_b", "_near")
 
 
 def attribute_sources(obs: DataFrame, stations: DataFrame, sources: DataFrame, h2s: str = "h2s",
                       wind: str = "wind_speed_10m") -> DataFrame:
     """Aligned source per reading and, above 2 ppb, the emission rate that explains it."""
-    placed = aligned_source(obs.join(stations, "site_name"), sources)
+    placed = aligned_source(obs, stations, sources)
     rate = geo.back_rate(F.col(h2s), F.col(wind), F.col("source_distance_km") * 1000.0)
     return placed.withColumn("emission_rate_gs", F.when(F.col(h2s) > 2, rate))
 

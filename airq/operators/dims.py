@@ -8,6 +8,8 @@ ever held whole by one task.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,22 +49,12 @@ def spread(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFram
     return df.repartition(n, *keys)
 
 
-def sum_over(df: DataFrame, dim: DataFrame, keys: list[str], out: str, value: Column, carry: list[str] | None = None) -> DataFrame:
-    """(keys, carry, ``out``): the sum of ``value`` over every row of ``dim``.
-
-    ``keys`` identify a row of ``df``; the rows opened by ``dim`` are summed in the task that opened
-    them when ``df`` is hashed by the keys or some of them.
-    """
-    wide = pair_with(df, dim)
-    return wide.groupBy(*keys).agg(F.sum(value).alias(out), *[F.max(c).alias(c) for c in carry or []])
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 16) -> DataFrame:
-    """Equi-join that spreads each key of ``left`` over ``salts`` tasks.
-
-    ``right`` has one row per key and is copied once per salt.
-    """
-    rest = [c for c in left.columns if c not in on]
-    l = left.withColumn("_salt", F.pmod(F.xxhash64(*(rest or on)), F.lit(salts)).cast("int"))
-    r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return l.join(r, [*on, "_salt"], how).drop("_salt")
+def look_up(dim: DataFrame, key: str, limit: int = 64) -> Column | None:
+    """The rows of ``dim`` as a literal map from the text ``key`` to the row, or None
+    beyond ``limit`` (a map is searched from its start for every row)."""
+    rows = dim.select(F.col(key).alias("k"), F.to_json(F.struct("*")).alias("j")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    text = "{" + ",".join(f"{json.dumps(r.k)}:{r.j}" for r in rows) + "}"
+    ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in dim.schema.fields)
+    return F.from_json(F.lit(text), f"map<string,struct<{ddl}>>")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions import emission
 from airq.functions import plume as P
-from airq.operators.dims import inline_array, pair_with, spread, sum_over
+from airq.operators.dims import inline_array, pair_with, spread
 from airq.operators.ordering import number_rows, row_windows, running_sums
 
 
@@ -78,8 +78,8 @@ def forward_model(met: DataFrame, sources: DataFrame, keys: list[str], min_rate:
     met x source rows.
     """
     active = sources.filter(F.col("rate") >= min_rate if min_rate > 0 else F.col("rate") > 0).select("source_lat", "source_lon", "rate")
-    ug = P.concentration(F.col("source_lat"), F.col("source_lon"), F.col("rate"), F.col("station_lat"), F.col("station_lon"), settings)
-    return sum_over(P.with_wind_terms(spread(met, keys)), active, keys, "predicted_ppb", P.to_ppb(ug, F.col("temperature_2m")))
+    d = P.add_plume(pair_with(P.with_wind_terms(spread(met, keys)), active), "station_lat", "station_lon", settings)
+    return d.groupBy(*keys).agg(F.sum(P.to_ppb(F.col("_ug"), F.col("temperature_2m"))).alias("predicted_ppb"))
 
 
 def grid_shape(bounds: tuple[float, float, float, float], resolution_m: float) -> tuple[int, int]:
@@ -130,10 +130,13 @@ def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, key
         dy, dx = (F.col("cell_lat") - p["station_lat"]) * P.LAT_M, (F.col("cell_lon") - p["station_lon"]) * P.LON_M
         return F.sqrt(dy * dy + dx * dx)
 
-    d = d.withColumn("confidence", P.confidence(F.array_min(F.transform(near, dist)), lead))
-    ug = P.concentration(F.col("source_lat"), F.col("source_lon"), F.col("rate"), F.col("cell_lat"), F.col("cell_lon"), P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
-    total = sum_over(d, src, [*keys, "_block", "row", "col"], "ppb", P.to_ppb(ug, F.col("temperature_2m")), ["confidence"])
-    return total.select(*keys, "row", "col", F.least(F.col("ppb"), F.lit(clip_ppb)).alias("ppb"), "confidence")
+    d = P.add_plume(pair_with(d, src), "cell_lat", "cell_lon", P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
+    total = d.groupBy(*keys, "_block", "row", "col").agg(
+        F.sum(P.to_ppb(F.col("_ug"), F.col("temperature_2m"))).alias("ppb"), F.first("cell_lat").alias("cell_lat"),
+        F.first("cell_lon").alias("cell_lon"), F.first(lead).alias("_lead"))
+    return total.select(
+        *keys, "row", "col", F.least(F.col("ppb"), F.lit(clip_ppb)).alias("ppb"),
+        P.confidence(F.array_min(F.transform(near, dist)), F.col("_lead")).alias("confidence"))
 
 
 def downsample_frames(frames: DataFrame, group: list[str], minutes: int = 60, time: str = "obs_time") -> DataFrame:

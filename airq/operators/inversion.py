@@ -65,11 +65,11 @@ def sensitivities(rows: DataFrame, segments: DataFrame) -> DataFrame:
     if seg is None:
         raise ValueError("the inversion takes at most the inline number of segments")
 
-    def one(s):
-        ug = P.concentration(s["source_lat"], s["source_lon"], F.lit(1.0), F.col("station_lat"), F.col("station_lon"))
-        return P.to_ppb(ug, F.col("temperature_2m"))
-
-    return P.with_wind_terms(rows).withColumn("a", F.transform(F.array_sort(seg), one)).drop("_u", "_v", "_ws", "_ay", "_az", "_stab")
+    wind = P.with_wind_terms(rows)
+    ug = P.plume_array(F.array_sort(seg), F.col("station_lat"), F.col("station_lon"))
+    factor = P.to_ppb(F.lit(1.0), F.col("temperature_2m"))
+    return wind.withColumn("_f", factor).withColumn("a", F.transform(ug, lambda x: x * F.col("_f"))).drop(
+        "_f", "_u", "_v", "_ws", "_ay", "_az", "_stab")
 
 
 def geometry_check(rows: DataFrame, group: list[str], limit: float = 500.0, time: str = "obs_time") -> DataFrame:

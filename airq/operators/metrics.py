@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airq.functions.classes import flag
 from airq.operators.dims import pair_with
 from airq.operators.ranks import auc, spearman
+from airq.session import materialize
 
 CLASSES = ["green", "yellow", "orange"]
 
@@ -148,7 +149,9 @@ def calibration_report(df: DataFrame, y: str, p: str, site: list[str], regime: s
         F.struct(F.lit("site").alias("scope"), name.alias("slice")),
         F.struct(F.lit("regime").alias("scope"), calm.alias("slice")),
     )
-    rows = df.select(F.explode(scopes).alias("_s"), y, p).select("_s.scope", "_s.slice", y, p)
+    # counts and ranks read the labelled columns, not the features behind them
+    narrow = materialize(df.select(*site, regime, y, p), "scored")
+    rows = narrow.select(F.explode(scopes).alias("_s"), y, p).select("_s.scope", "_s.slice", y, p)
     keys = ["scope", "slice"]
     sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *threshold_sums(y, p, thresholds))
     rho = spearman(rows, keys, y, p).drop("n")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airq.operators.dims import salted_join
+from airq.session import materialize
 
 
 def _bucket(value: Column) -> Column:
@@ -86,15 +86,17 @@ def medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 def spearman(df: DataFrame, keys: list[str], y: str, p: str, least: int = 3) -> DataFrame:
     """(keys, n, spearman): rank correlation of the complete pairs; null below ``least``.
 
-    Both rankings start from the merged pairs, so the rows are read and shuffled once.
+    Both rankings start from the merged pairs, written once, so the rows are read and
+    shuffled once.
+    A value shared by many pairs makes the join back to them uneven; adaptive skew
+    handling splits that side of the sort-merge join.
     """
-    pairs = (
+    pairs = materialize(
         df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
-        .groupBy(*keys, y, p).agg(F.count(F.lit(1)).alias("m"))
-    )
+        .groupBy(*keys, y, p).agg(F.count(F.lit(1)).alias("m")), "pairs")
     m = F.col("m")
-    ranked = salted_join(pairs, average_ranks(pairs, keys, y, "ry", m), [*keys, y])
-    ranked = salted_join(ranked, average_ranks(pairs, keys, p, "rp", m), [*keys, p])
+    ranked = pairs.join(average_ranks(pairs, keys, y, "ry", m), [*keys, y])
+    ranked = ranked.join(average_ranks(pairs, keys, p, "rp", m), [*keys, p])
     s = ranked.groupBy(*keys).agg(
         F.sum("m").alias("n"),
         F.sum(m * F.col("ry")).alias("sy"), F.sum(m * F.col("rp")).alias("sp"),

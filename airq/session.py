@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "airq", master: str | None = None, shuffle: int | None = None) -> SparkSession:
+def build_session(app: str = "airq", master: str | None = None, shuffle: int | None = None, memory: str = "12g") -> SparkSession:
     """A session with adaptive execution on and UTC as its time zone."""
     b = (
         SparkSession.builder.appName(app)
@@ -18,6 +18,8 @@ def build_session(app: str = "airq", master: str | None = None, shuffle: int | N
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if master:
+        # a local session runs everything in the driver's own heap
+        b = b.config("spark.driver.memory", memory)
         b = b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle))
