@@ -14,6 +14,7 @@ from airq.functions.clock import night
 from airq.operators.dims import look_up, pair_with
 from airq.operators.ordering import earliest, fill_missing, latest
 from airq.operators.ranks import medians, quantiles
+from airq.session import materialize
 
 MIXED, UNALIGNED = "Daytime (mixed)", "Unaligned"
 
@@ -64,7 +65,9 @@ def attribute_sources(obs: DataFrame, stations: DataFrame, sources: DataFrame, h
 
 def active_sources(attributed: DataFrame, keys: list[str], h2s: str = "h2s") -> DataFrame:
     """Per source: hours above 5 ppb, mean and maximum h2s, median emission rate."""
-    up = attributed.filter((F.col(h2s) > 5) & ~F.col("aligned_source").isin(UNALIGNED, MIXED))
+    # written once: counts and medians both read it, and the alignment is not repeated in their filters
+    rows = materialize(attributed.select(*keys, h2s, "aligned_source", "emission_rate_gs"), "attributed")
+    up = rows.filter((F.col(h2s) > 5) & ~F.col("aligned_source").isin(UNALIGNED, MIXED))
     k = [*keys, "aligned_source"]
     stats = up.groupBy(*k).agg(F.count(F.lit(1)).alias("hours"), F.avg(h2s).alias("mean_h2s"), F.max(h2s).alias("max_h2s"))
     return stats.join(quantiles(up, k, "emission_rate_gs", {"median_rate": 0.5}), k, "left")

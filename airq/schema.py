@@ -7,38 +7,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "date": T.DateType(),
+}
 
 
-_MET = (
-    "wind_speed_10m double, wind_direction_10m double, temperature_2m double, dewpoint_2m double, "
-    "relative_humidity_2m double, surface_pressure double, precipitation double, cloud_cover double, "
-    "flow_border double, tide_height double, tidal_state string, sbiwtp_flow_mgd double"
-)
-OBS = _schema(f"network bigint, site_name string, obs_time timestamp, h2s double, h2s_measured boolean, {_MET}")
-FORECAST = _schema(f"network bigint, obs_time timestamp, day_night string, {_MET}")
-READING_CSV = _schema("`Site Name` string, `Date with time` string, Parameter string, Result string, level string")
-READING = _schema("network bigint, site_name string, time timestamp, h2s_ppb double, level string")
+def _schema(**columns) -> T.StructType:
+    """A nullable struct; built without a session, so importing this module needs none."""
+    return T.StructType([
+        T.StructField(n.replace("__", " "), t if isinstance(t, T.DataType) else _TYPES[t], True) for n, t in columns.items()])
+
+
+_MET = dict.fromkeys([
+    "wind_speed_10m", "wind_direction_10m", "temperature_2m", "dewpoint_2m", "relative_humidity_2m", "surface_pressure",
+    "precipitation", "cloud_cover", "flow_border", "tide_height",
+], "double") | {"tidal_state": "string", "sbiwtp_flow_mgd": "double"}
+OBS = _schema(network="bigint", site_name="string", obs_time="timestamp", h2s="double", h2s_measured="boolean", **_MET)
+FORECAST = _schema(network="bigint", obs_time="timestamp", day_night="string", **_MET)
+READING_CSV = _schema(Site__Name="string", Date__with__time="string", Parameter="string", Result="string", level="string")
+READING = _schema(network="bigint", site_name="string", time="timestamp", h2s_ppb="double", level="string")
 PREDICTION = _schema(
-    "network bigint, site_name string, obs_time timestamp, predicted_category string, probability_green double, "
-    "probability_yellow double, probability_orange double, confidence double, alert boolean, h2s_risk double"
-)
-CM_LONG = _schema("day date, pipeline string, site_name string, actual string, predicted string, n bigint")
-_SITE_DOC = (
-    "struct<n_predictions:bigint,n_matched_observations:bigint,n_matched:bigint,balanced_accuracy:double,"
-    "confusion_matrix:array<array<bigint>>>"
-)
+    network="bigint", site_name="string", obs_time="timestamp", predicted_category="string", probability_green="double",
+    probability_yellow="double", probability_orange="double", confidence="double", alert="boolean", h2s_risk="double")
+CM_LONG = _schema(day="date", pipeline="string", site_name="string", actual="string", predicted="string", n="bigint")
+_MATRIX = T.ArrayType(T.ArrayType(T.LongType()))
+_SITE_DOC = _schema(
+    n_predictions="bigint", n_matched_observations="bigint", n_matched="bigint", balanced_accuracy="double", confusion_matrix=_MATRIX)
 METRICS_DOC = _schema(
-    f"day string, pipeline string, schema_version int, site string, sites map<string,{_SITE_DOC}>, "
-    "n_predictions bigint, n_matched_observations bigint, balanced_accuracy double, "
-    "confusion_matrix array<array<bigint>>"
-)
+    day="string", pipeline="string", schema_version="int", site="string", sites=T.MapType(T.StringType(), _SITE_DOC),
+    n_predictions="bigint", n_matched_observations="bigint", balanced_accuracy="double", confusion_matrix=_MATRIX)
 SPILL_CSV = _schema(
-    "Latitude string, Longitude string, `Discharge Location` string, `Start Date` string, `End Date` string, "
-    "`Approximate Discharge Volume` string"
-)
-COMPLAINT_CSV = _schema("date string, description string, site string")
+    Latitude="string", Longitude="string", Discharge__Location="string", Start__Date="string", End__Date="string",
+    Approximate__Discharge__Volume="string")
+COMPLAINT_CSV = _schema(date="string", description="string", site="string")
 
 
 def conform(df: DataFrame, schema: T.StructType, aliases: dict[str, str] | None = None,

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str | None] = {}
+
+
 def build_session(app: str = "airq", master: str | None = None, shuffle: int | None = None, memory: str = "12g") -> SparkSession:
     """A session with adaptive execution on and UTC as its time zone."""
     b = (
@@ -36,8 +39,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="airq-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        named = _LOCAL_FOLDERS.setdefault(app, None) or tempfile.mkdtemp(prefix="airq-")
+        _LOCAL_FOLDERS[app] = named
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
