@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from airq.functions.clock import epoch
 
-BLOCK_SECONDS = 30 * 86400
+BLOCK_SECONDS = 3 * 86400
 CHUNK_ROWS = 4096
 
 
@@ -38,6 +38,8 @@ def number_rows(df: DataFrame, keys: list[str], time: str, tie: list[str] | None
     never decrease along the order.
     """
     df = df.drop("seq", "total")
+    if not keys and block is None:
+        return _number_all(df, time, tie)
     blocked = with_block(df, time, seconds) if block is None else df.withColumn("_block", block)
     counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     whole = W.partitionBy(*_keys(keys))
@@ -51,6 +53,35 @@ def number_rows(df: DataFrame, keys: list[str], time: str, tie: list[str] | None
     return joined.withColumn("seq", F.col("_off") + F.col("_rn")).drop("_block", "_rn", "_off")
 
 
+def _number_all(df: DataFrame, time: str, tie: list[str] | None) -> DataFrame:
+    """Row numbers over the whole table by (time, tie).
+
+    Rows are numbered within (exact time, slice of the tie column), so even an instant
+    shared by a large part of the table is spread; slices are counted first and their
+    offsets summed within the hour and then over hours.  Without a tie a hash of the
+    row decides.
+    """
+    tie_cols = [F.col(c) for c in tie or []]
+    whole_number = bool(tie) and df.schema[tie[0]].dataType.typeName() in ("long", "integer", "short", "byte")
+    first = tie_cols[0].cast("bigint") if whole_number else F.xxhash64(*df.columns)
+    width = 2**16 if whole_number else 2**50
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    d = df.withColumns({"_us": us, "_first": first}).withColumn("_slice", F.floor(F.col("_first") / F.lit(float(width))))
+    counts = d.groupBy(F.floor(F.col("_us") / F.lit(3_600_000_000)).alias("_hour"), "_us", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    hours = counts.groupBy("_hour").agg(F.sum("_n").alias("_h"))
+    # one row per hour of the series from here to the join
+    one = W.partitionBy(F.lit(0))
+    starts = hours.select(
+        "_hour", F.coalesce(F.sum("_h").over(one.orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+        F.sum("_h").over(one).alias("total"))
+    inside = W.partitionBy("_hour").orderBy("_us", "_slice").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, "_hour").select(
+        "_us", "_slice", (F.col("_start") + F.col("_in")).alias("_off"), "total")
+    w = W.partitionBy("_us", "_slice").orderBy("_first", *tie_cols)
+    numbered = d.withColumn("_rn", F.row_number().over(w)).join(offsets, ["_us", "_slice"])
+    return numbered.withColumn("seq", F.col("_off") + F.col("_rn")).drop("_us", "_first", "_slice", "_rn", "_off")
+
+
 def row_windows(df: DataFrame, keys: list[str], before: int, after: int,
                 build: Callable[[W], dict[str, Column]], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Columns over row frames of a numbered frame, reaching ``before``/``after`` rows."""
@@ -69,7 +100,7 @@ def row_windows(df: DataFrame, keys: list[str], before: int, after: int,
 
 
 def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after: int,
-                 build: Callable[[W], dict[str, Column]], seconds: int = 7 * 86400) -> DataFrame:
+                 build: Callable[[W], dict[str, Column]], seconds: int = 3 * 86400) -> DataFrame:
     """Columns over range frames in seconds, reaching ``before``/``after`` seconds.
 
     ``build`` gets a window ordered by the long column ``_t``.

@@ -306,9 +306,10 @@ def _(i):
 
     d = i.scored().select(F.to_date("obs_time").alias("day"),
                           F.when(F.col("network") % 2 == 0, "daily_station").otherwise("root").alias("pipeline"),
-                          F.concat_ws("/", F.col("network").cast("string"), "site_name").alias("site_name"), "actual", "predicted")
+                          "network", F.concat_ws("/", F.col("network").cast("string"), "site_name").alias("site_name"), "actual", "predicted")
     path = scratch_path(i.spark, "metrics")
-    docs = confusion_to_documents(M.confusion(d, ["day", "pipeline", "site_name"]), nested=F.col("pipeline") == "daily_station")
+    docs = confusion_to_documents(M.confusion(d, ["day", "pipeline", "network", "site_name"]),
+                                  nested=F.col("pipeline") == "daily_station", group=["network"])
     docs.write.json(path)
     return read_metrics_documents(i.spark, path).filter("n > 0")
 
@@ -320,7 +321,8 @@ def _(i):
 
     cards = S.period_scorecards(S.effective_cells(_daily(i), ORDER), S.period_windows(i.spark, "2024-01-30"))
     cols = ["n", "balanced_accuracy", "orange_recall", "false_alarm_rate"]
-    return flatten_sites(nest_sites(cards.filter("site <> 'overall'"), ["scope"], "site", cols), ["scope"], "site")
+    per = cards.filter("site <> 'overall'").withColumn("network", F.split("site", "/")[0])
+    return flatten_sites(nest_sites(per, ["scope", "network"], "site", cols), ["scope"], "site")
 
 
 @query("a27_column_quality", "A27", "column_name:s n:i present:i missing:i missing_pct:d min:d max:d mean:d", """

@@ -29,19 +29,22 @@ def read_metrics_documents(spark: SparkSession, path, class_order: list[str] = W
                         _class("_p", class_order).alias("predicted"), "n")
 
 
-def confusion_to_documents(cm: DataFrame, nested: Column, class_order: list[str] = WRITER_ORDER) -> DataFrame:
-    """Long cells as documents: where ``nested`` holds one document per day and
-    pipeline with a ``sites`` map, elsewhere one flat document per site."""
+def confusion_to_documents(cm: DataFrame, nested: Column, class_order: list[str] = WRITER_ORDER,
+                           group: list[str] | None = None) -> DataFrame:
+    """Long cells as documents: where ``nested`` holds one document per day, pipeline and
+    ``group`` (a network, so a document has few sites) with a ``sites`` map, elsewhere one
+    flat document per site."""
+    group = group or []
     cell = lambda a, p: F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n")).otherwise(0))
     matrix = F.array(*[F.array(*[cell(a, p) for p in class_order]) for a in class_order])
-    per = cm.withColumn("_nested", nested).groupBy("day", "pipeline", "_nested", "site_name").agg(
+    per = cm.withColumn("_nested", nested).groupBy("day", "pipeline", *group, "_nested", "site_name").agg(
         matrix.alias("confusion_matrix"), F.sum("n").alias("n_matched_observations"))
     doc = F.struct(F.col("n_matched_observations").alias("n_predictions"), "n_matched_observations", "confusion_matrix")
-    wide = per.filter("_nested").groupBy("day", "pipeline").agg(
+    wide = per.filter("_nested").groupBy("day", "pipeline", *group).agg(
         F.map_from_entries(F.collect_list(F.struct("site_name", doc.alias("m")))).alias("sites")
     ).withColumn("schema_version", F.lit(2))
     one = per.filter("NOT _nested").select(
-        "day", "pipeline", F.lit(1).alias("schema_version"), F.col("site_name").alias("site"), "n_matched_observations", "confusion_matrix")
+        "day", "pipeline", *group, F.lit(1).alias("schema_version"), F.col("site_name").alias("site"), "n_matched_observations", "confusion_matrix")
     return wide.unionByName(one, allowMissingColumns=True)
 
 

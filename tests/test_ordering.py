@@ -146,3 +146,16 @@ def test_pairing_is_complete_on_both_paths(spark, limit):
     got = pair_with(a, b, limit=limit, salts=4)
     assert got.count() == 350 and got.distinct().count() == 350
     assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("tie", [["id"], ["name"], None])
+def test_numbering_a_whole_table_with_a_crowded_instant(spark, tie):
+    rng = np.random.default_rng(8)
+    t = [pd.Timestamp("2024-01-01")] * 400 + [pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=int(m)) for m in rng.integers(0, 9000, 600)]
+    pdf = pd.DataFrame({"t": t, "id": rng.permutation(1000) * 500})
+    pdf["name"] = pdf.id.map("{:07d}".format)
+    got = number_rows(spark.createDataFrame(pdf).repartition(5), [], "t", tie).toPandas().sort_values("seq")
+    assert list(got.seq) == list(range(1, 1001)) and (got.total == 1000).all() and got.t.is_monotonic_increasing
+    if tie == ["id"]:
+        want = pdf.sort_values(["t", "id"]).id.tolist()
+        assert got.id.tolist() == want
