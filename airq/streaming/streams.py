@@ -13,6 +13,7 @@ from airq.sources.readers import conform_readings
 
 WATERMARK = "2 hours"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_SHUFFLE = "spark.sql.shuffle.partitions"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -63,18 +64,20 @@ def enriched(readings: DataFrame, forecast: DataFrame, weather: DataFrame, keys:
 
 
 @contextmanager
-def rocksdb(spark: SparkSession):
-    """State in RocksDB for the queries started inside: it spills to disk and its
-    checkpoints are incremental."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """Settings for the stateful queries started inside: state in RocksDB, which spills
+    to disk and checkpoints incrementally, and no more state stores than twice the
+    cores, since each costs a store per batch however little it holds."""
+    few = min(int(spark.conf.get(_SHUFFLE)), 2 * spark.sparkContext.defaultParallelism)
+    wanted = {_PROVIDER: _ROCKS, _SHUFFLE: str(partitions or few)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_available(stream: DataFrame, label: str, timeout_s: int = 900, checkpoint: str | None = None, sink: str | None = None,
@@ -84,7 +87,7 @@ def run_available(stream: DataFrame, label: str, timeout_s: int = 900, checkpoin
     spark = stream.sparkSession
     out = sink or scratch_path(spark, f"{label}-out")
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint or scratch_path(spark, f"{label}-cp")).trigger(availableNow=True)
-    with rocksdb(spark):
+    with state_settings(spark):
         if foreach_batch is not None:
             q = writer.foreachBatch(foreach_batch).start()
         else:

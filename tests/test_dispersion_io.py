@@ -161,3 +161,20 @@ def test_unknown_formats_are_refused(spark):
         R.read_forecast(spark, "x", "xml")
     with pytest.raises(ValueError):
         S.write_formats(spark.range(1), scratch_path(spark, "f"), ("xml",))
+
+
+def test_model_variant_round_trip(spark):
+    from airq.operators import models as Z
+
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"x": rng.random(200), "z": rng.random(200)})
+    pdf["h2s"] = 50 * pdf.x
+    df = spark.createDataFrame(pdf)
+    model = Z.fit_pair(df, "regression", "h2s", ["x", "z"], trees=3, depth=3)[0]
+    path = scratch_path(spark, "variant")
+    S.save_model_variant(model, ["x", "z"], path, spark)
+    again, feats = R.read_model_variant(spark, path)
+    assert feats == ["x", "z"]
+    a = model.transform(df).agg(F.sum("a")).first()[0]
+    assert again.transform(df).agg(F.sum("a")).first()[0] == pytest.approx(a)
+    assert Z.feature_importance(model, feats, spark, 1).first().feature == "x"
