@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from airq.functions.clock import epoch
 
-BLOCK_SECONDS = 3 * 86400
+BLOCK_SECONDS = 7 * 86400
 CHUNK_ROWS = 4096
 
 
@@ -100,7 +100,7 @@ def row_windows(df: DataFrame, keys: list[str], before: int, after: int,
 
 
 def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after: int,
-                 build: Callable[[W], dict[str, Column]], seconds: int = 3 * 86400) -> DataFrame:
+                 build: Callable[[W], dict[str, Column]], seconds: int = 7 * 86400) -> DataFrame:
     """Columns over range frames in seconds, reaching ``before``/``after`` seconds.
 
     ``build`` gets a window ordered by the long column ``_t``.
