@@ -1,23 +1,63 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents: ``STAGES`` in order, each written as Parquet before the next reads it.
+
+Rows that share a ``doc_id`` (NULL is one such id) are one document: it stays if any of its
+rows is kept. All columns of ``documents`` are passed on as they are, but for the text (and
+``n_chars``) of documents that lose a repeated passage; a document of which nothing else
+is left stays with an empty text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airq.llm import exact_dedup, packing
+from airq.llm import exact_dedup, near_dedup, packing, quality_rules, substring_dedup
 from airq.llm.tables import kept_table, table
 
 
+def _stay(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is kept."""
+    ids = decisions.filter("kept").select(F.col("doc_id").alias("_kept_id"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the proven cutoffs."""
+    return _stay(docs, quality_rules.judge(docs, table(spark, sf_dir, "labels")))
+
+
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = exact_dedup.exact_groups(docs).filter("kept").selectExpr("doc_id AS _stay")
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
+    """Of equal texts, the document with the largest id."""
+    return _stay(docs, exact_dedup.exact_groups(docs))
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 on five-word shingles, the one with the least id."""
+    return _stay(docs, near_dedup.near_groups(docs, 5, 80, 100))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay in the document with the least id and are cut from the others."""
+    cut = substring_dedup.cut_repeats(docs).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_cut_id"), F.col("text").alias("_cut_text"))
+    hit = F.col("_cut_id").isNotNull()
+    new = {"text": F.when(hit, F.col("_cut_text")).otherwise(F.col("text")), "n_chars": F.when(hit, F.length("_cut_text").cast("long")).otherwise(F.col("n_chars"))}
+    return docs.join(cut, docs["doc_id"] == cut["_cut_id"], "left").withColumns({k: v for k, v in new.items() if k in docs.columns}).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left, as sequences of at most 1024 token ids."""
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", keep_one_copy), ("packing", pack)]
+STAGES = [
+    ("quality rules", reject_low_quality),
+    ("exact dedup", keep_one_copy),
+    ("near dedup", keep_one_of_each_group),
+    ("substring dedup", cut_repeated_passages),
+    ("packing", pack_sequences),
+]
+
+#: Near duplicates and token ids have no SQL form; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
