@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airq.llm.words import LONGEST, ROOM, Tokenizer, slices
+from airq.llm.words import LONGEST, Tokenizer, slices
 
 NONE = np.int32(2**31 - 1)
 ROWS = 4096
@@ -161,26 +161,27 @@ class SegmentTreeBPE(Tokenizer):
         self.pattern, self.spaces = regex.compile(public_tokenizers.PATTERN), True
         self.first, self.later, self.tokens = {}, {}, {}
 
+    def _split(self, piece: str) -> list[str]:
+        return [piece] if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()) else self.pattern.findall(piece)
+
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        split = [self.pattern.findall(p) for p in pieces]
-        if len(self.tokens) > ROOM:
-            self.tokens.clear()
-        new = {t: t.encode("utf-8", "surrogatepass") for s in split for t in s if t not in self.tokens}
-        by_width: dict[int, list[str]] = {}
-        fresh = {}
-        for t, b in new.items():
+        return self._joined(pieces, [self._split(p) for p in pieces])
+
+    def _new(self, tokens: list[str]) -> list[bytes]:
+        raw = [t.encode("utf-8", "surrogatepass") for t in tokens]
+        out: list[bytes] = [b""] * len(raw)
+        by_width: dict[int, list[int]] = {}
+        for k, b in enumerate(raw):
             if len(b) > LONGEST:
-                fresh[t] = merge_one(self.ranks, b).astype("<u4").tobytes()
+                out[k] = merge_one(self.ranks, b).astype("<u4").tobytes()
             else:
-                by_width.setdefault(max(2, 1 << (len(b) - 1).bit_length()), []).append(t)
+                by_width.setdefault(max(2, 1 << (len(b) - 1).bit_length()), []).append(k)
         for width, own in by_width.items():
-            for k in range(0, len(own), ROWS):
-                part = own[k : k + ROWS]
-                for t, ids in zip(part, merge_many(self.ranks, [new[t] for t in part], width), strict=True):
-                    fresh[t] = ids.astype("<u4").tobytes()
-        self.tokens.update((t, v) for t, v in fresh.items() if len(t) <= LONGEST)
-        get = self.tokens.get
-        return [b"".join([fresh[t] if t in fresh else get(t) for t in s]) for s in split]
+            for i in range(0, len(own), ROWS):
+                part = own[i : i + ROWS]
+                for k, ids in zip(part, merge_many(self.ranks, [raw[k] for k in part], width), strict=True):
+                    out[k] = ids.astype("<u4").tobytes()
+        return out
 
 
 _ENCODERS: dict[str, SegmentTreeBPE] = {}

@@ -9,17 +9,26 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 GENERAL_CUT = re.compile(r"(?<=\S)(?= )")
 #: Letters beyond this range may be classed differently by other Unicode tables; words with them go to the tokenizer whole.
-BEYOND = re.compile("[^\x00-ɏ]")
+BEYOND = re.compile("[^\x00-\u024f]")
+MARKS = frozenset(".,;:!?")
 #: Entries a worker keeps per table; a full table is emptied.
-ROOM = 400_000
+ROOM = 600_000
 LONGEST = 64
 
 
+def byte_letters() -> dict[int, str]:
+    """Latin-1 code points to the letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on."""
+    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in keep]
+    return {b: chr(b) for b in keep} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Tokenizer:
     """``encode(texts)``: for each text its ids as packed unsigned 32-bit integers."""
 
@@ -29,38 +38,55 @@ class Tokenizer:
         import regex
         import tokenizers
 
-        self.model = tokenizers.Tokenizer.from_file(public_tokenizers.path(file))
-        self.model.encode_special_tokens = True
+        self.whole = tokenizers.Tokenizer.from_file(public_tokenizers.path(file))
+        self.whole.encode_special_tokens = True
+        self.merges, self.letters = self.whole.model, byte_letters()
         self.spaces = not file.startswith("word")  # a space belongs to the word after it
         self.pattern = regex.compile(public_tokenizers.PATTERN if self.spaces else r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
         self.tokens: dict[str, bytes] = {}
 
+    def _split(self, piece: str) -> list[str]:
+        """The piece's pre-tokens."""
+        word = piece[1:] if piece[:1] == " " else piece
+        if not self.spaces:
+            word = piece = piece.lower()
+        if word.isalpha():
+            return [piece]
+        if word and word[-1] in MARKS and word[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return self.pattern.findall(piece)
+
+    def _new(self, tokens: list[str]) -> list[bytes]:
+        """Ids of pre-tokens not seen before."""
+        out = []
+        for t in tokens:
+            spelled = t.encode("utf-8").decode("latin-1").translate(self.letters)
+            out.append(array("I", [x.id for x in self.merges.tokenize(spelled)]).tobytes())
+        return out
+
+    def _unsplit(self, piece: str) -> bytes:
+        """Ids of a piece that the tokenizer splits by its own tables."""
+        return np.array(self.whole.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        split = []
-        for p in pieces:
-            if BEYOND.search(p):
-                split.append([p])
-            else:
-                split.append(self.pattern.findall(p if self.spaces else p.lower()))
+        return self._joined(pieces, [None if BEYOND.search(p) else self._split(p) for p in pieces])
+
+    def _joined(self, pieces: list[str], split: list[list[str] | None]) -> list[bytes]:
         if len(self.tokens) > ROOM:
             self.tokens.clear()
-        new = list({t for s in split for t in s if t not in self.tokens})
-        fresh = {}
-        for i in range(0, len(new), 2048):
-            part = new[i : i + 2048]
-            for t, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                fresh[t] = np.array(e.ids, dtype="<u4").tobytes()
+        new = list({t for s in split if s for t in s if t not in self.tokens})
+        fresh = dict(zip(new, self._new(new), strict=True))
         self.tokens.update((t, v) for t, v in fresh.items() if len(t) <= LONGEST)
         get = self.tokens.get
-        return [b"".join([fresh[t] if t in fresh else get(t) for t in s]) for s in split]
+        return [self._unsplit(p) if s is None else b"".join([fresh[t] if t in fresh else get(t) for t in s]) for p, s in zip(pieces, split, strict=True)]
 
     def _learn(self, table: dict, wanted: list[str], lead: str) -> None:
         if len(table) > ROOM:
             table.clear()
         # a space after white space doesn't cut: None sends the text to the general cut
-        bad = {w for w in wanted if self.spaces and lead and (not w or w[-1].isspace())}
+        bad = {w for w in wanted if lead and (not w or w[-1].isspace())}
         good = [w for w in wanted if w not in bad]
         table.update(zip(good, self._ids([lead + w for w in good]), strict=True))
         table.update(dict.fromkeys(bad))
@@ -68,20 +94,18 @@ class Tokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         lead = " " if self.spaces else ""
         cut = [t.split(" ") for t in texts]
-        first, later = self.first, self.later if self.spaces else self.first
+        first, later = self.first, self.later
         if self.spaces:
-            heads = {c[0] for c in cut if c[0] not in first}
-            # a text that starts with a space has an empty head; a head that ends in white space doesn't cut
-            self._learn(first, list(heads), "")
-            self._learn(later, list({w for c in cut for w in c[1:] if w not in later}), lead)
+            self._learn(first, [w for w in {c[0] for c in cut} if w not in first], "")
+            self._learn(later, [w for w in set().union(*[c[1:] for c in cut]) if w not in later], lead)
         else:
-            self._learn(first, list({w for c in cut for w in c if w not in first}), "")
+            self._learn(first, [w for w in set().union(*cut) if w not in first], "")
         out = []
         for t, c in zip(texts, cut, strict=True):
             try:
                 if self.spaces:
                     if len(c) > 1 and (not c[0] or c[0][-1].isspace()):
-                        raise TypeError
+                        raise TypeError  # a head that ends in white space doesn't cut
                     out.append(first[c[0]] + b"".join([later[w] for w in c[1:]]))
                 else:
                     out.append(b"".join([first[w] for w in c]))

@@ -50,7 +50,7 @@ def test_only_proven_cutoffs_reject(spark, docs):
     """With few labels nothing is proven; with many, a rule that good documents pass rejects, and one that they fail does not."""
     good = " ".join(f"w{i}" for i in range(40))
     marked = good.replace(" w1", "! w1")  # good documents have marks
-    junk = good.replace(" ", " # ")
+    junk = good.replace(" ", "# ")
     rows = [(i, marked) for i in range(3000)] + [(5000, junk), (5001, good)]
     few = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
     many = spark.createDataFrame([(i, 1, 0) for i in range(3000)] + [(5000, 0, 0), (5000, 1, 0), (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
