@@ -8,8 +8,10 @@ further values (8 bits each) only narrow pairs down before they are confirmed.
 
 No bucket is opened into all its pairs: equal sets count once; a bucket's members are first
 compared with its leader, the member whose buckets are fullest; what is linked by then is
-one component. Only members of buckets that still hold several components are compared with
-one another, block by block, within a task.
+one component. Members of buckets that still hold several components are compared by their
+signatures, block by block within a task, and only say which documents are close to which
+cluster. The clusters are then compared on full sets, again block by block; a task gives out
+no more links than join its components.
 """
 
 from __future__ import annotations
@@ -137,64 +139,142 @@ def linked(pairs: DataFrame, texts: DataFrame, width: int, part: int, whole: int
     return pairs.join(t1, "a").join(t2, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def block_pairs(rows: DataFrame, most: int) -> DataFrame:
-    """Pairs of different components that meet in a bucket, each from the first bucket it shares, at most ``most`` values apart.
+def in_blocks(rows: DataFrame, key: str, payload: list[str]) -> DataFrame:
+    """Rows of each group dealt to pairs of blocks: ``key, i, j, own`` and ``payload``, sorted by group within tasks.
 
-    ``rows``: ``key, n, node, component, signature``. A bucket of n members has n / BLOCK
-    blocks, and a task compares two blocks at a time; only close pairs leave it.
+    ``rows`` has the group's size ``n``. A group of n rows has n / BLOCK blocks; a pair of rows
+    with own blocks i <= j meets in (i, j) alone, so no task holds more than two blocks at once.
     """
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    dealt = rows.withColumn("_blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    dealt = dealt.select(key, F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"), "own", *payload)
+    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
 
-    def compare(f):
-        """Close pairs within the whole groups of a pandas frame."""
-        first, more = unpacked(f["signature"].tolist())
-        key, i, j, own = (f[c].to_numpy() for c in ("key", "i", "j", "own"))
-        node, comp = f["node"].to_numpy(), f["component"].to_numpy()
-        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+
+def whole_groups(frames, key: str):
+    """Pandas frames of whole groups (key, i, j) from a sorted partition, each with its rows' counts of later rows in their group."""
+    import pandas as pd
+
+    def ready(f):
+        f = f.reset_index(drop=True)
+        k, i, j = (f[c].to_numpy() for c in (key, "i", "j"))
+        edge = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
         size = np.diff(np.append(edge, len(f)))
-        left = np.arange(len(f))
-        reach = np.repeat(edge + size, size) - left - 1  # rows after each row in its group
-        ends = np.cumsum(reach)
-        found = []
-        at = 0
-        while at < len(f):
-            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
-            a = np.repeat(left[at:upto], reach[at:upto])
-            b = a + 1 + np.arange(len(a)) - np.repeat(ends[at:upto] - reach[at:upto] - (ends[at - 1] if at else 0), reach[at:upto])
-            ok = (comp[a] != comp[b]) & (node[a] != node[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
+        return f, np.repeat(edge + size, size) - np.arange(len(f)) - 1
+
+    rest = None
+    for f in frames:
+        f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+        if len(f):
+            tail = (f[key] == f[key].iloc[-1]) & (f["i"] == f["i"].iloc[-1]) & (f["j"] == f["j"].iloc[-1])
+            rest, f = f[tail], f[~tail]
+            if len(f):
+                yield ready(f)
+    if rest is not None and len(rest):
+        yield ready(rest)
+
+
+def pairs_within(reach: np.ndarray):
+    """Places (a, b), a before b in one group, some at a time; ``reach`` as from ``whole_groups``."""
+    ends = np.cumsum(reach)
+    at = 0
+    while at < len(reach):
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, side="right")))
+        n = reach[at:upto]
+        a = np.repeat(np.arange(at, upto), n)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(ends[at:upto] - n - before, n)
+        at = upto
+
+
+def close_by_block(rows: DataFrame, most: int) -> DataFrame:
+    """Links ``a, b`` that connect all documents of different components which meet in a bucket at most ``most`` values apart.
+
+    ``rows``: ``key, n, node, component, signature``. A pair counts in the first bucket it shares;
+    a task gives out at most one link per document it holds, not the pairs themselves.
+    """
+
+    def compare(f, reach):
+        first, more = unpacked(f["signature"].tolist())
+        key, i, j, own, node, comp = (f[c].to_numpy() for c in ("key", "i", "j", "own", "node", "component"))
+        label = np.arange(len(f))
+        for a, b in pairs_within(reach):
+            ok = (comp[a] != comp[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
+            a, b = a[ok], b[ok]
+            ok = distance(first, more, a, b) <= most
+            a, b = a[ok], b[ok]
+            same = (first[a] == first[b]).reshape(-1, CHUNKS, PER_CHUNK)
+            chunk = (same.sum(axis=2) >= PER_CHUNK - 1).argmax(axis=1)
+            place = (~same[np.arange(len(a)), chunk]).argmax(axis=1)  # 0 if none differs
+            ok = key[a] >> 48 == chunk * PER_CHUNK + place
             a, b = a[ok], b[ok]
-            if len(a):
-                ok = distance(first, more, a, b) <= most
+            while len(a):  # least label over the links, then over labels, until all ends agree
+                low = np.minimum(label[a], label[b])
+                np.minimum.at(label, label[a], low)
+                np.minimum.at(label, label[b], low)
+                np.minimum.at(label, a, low)
+                np.minimum.at(label, b, low)
+                label = label[label]
+                ok = label[a] != label[b]
                 a, b = a[ok], b[ok]
-                same = (first[a] == first[b]).reshape(-1, CHUNKS, PER_CHUNK)
-                hit = same.sum(axis=2) >= PER_CHUNK - 1
-                chunk = hit.argmax(axis=1)
-                place = (~same[np.arange(len(a)), chunk]).argmax(axis=1)  # 0 if none differs
-                ok = key[a] >> 48 == chunk * PER_CHUNK + place
-                found.append(np.stack([np.minimum(node[a[ok]], node[b[ok]]), np.maximum(node[a[ok]], node[b[ok]])], axis=1))
-            at = upto
-        return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        while (label[label] != label).any():
+            label = label[label]
+        some = label != np.arange(len(f))
+        return node[some], node[label[some]]
 
     def run(frames):
         import pandas as pd
 
-        rest = None
-        for f in frames:
-            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
-            if not len(f):
-                continue
-            tail = (f["key"] == f["key"].iloc[-1]) & (f["i"] == f["i"].iloc[-1]) & (f["j"] == f["j"].iloc[-1])
-            rest, f = f[tail], f[~tail]
-            if len(f):
-                yield pd.DataFrame(compare(f.reset_index(drop=True)), columns=["a", "b"])
-        if rest is not None and len(rest):
-            yield pd.DataFrame(compare(rest.reset_index(drop=True)), columns=["a", "b"])
+        for f, reach in whole_groups(frames, "key"):
+            a, b = compare(f, reach)
+            yield pd.DataFrame({"a": a, "b": b})
+
+    return in_blocks(rows, "key", ["node", "component", "signature"]).mapInPandas(run, "a long, b long")
+
+
+def linked_by_block(rows: DataFrame, width: int, part: int, whole: int, most: int) -> DataFrame:
+    """Links ``a, b`` on full sets that join the components of each cluster, no more than a task needs to join those it holds.
+
+    ``rows``: ``cluster, n, node, component, signature, text``.
+    """
+
+    def compare(f, reach):
+        first, more = unpacked(f["signature"].tolist())
+        i, j, own, node, comp = (f[c].to_numpy() for c in ("i", "j", "own", "node", "component"))
+        texts, sets, root, out = f["text"].tolist(), {}, {}, []
+
+        def find(x):
+            while x in root:
+                x = root[x]
+            return x
+
+        for a, b in pairs_within(reach):
+            ok = (comp[a] != comp[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
+            a, b = a[ok], b[ok]
+            d = distance(first, more, a, b)
+            ok = np.flatnonzero(d <= most)
+            for k in ok[np.argsort(d[ok], kind="stable")]:  # the closest first: most others are joined by then
+                x, y = int(a[k]), int(b[k])
+                u, v = find(int(comp[x])), find(int(comp[y]))
+                if u == v:
+                    continue
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = np.unique(shingle_lists([texts[z]], width)[0])
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if whole * both >= part * (len(sets[x]) + len(sets[y]) - both):
+                    root[max(u, v)] = min(u, v)
+                    out.append((int(node[x]), int(node[y])))
+        return out
+
+    def run(frames):
+        import pandas as pd
+
+        for f, reach in whole_groups(frames, "cluster"):
+            yield pd.DataFrame(compare(f, reach), columns=["a", "b"], dtype="int64")
 
-    return dealt.mapInPandas(run, "a long, b long")
+    return in_blocks(rows, "cluster", ["node", "component", "signature", "text"]).mapInPandas(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, width: int = 3, part: int = 85, whole: int = 100) -> DataFrame:
@@ -227,8 +307,13 @@ def near_groups(docs: DataFrame, width: int = 3, part: int = 85, whole: int = 10
         placed = met.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
         open_keys = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key", "n")
         left = placed.join(open_keys, "key").join(signatures, "node")
-        more = keep(block_pairs(left, most).distinct().join(tried, ["a", "b"], "left_anti"), "tried-again")
-        links = keep(links.union(linked(more, texts, width, part, whole)), "all-links")
+        close = keep(close_by_block(left, most), "close")
+        stars = components(close, keep, "clusters")
+        clusters = stars.union(stars.select("component", "component").distinct()).toDF("node", "cluster")
+        sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+        held = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        more = linked_by_block(held.join(sizes, "cluster").join(signatures, "node").join(texts, "node"), width, part, whole, most)
+        links = keep(links.union(more), "all-links")
         labels = kept_table(components(links, keep), "components")
     out = sign.join(first, (F.col("fingerprint") == F.col("_print")) & F.col("doc_id").isNotNull(), "left").join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     component = F.coalesce("component", "node", "doc_id")
