@@ -190,8 +190,15 @@ FEATURES_33 = [
 PLANT_FEATURES = [
     "sbiwtp_flow_mgd", "sbiwtp_anomaly", "sbiwtp_deficit", "sbiwtp_flow_x_temp", "sbiwtp_hourly_mgd", "sbiwtp_sli",
 ]
-FEATURES_44 = FEATURES_33 + [
-    "wind_speed_10m_avg_4h", "wind_gusts_10m_max_4h", "flow_log", "flow_low", "flow_high",
+# in the order that stored legacy models expect
+FEATURES_44 = [
+    "temperature_2m", "wind_speed_10m", "wind_direction_sin", "wind_direction_cos", "wind_gusts_10m",
+    "precipitation", "relative_humidity_2m", "surface_pressure", "cloud_cover", "dewpoint_2m",
+    "wind_speed_10m_avg_2h", "wind_speed_10m_avg_3h", "wind_speed_10m_avg_4h", "wind_gusts_10m_max_2h",
+    "wind_gusts_10m_max_3h", "wind_gusts_10m_max_4h", "tide_height", "tidal_state_encoded", "hour_sin", "hour_cos",
+    "month_sin", "month_cos", "is_night", "source_regime", "flow_log", "flow_low", "flow_high",
+    "wind_temp_interaction", "humidity_temp_interaction", "stable_atm", "wind_x_stable_atm", "h2s_lag_1h",
+    "h2s_lag_3h", "h2s_lag_6h", "h2s_rolling_6h", "h2s_rolling_24h", "flow_lag_6h", "flow_rolling_24h",
 ] + PLANT_FEATURES
 FEATURES_19 = [
     "temperature_2m", "wind_speed_10m", "wind_direction_sin", "wind_direction_cos", "relative_humidity_2m",

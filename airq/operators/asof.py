@@ -15,14 +15,13 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: list[str], left_time:
     """Each left row with the nearest right row of its keys within ``tolerance`` seconds.
 
     A tie in distance goes to the earlier right row; left rows without a match
-    are dropped and none is repeated.  Both sides are laid on one time line per
+    are dropped and none is repeated; a NULL key matches a NULL key, a NULL time nothing.
+    Both sides are laid on one time line per
     (key, time chunk), right rows copied across a chunk edge they are near to, so
     no pairs are formed.
     """
     micros = tolerance * 1_000_000
-    span = seconds * 1_000_000
-    if micros > span:
-        raise ValueError("the tolerance may not exceed one chunk")
+    span = max(seconds * 1_000_000, micros)
     one = earliest(right.select(*keys, right_time, *right_cols, *(right_tie or [])), [*keys, right_time],
                    right_tie or [right_cols[0]], keep=right_cols)
 

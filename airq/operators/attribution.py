@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions import geo
 from airq.functions.clock import night
-from airq.operators.dims import look_up, pair_with
-from airq.operators.ordering import earliest, fill_missing, latest
+from airq.operators.dims import pair_with
+from airq.operators.ordering import earliest, fill_missing, latest, meet
 from airq.operators.ranks import medians, quantiles
 from airq.session import materialize
 
@@ -20,8 +20,9 @@ MIXED, UNALIGNED = "Daytime (mixed)", "Unaligned"
 
 
 def station_geometry(stations: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per station its coordinates and ``near``: bearing and distance of every source, in source order."""
-    ordered = sources if "ord" in sources.columns else sources.withColumn("ord", F.monotonically_increasing_id())
+    """Per station its coordinates and ``near``: bearing and distance of every source, in
+    the order of ``ord`` or else of the sources' names."""
+    ordered = sources if "ord" in sources.columns else sources.withColumn("ord", F.struct("source", "source_lat", "source_lon"))
     g = [F.col(c) for c in ("station_lat", "station_lon", "source_lat", "source_lon")]
     pairs = pair_with(stations, ordered).select(
         "site_name", "station_lat", "station_lon",
@@ -34,15 +35,11 @@ def aligned_source(df: DataFrame, stations: DataFrame, sources: DataFrame, thres
     """Add ``aligned_source`` and ``source_distance_km``: the source whose bearing from
     the station is nearest to the wind direction, if within ``threshold``.
 
-    Bearings are worked out once per station and looked up by its name: as a literal
-    map when the stations are few, by a join otherwise.  Unknown stations are dropped.
+    Bearings are worked out once per station and joined by its name; a name with several
+    places gives a row for each.  Unknown stations are dropped.
     """
     geometry = station_geometry(stations, sources)
-    table = look_up(geometry, "site_name")
-    if table is not None:
-        placed = df.withColumn("_near", table[F.col("site_name")]["near"]).filter("_near IS NOT NULL")
-    else:
-        placed = df.join(geometry.select("site_name", F.col("near").alias("_near")), "site_name")
+    placed = df.join(geometry.select("site_name", F.col("near").alias("_near")), "site_name")
     off = lambda s: F.abs(geo.angular_difference(F.col(wind_dir), s["bearing"]))
     best = placed.withColumn("_b", F.array_min(F.transform("_near", lambda s: F.struct(
         off(s).alias("off"), s["ord"].alias("ord"), s["source"].alias("source"), s["km"].alias("km")))))
@@ -70,7 +67,7 @@ def active_sources(attributed: DataFrame, keys: list[str], h2s: str = "h2s") ->
     up = rows.filter((F.col(h2s) > 5) & ~F.col("aligned_source").isin(UNALIGNED, MIXED))
     k = [*keys, "aligned_source"]
     stats = up.groupBy(*k).agg(F.count(F.lit(1)).alias("hours"), F.avg(h2s).alias("mean_h2s"), F.max(h2s).alias("max_h2s"))
-    return stats.join(quantiles(up, k, "emission_rate_gs", {"median_rate": 0.5}), k, "left")
+    return meet(stats, quantiles(up, k, "emission_rate_gs", {"median_rate": 0.5}), k, "left")
 
 
 def top_sources(attributed: DataFrame, keys: list[str], n: int = 6) -> DataFrame:

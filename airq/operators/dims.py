@@ -1,40 +1,32 @@
-"""Pairing rows with a small table without a cross join.
+"""Pairing rows with a dimension table without a cross join.
 
-Up to ``MAX_INLINE`` rows the table is proven small by reading one row more than
-allowed, then travels as an array literal inside the expression.  A larger table
-is copied once per salt and met by an equi-join on the salt, so neither side is
-ever held whole by one task.
+Each row draws a salt, the table is copied once per salt and both meet on it. Whether
+a copy is broadcast or shuffled is left to Spark, which knows its size; values are the
+same either way.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE = 2000
-SALTS = 64
-
 
-def inline_array(dim: DataFrame, limit: int = MAX_INLINE) -> Column | None:
-    """The rows of ``dim`` as one array-of-struct literal, or None beyond ``limit``."""
-    rows = dim.select(F.to_json(F.struct("*")).alias("j")).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    text = "[" + ",".join(r.j for r in rows) + "]"
-    ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in dim.schema.fields)
-    return F.from_json(F.lit(text), f"array<struct<{ddl}>>")
+def _tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def pair_with(df: DataFrame, dim: DataFrame, limit: int = MAX_INLINE, salts: int = SALTS) -> DataFrame:
-    """Every row of ``df`` with every row of ``dim``."""
-    arr = inline_array(dim, limit)
-    if arr is not None:
-        return df.withColumn("_d", F.explode(arr)).select("*", "_d.*").drop("_d")
+def pair_with(df: DataFrame, dim: DataFrame, salts: int | None = None) -> DataFrame:
+    """Every row of ``df`` with every row of ``dim``; one task per salt and, by default, as many salts as shuffle partitions."""
+    salts = salts or _tasks(df)
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    return keyed.join(copies.hint("shuffle_hash"), "_salt").drop("_salt")
+    return keyed.join(copies, "_salt").drop("_salt")
+
+
+def as_array(dim: DataFrame, name: str) -> DataFrame:
+    """One row with the table's rows as an array of structs, in the order of its columns."""
+    return dim.agg(F.array_sort(F.collect_list(F.struct("*"))).alias(name))
 
 
 def spread(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
@@ -44,17 +36,4 @@ def spread(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFram
     coalescing would otherwise pack into a few tasks.  Aggregations by a superset of
     ``keys`` then need no further exchange.
     """
-    spark = df.sparkSession
-    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)
-
-
-def look_up(dim: DataFrame, key: str, limit: int = 64) -> Column | None:
-    """The rows of ``dim`` as a literal map from the text ``key`` to the row, or None
-    beyond ``limit`` (a map is searched from its start for every row)."""
-    rows = dim.select(F.col(key).alias("k"), F.to_json(F.struct("*")).alias("j")).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    text = "{" + ",".join(f"{json.dumps(r.k)}:{r.j}" for r in rows) + "}"
-    ddl = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in dim.schema.fields)
-    return F.from_json(F.lit(text), f"map<string,struct<{ddl}>>")
+    return df.repartition(parts or _tasks(df), *keys)

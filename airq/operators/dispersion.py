@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions import emission
 from airq.functions import plume as P
-from airq.operators.dims import inline_array, pair_with, spread
+from airq.operators.dims import as_array, pair_with, spread
 from airq.operators.ordering import number_rows, row_windows, running_sums
 
 
@@ -115,9 +115,7 @@ def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, key
     only, and no task works on a whole frame of a large grid.
     """
     src = sources.filter("rate > 0").select("source_lat", "source_lon", (F.col("rate") * scale).alias("rate"))
-    near = inline_array(sensors.select("station_lat", "station_lon"))
-    if near is None:
-        raise ValueError("too many sensors for the confidence of a grid")
+    near = as_array(sensors.select("station_lat", "station_lon"), "_near")
     lead = F.col(lead_h) if lead_h else F.lit(0.0)
     rows, cols = grid_shape(bounds, resolution_m)
     blocks = -(-rows * cols // block_cells)
@@ -134,9 +132,9 @@ def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, key
     total = d.groupBy(*keys, "_block", "row", "col").agg(
         F.sum(P.to_ppb(F.col("_ug"), F.col("temperature_2m"))).alias("ppb"), F.first("cell_lat").alias("cell_lat"),
         F.first("cell_lon").alias("cell_lon"), F.first(lead).alias("_lead"))
-    return total.select(
+    return pair_with(total, near).select(
         *keys, "row", "col", F.least(F.col("ppb"), F.lit(clip_ppb)).alias("ppb"),
-        P.confidence(F.array_min(F.transform(near, dist)), F.col("_lead")).alias("confidence"))
+        P.confidence(F.array_min(F.transform("_near", dist)), F.col("_lead")).alias("confidence"))
 
 
 def downsample_frames(frames: DataFrame, group: list[str], minutes: int = 60, time: str = "obs_time") -> DataFrame:

@@ -54,9 +54,9 @@ def recent_site(df: DataFrame, site_text: str, now: str, hours: int, time: str =
 
 
 def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Missing values become the exact batch median of their column."""
-    med = medians(df, [], cols)
-    return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in cols})
+    """Missing values become the exact batch median of their column, all medians from one subquery."""
+    med = medians(df, [], cols).select(F.struct(*cols)).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), med[c]) for c in cols})
 
 
 def station_windows(df: DataFrame, keys: list[str] = SITE, h2s: str = "h2s", flow: str = "flow_border") -> DataFrame:

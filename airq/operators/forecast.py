@@ -15,9 +15,9 @@ from airq.operators.ordering import number_rows
 def seed_state(obs: DataFrame, keys: list[str] = SITE, time: str = "obs_time", h2s: str = "h2s",
                flow: str = "flow_border") -> DataFrame:
     """Per station: the newest value and the means of its last 6 and 24 rows."""
-    numbered = number_rows(obs.select(*keys, time, h2s, flow), keys, time)
-    back = F.col("total") - F.col("seq") + 1
-    tail = numbered.withColumn("_b", back).filter(F.col("_b") <= 24)
+    # the rank filter is applied before the shuffle too, so a task holds at most the newest rows
+    newest = W.partitionBy(*keys).orderBy(F.col(time).desc())
+    tail = obs.select(*keys, time, h2s, flow).withColumn("_b", F.row_number().over(newest)).filter(F.col("_b") <= 24)
     last = lambda c: F.max(F.when(F.col("_b") == 1, F.col(c)))
     return tail.groupBy(*keys).agg(
         last(h2s).alias("h2s_last"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airq import catalog as C
 from airq.functions import plume as P
-from airq.operators.dims import inline_array
+from airq.operators.dims import as_array, pair_with
 from airq.operators.dispersion import look_back_hours
 from airq.operators.ordering import number_rows, time_windows
 from airq.operators.ranks import medians
@@ -18,10 +18,10 @@ from airq.session import materialize
 
 
 def event_times(df: DataFrame, keys: list[str], threshold: float = 30.0, require_stable: bool = True,
-                top: int | None = 40, h2s: str = "h2s", time: str = "obs_time") -> DataFrame:
+                top: int | None = None, h2s: str = "h2s", time: str = "obs_time") -> DataFrame:
     """Distinct hours of a network at or above ``threshold`` (in stable air), newest first.
 
-    ``top`` keeps the newest per key; the rank filter is applied before the shuffle
+    ``top`` keeps the newest per key (all by default); the rank filter is applied before the shuffle
     as well, so no task holds more than its own newest hours.
     """
     hits = df.filter((F.col(h2s) >= threshold) & ((F.col("stable_atm") == 1) if require_stable else F.lit(True)))
@@ -58,18 +58,13 @@ def event_sensors(obs: DataFrame, events: DataFrame, stations: DataFrame, group:
 def sensitivities(rows: DataFrame, segments: DataFrame) -> DataFrame:
     """Add ``a``: ppb at the sensor per 1 g/s at each segment, in segment order.
 
-    The segment table is bounded (it is one side of the system to solve), so the
-    row stays whole and nothing is shuffled.
+    The segments are one side of the system to solve; they reach each row as one array.
     """
-    seg = inline_array(segments.select("segment", "source_lat", "source_lon"))
-    if seg is None:
-        raise ValueError("the inversion takes at most the inline number of segments")
-
-    wind = P.with_wind_terms(rows)
-    ug = P.plume_array(F.array_sort(seg), F.col("station_lat"), F.col("station_lon"))
+    wind = P.with_wind_terms(pair_with(rows, as_array(segments.select("segment", "source_lat", "source_lon"), "_seg")))
+    ug = P.plume_array(F.col("_seg"), F.col("station_lat"), F.col("station_lon"))
     factor = P.to_ppb(F.lit(1.0), F.col("temperature_2m"))
     return wind.withColumn("_f", factor).withColumn("a", F.transform(ug, lambda x: x * F.col("_f"))).drop(
-        "_f", "_u", "_v", "_ws", "_ay", "_az", "_stab")
+        "_f", "_seg", "_u", "_v", "_ws", "_ay", "_az", "_stab")
 
 
 def geometry_check(rows: DataFrame, group: list[str], limit: float = 500.0, time: str = "obs_time") -> DataFrame:

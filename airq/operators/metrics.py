@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airq.functions.classes import flag
-from airq.operators.dims import pair_with
+from airq.operators.ordering import meet
 from airq.operators.ranks import auc, spearman
 from airq.session import materialize
 
@@ -155,7 +155,7 @@ def calibration_report(df: DataFrame, y: str, p: str, site: list[str], regime: s
     keys = ["scope", "slice"]
     sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *threshold_sums(y, p, thresholds))
     rho = spearman(rows, keys, y, p).drop("n")
-    return threshold_scores(sums, thresholds).join(rho, keys, "left")
+    return meet(threshold_scores(sums, thresholds), rho, keys, "left")
 
 
 def classifier_scores(df: DataFrame, keys: list[str], label: str, prob: str, cut: float = 0.3) -> DataFrame:
@@ -171,7 +171,7 @@ def classifier_scores(df: DataFrame, keys: list[str], label: str, prob: str, cut
         ratio(F.col("_tp") * 2.0, F.col("_pos") + F.col("_said"), 0.0).alias("f1"),
     )
     area = auc(df, keys, label, prob)
-    return s.join(area, keys) if keys else pair_with(s, area)
+    return meet(s, area, keys)
 
 
 def class_weights(df: DataFrame, label: str, hazard: float = 3.0) -> DataFrame:

@@ -6,22 +6,36 @@ from block counts; row windows then run over (key, chunk of row numbers) with
 copies of the neighbouring rows each window reaches, and range windows over
 (key, time chunk) with copies of the neighbouring span.  Results are those of the
 plain window, since every owned row sees all rows its frame covers.
+
+A NULL key is a key like any other and rows without a time form a block of their
+own, first in order, as in a plain window: whatever is stitched together meets on
+null-safe equality (``meet``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq.functions.clock import epoch
+from airq.operators.dims import pair_with
 
 BLOCK_SECONDS = 7 * 86400
 CHUNK_ROWS = 4096
 
 
+def meet(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name where NULL equals NULL; the columns are kept once."""
+    other = right.withColumnsRenamed({k: f"_m_{k}" for k in on})
+    equal = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in on]
+    joined = left.join(other, reduce(lambda a, b: a & b, equal), how) if on else pair_with(left, other)
+    return joined.drop(*[f"_m_{k}" for k in on])
+
+
 def _keys(keys: list[str]) -> list[Column]:
     return [F.col(k) for k in keys] or [F.lit(0)]
 
@@ -49,7 +63,7 @@ def number_rows(df: DataFrame, keys: list[str], time: str, tie: list[str] | None
         F.sum("_n").over(whole).alias("total"),
     )
     inside = W.partitionBy(*keys, "_block").orderBy(time, *(tie or []))
-    joined = blocked.withColumn("_rn", F.row_number().over(inside)).join(offsets, [*keys, "_block"])
+    joined = meet(blocked.withColumn("_rn", F.row_number().over(inside)), offsets, [*keys, "_block"])
     return joined.withColumn("seq", F.col("_off") + F.col("_rn")).drop("_block", "_rn", "_off")
 
 
@@ -75,18 +89,20 @@ def _number_all(df: DataFrame, time: str, tie: list[str] | None) -> DataFrame:
         "_hour", F.coalesce(F.sum("_h").over(one.orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
         F.sum("_h").over(one).alias("total"))
     inside = W.partitionBy("_hour").orderBy("_us", "_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, "_hour").select(
+    offsets = meet(counts.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))), starts, ["_hour"]).select(
         "_us", "_slice", (F.col("_start") + F.col("_in")).alias("_off"), "total")
     w = W.partitionBy("_us", "_slice").orderBy("_first", *tie_cols)
-    numbered = d.withColumn("_rn", F.row_number().over(w)).join(offsets, ["_us", "_slice"])
+    numbered = meet(d.withColumn("_rn", F.row_number().over(w)), offsets, ["_us", "_slice"])
     return numbered.withColumn("seq", F.col("_off") + F.col("_rn")).drop("_us", "_first", "_slice", "_rn", "_off")
 
 
 def row_windows(df: DataFrame, keys: list[str], before: int, after: int,
                 build: Callable[[W], dict[str, Column]], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Columns over row frames of a numbered frame, reaching ``before``/``after`` rows."""
-    if max(before, after) > chunk_rows:
-        raise ValueError("a frame may not reach beyond one chunk")
+    """Columns over row frames of a numbered frame, reaching ``before``/``after`` rows.
+
+    A chunk is at least as long as the reach, so a row is copied to two more at most.
+    """
+    chunk_rows = max(chunk_rows, before, after)
     pos = F.col("seq") - 1
     own = F.floor(pos / F.lit(chunk_rows))
     reach = [own]
@@ -103,10 +119,10 @@ def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after:
                  build: Callable[[W], dict[str, Column]], seconds: int = 7 * 86400) -> DataFrame:
     """Columns over range frames in seconds, reaching ``before``/``after`` seconds.
 
-    ``build`` gets a window ordered by the long column ``_t``.
+    ``build`` gets a window ordered by the long column ``_t``; a chunk is at least as
+    long as the reach.
     """
-    if max(before, after) > seconds:
-        raise ValueError("a frame may not reach beyond one chunk")
+    seconds = max(seconds, before, after)
     t = F.col("_t")
     own = F.floor(t / F.lit(seconds))
     reach = [own]
@@ -120,7 +136,7 @@ def time_windows(df: DataFrame, keys: list[str], time: str, before: int, after:
         .withColumn("_chunk", F.explode(F.array_distinct(F.array(*reach))))
     )
     w = W.partitionBy(*keys, "_chunk").orderBy("_t")
-    return spread.withColumns(build(w)).filter(F.col("_chunk") == F.col("_own")).drop("_t", "_own", "_chunk")
+    return spread.withColumns(build(w)).filter(F.col("_chunk").eqNullSafe(F.col("_own"))).drop("_t", "_own", "_chunk")
 
 
 def running_sums(df: DataFrame, keys: list[str], time: str, sums: dict[str, str],
@@ -135,7 +151,7 @@ def running_sums(df: DataFrame, keys: list[str], time: str, sums: dict[str, str]
     inside = W.partitionBy(*keys, "_block").orderBy(time, *(tie or [])).rowsBetween(W.unboundedPreceding, 0)
     local = blocked.withColumns({f"_i_{o}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for o, v in sums.items()})
     out = {o: F.col(f"_c_{o}") + F.col(f"_i_{o}") for o in sums}
-    return local.join(carry, [*keys, "_block"]).withColumns(out).drop(
+    return meet(local, carry, [*keys, "_block"]).withColumns(out).drop(
         "_block", *[f"_{k}_{o}" for o in sums for k in "ic"])
 
 
@@ -158,9 +174,8 @@ def fill_missing(df: DataFrame, keys: list[str], time: str, cols: list[str], for
         F.last(f"_e_{c}", ignorenulls=True).over(prior).alias(f"_c_{c}") for c in cols
     ])
     inside = W.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    joined = blocked.withColumns({
-        f"_i_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols
-    }).join(carry, [*keys, "_block"])
+    inner = blocked.withColumns({f"_i_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
+    joined = meet(inner, carry, [*keys, "_block"])
     out = {f"{c}{suffix}": F.coalesce(F.col(f"_i_{c}"), F.col(f"_c_{c}")) for c in cols}
     return joined.withColumns(out).drop("_block", *[f"_{k}_{c}" for c in cols for k in "ic"])
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from airq.operators.ordering import meet
 from airq.session import materialize
 
 
@@ -39,12 +40,8 @@ def value_counts(df: DataFrame, keys: list[str], value: str, extra: dict[str, Co
         F.sum("_n").over(whole).alias("total"),
     )
     inside = W.partitionBy(*keys, "_bkt").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        counted.withColumn("_in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(offsets, [*keys, "_bkt"])
-        .withColumn("below", F.col("_off") + F.col("_in"))
-        .drop("_bkt", "_in", "_off")
-    )
+    placed = meet(counted.withColumn("_in", F.coalesce(F.sum("n").over(inside), F.lit(0))), offsets, [*keys, "_bkt"])
+    return placed.withColumn("below", F.col("_off") + F.col("_in")).drop("_bkt", "_in", "_off")
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str, out: str, weight: Column | None = None) -> DataFrame:
@@ -95,8 +92,8 @@ def spearman(df: DataFrame, keys: list[str], y: str, p: str, least: int = 3) ->
         df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
         .groupBy(*keys, y, p).agg(F.count(F.lit(1)).alias("m")), "pairs")
     m = F.col("m")
-    ranked = pairs.join(average_ranks(pairs, keys, y, "ry", m), [*keys, y])
-    ranked = ranked.join(average_ranks(pairs, keys, p, "rp", m), [*keys, p])
+    ranked = meet(pairs, average_ranks(pairs, keys, y, "ry", m), [*keys, y])
+    ranked = meet(ranked, average_ranks(pairs, keys, p, "rp", m), [*keys, p])
     s = ranked.groupBy(*keys).agg(
         F.sum("m").alias("n"),
         F.sum(m * F.col("ry")).alias("sy"), F.sum(m * F.col("rp")).alias("sp"),

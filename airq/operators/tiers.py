@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions.classes import flag, truth
 from airq.functions.clock import epoch, night
+from airq.operators.dims import as_array, pair_with
 from airq.operators.ranks import quantiles
 
 MEANS = ["sbiwtp_flow_mgd", "sbiwtp_anomaly", "sbiwtp_sli", "sbiwtp_deficit", "precipitation", "flow_log",
@@ -19,11 +20,14 @@ PPB = dict(C.TIER_PPB)
 def group_facts(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
                 primary: str = C.PRIMARY_STATION) -> DataFrame:
     """Per group: first and last evaluation hour (a day before the last reading),
-    whether the primary station reports at all, and how many stations carry h2s."""
+    whether the primary station reports at all (a lone station stands in for it), whether
+    there is one station only, and how many stations carry h2s."""
     first = F.date_trunc("hour", F.min(time) + F.expr("INTERVAL 3599999999 MICROSECONDS"))
     last = F.date_trunc("hour", F.max(time)) - F.expr("INTERVAL 24 HOURS")
+    lone = F.min("site_name") == F.max("site_name")
     return obs.groupBy(*group).agg(
-        first.alias("first_eval"), last.alias("last_eval"), F.bool_or(F.col("site_name") == primary).alias("has_primary"),
+        first.alias("first_eval"), last.alias("last_eval"), lone.alias("lone"),
+        (F.bool_or(F.col("site_name") == primary) | lone).alias("has_primary"),
         F.count_distinct(F.when(F.col(h2s).isNotNull(), F.col("site_name"))).alias("n_active"))
 
 
@@ -93,13 +97,22 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
     station's, or the backup's in a group without a primary.  Borrowed cells equal
     the met cell, so they only add to the number of stations that pass the first
     gate.  The bellwether is the primary's window, else the backup's.
+
+    The windows of a group's only station count for all stations in gates and scores;
+    labels (maxima, exceedances, first times) are those of its own readings.
     """
     known = obs.join(stations.select("site_name"), "site_name", "left_semi")
     facts = group_facts(known, group, time, h2s, primary)
     spine = facts.filter("first_eval <= last_eval").select(
         *group, F.explode(F.sequence("first_eval", "last_eval", F.expr("INTERVAL 1 HOUR"))).alias("evaluated_at"))
     spine = spine.select("*", F.explode(F.array(*[F.lit(n) for n, _, _ in C.HORIZONS])).alias("horizon"))
-    cells = horizon_cells(known, group, time, h2s)
+    names = as_array(stations.select("site_name"), "_names")
+    firsts = [f"first_{t}" for t, _ in C.TIER_PPB]
+    cells = pair_with(horizon_cells(known, group, time, h2s).join(facts.select(*group, "lone"), group), names)
+    cells = cells.withColumn("_site", F.explode(F.when(F.col("lone"), F.col("_names.site_name")).otherwise(F.array("site_name"))))
+    own = F.col("_site") == F.col("site_name")
+    cells = cells.withColumns({"own_max": F.when(own, F.col("h2s_max")), **{x: F.when(own, F.col(x)) for x in firsts}}).drop(
+        "site_name", "lone", "_names").withColumnRenamed("_site", "site_name")
     cols = [c for c in cells.columns if c not in (*group, "site_name", "evaluated_at", "horizon")]
     c = F.col
     g1 = c("wind_speed_10m").isNotNull()
@@ -109,11 +122,12 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
     keep = ["n", *MEANS, "wind_speed_min", "temp_min", "night_share", "h2s_max"]
     aggs = [
         F.count("n").alias("_present"), F.sum(flag(g1)).alias("_t1"), F.max(flag(g2)).alias("_g2"), F.max(flag(g3)).alias("_g3"),
-        F.coalesce(F.max("h2s_max"), F.lit(0.0)).alias("any_max"), F.bool_or("_spine").alias("_due"),
+        F.coalesce(F.max("own_max"), F.lit(0.0)).alias("any_max"), F.bool_or("_spine").alias("_due"),
         *[at(primary, k).alias(f"p_{k}") for k in keep], *[at(backup, k).alias(f"b_{k}") for k in keep],
+        at(primary, "own_max").alias("p_own"), at(backup, "own_max").alias("b_own"),
     ]
     for t, p in C.TIER_PPB:
-        aggs += [F.sum(flag(c("h2s_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
+        aggs += [F.sum(flag(c("own_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
     both = cells.select(*group, "evaluated_at", "horizon", "site_name", *cols).unionByName(
         spine.withColumn("_spine", F.lit(True)), allowMissingColumns=True)
     d = both.groupBy(*group, "evaluated_at", "horizon").agg(*aggs).filter("_due").join(facts, group)
@@ -129,7 +143,7 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
         "degraded": ~c("has_primary"), "single_station_mode": c("n_active") <= 1,
         "daytime_horizon": truth(met("night_share") < 0.75),
         "primary_known": p_ok | (~c("has_primary") & b_ok), "bell_known": p_ok | b_ok,
-        "primary_max": F.coalesce(c("p_h2s_max"), F.lit(0.0)), "backup_max": F.coalesce(c("b_h2s_max"), F.lit(0.0)),
+        "primary_max": F.coalesce(c("p_own"), F.lit(0.0)), "backup_max": F.coalesce(c("b_own"), F.lit(0.0)),
         **{f"bell_{k}": F.when(p_ok, c(f"p_{k}")).otherwise(c(f"b_{k}")) for k in keep},
     })
     single = c("single_station_mode")

@@ -10,7 +10,6 @@ from airq.functions import classes as K
 from airq.functions import clock as T
 from airq.functions.features import TIDAL_CODES_OLD, base_features, tidal_code
 from airq.operators import features as X
-from airq.operators.dims import inline_array  # noqa: F401
 from airq.operators.ordering import fill_missing, latest, number_rows, row_windows, time_windows
 from airq.plans.registry import query
 

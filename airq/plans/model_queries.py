@@ -11,9 +11,11 @@ from airq.operators import models as Z
 from airq.operators.forecast import forecast_features, seed_state
 from airq.operators.ordering import earliest
 from airq.plans.registry import query
+from airq.session import materialize
 
 SITE = X.SITE
 FEATS = C.FEATURES_11
+VARIANTS = {"legacy": C.FEATURES_44, "evidence": C.FEATURES_33, "lean": C.FEATURES_19, "minimal": C.FEATURES_11}
 PAIRS = """
 pm AS (SELECT network, coalesce(avg(CASE WHEN h2s > 30 THEN CASE WHEN model_ppb > 30 THEN 1.0 ELSE 0 END END), 0) a,
   coalesce(avg(CASE WHEN h2s > 30 THEN CASE WHEN share > 0.5 THEN 1.0 ELSE 0 END END), 0) b FROM scored GROUP BY network),
@@ -46,24 +48,24 @@ def _features(i):
     return X.training_features(i.obs(), required=FEATS)
 
 
-@query("m01_station_training", "M1 M2 M3", "station:s task:s model:s metric:s value:d")
+@query("m01_station_training", "M1 M2 M3", "station:s variant:s task:s model:s metric:s value:d")
 def _(i):
-    feats = _features(i)
+    feats = materialize(X.training_features(i.obs(), required=FEATS), "features")
     out = None
-    for station, _, _, _ in C.STATIONS[:2]:
-        fitted = Z.train_station(feats, station, FEATS, Z.TASKS[::3], trees=2, depth=3)
-        for task, (_, metrics, _, _) in fitted.items():
-            one = metrics.select(F.lit(station).alias("station"), F.lit(task).alias("task"), "model", "metric", "value")
-            out = one if out is None else out.unionByName(one)
+    for station, _, _, _ in C.STATIONS:
+        for variant, names in (("evidence", C.FEATURES_33), ("minimal", FEATS)):
+            for task, (_, metrics, _, _) in Z.train_station(feats, station, names, settings=Z.TreeSettings(trees=2, depth=3)).items():
+                one = metrics.select(F.lit(station).alias("station"), F.lit(variant).alias("variant"), F.lit(task).alias("task"), "model", "metric", "value")
+                out = one if out is None else out.unionByName(one)
     return out
 
 
-@query("m04_m07_forecast_and_hindcast", "M4 M7 S15", "kind:s network:i site_name:s obs_time:t out_regression:d out_clf_30ppb:d risk:s")
+@query("m04_m07_forecast_and_hindcast", "M4 M7 S15", "kind:s network:i site_name:s obs_time:t out_regression:d out_clf_5ppb:d out_clf_10ppb:d out_clf_30ppb:d risk:s")
 def _(i):
-    feats = _features(i)
-    fitted = Z.train_station(feats, None, FEATS, Z.TASKS[::3], trees=5, depth=3)
+    feats = materialize(_features(i), "features")
+    fitted = Z.train_station(feats, None, FEATS, settings=Z.TreeSettings(trees=5, depth=3))
     fc = earliest(i.obs(), ["network", "obs_time"], ["event_id"]).drop("site_name", "h2s", "h2s_measured", "flow_border", "event_id")
-    ahead = forecast_features(fc, seed_state(i.clean()), ["network"]).fillna(0.0, FEATS)
+    ahead = forecast_features(fc, seed_state(i.clean()), ["network"])
     keys = [*SITE, "obs_time"]
     return Z.score_forecast(ahead, fitted, keys).withColumn("kind", F.lit("forecast")).unionByName(
         Z.score_forecast(feats, fitted, keys).withColumn("kind", F.lit("hindcast")))
@@ -74,7 +76,7 @@ def _(i):
     from airq.functions.classes import three_class
 
     d = _features(i).withColumn("actual", three_class(F.col("h2s")))
-    return Z.train_classes(d, "actual", FEATS, 3, trees=5, depth=4, tie=["event_id"])[1]
+    return Z.train_classes(d, "actual", FEATS, 5, Z.TreeSettings(trees=5, depth=4), tie=["event_id"])[1]
 
 
 @query("m06_oversampling", "M6", "kind:s actual:s n:i")
@@ -88,10 +90,10 @@ def _(i):
 @query("m08_feature_ablation", "M8 E35", "variant:s n:i spearman:d recall_30:d recall_100:d spearman_drop:d accepted:b")
 def _(i):
     feats = X.training_features(i.obs())
-    return Z.ablation(feats, {"evidence": C.FEATURES_33, "minimal": C.FEATURES_11}, "evidence", SITE, ["event_id"], trees=5, depth=3)
+    return Z.ablation(feats, VARIANTS, "evidence", SITE, ["event_id"], settings=Z.TreeSettings(trees=5, depth=3))
 
 
 @query("m10_feature_importance", "M10", "feature:s importance:d")
 def _(i):
-    models = Z.fit_pair(_features(i), "regression", "h2s", FEATS, trees=5, depth=3)
-    return Z.feature_importance(models[0], FEATS, i.spark, 10)
+    feats = materialize(_features(i).select("h2s", *FEATS), "features")
+    return Z.feature_importance(Z.fit_learner("a", feats, "regression", "h2s", FEATS, Z.TreeSettings(trees=5, depth=3)), FEATS, i.spark, 10)

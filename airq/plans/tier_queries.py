@@ -57,11 +57,11 @@ def score_sql(tier: str) -> str:
 NB, IB = C.PRIMARY_STATION, C.BACKUP_STATION
 BELL = ", ".join(f"CASE WHEN nb_ok THEN nb_{m} ELSE ib_{m} END AS {m}" for m in CN)
 RECORDS = CELLS + f"""
-known AS (SELECT network, bool_or(site_name = '{NB}') AS has, count(DISTINCT CASE WHEN h2s IS NOT NULL THEN site_name END) AS n_active FROM ob GROUP BY network),
+known AS (SELECT network, bool_or(site_name = '{NB}') OR count(DISTINCT site_name) = 1 AS has, count(DISTINCT site_name) AS n_sites, min(site_name) AS lone_site, count(DISTINCT CASE WHEN h2s IS NOT NULL THEN site_name END) AS n_active FROM ob GROUP BY network),
 feat AS (SELECT c.network, c.evaluated_at, c.horizon, c.site_name, k.n_active, NOT k.has AS degraded, (c.n > 0 OR m.n > 0) AS ok, coalesce(m.night_share < 0.75, false) AS day, c.h2s_max,
     c.first_tier_1, c.first_tier_2, c.first_tier_3, {EFF} FROM cells c JOIN known k USING (network)
   LEFT JOIN cells m ON m.network = c.network AND m.evaluated_at = c.evaluated_at AND m.horizon = c.horizon AND m.n > 0
-    AND m.site_name = CASE WHEN k.has THEN '{NB}' ELSE '{IB}' END),
+    AND m.site_name = CASE WHEN k.n_sites = 1 THEN k.lone_site WHEN k.has THEN '{NB}' ELSE '{IB}' END),
 g1 AS (SELECT *, wind_speed_10m IS NOT NULL AS gate1, count(wind_speed_10m) OVER (PARTITION BY network, evaluated_at, horizon) AS n_t1 FROM feat),
 g2 AS (SELECT *, coalesce(gate1 AND n_t1 >= least(2, greatest(1, n_active)) AND wind_speed_10m < 4, false) AS gate2 FROM g1),
 g3 AS (SELECT *, coalesce(gate2 AND temp_min > 13 AND dewpoint_2m > 11 AND stable_atm > 0.6, false) AS gate3 FROM g2),
@@ -117,6 +117,26 @@ def _(i):
         F.max("n_active").alias("n_active"), *[F.sum(f"score_{t}").alias(f"score_{t}") for t, _ in C.TIER_PPB], b("daytime_horizon", "day"))
 
 
+SOLO = "(SELECT * REPLACE (network * 3 + CASE site_name WHEN '{a}' THEN 0 WHEN '{b}' THEN 1 ELSE 2 END AS network) FROM obs)".format(a=NB, b=IB)
+
+
+@query("a54_one_station_groups", "A54 J16", "network:i tier:s horizon:s n:i fired:i gates:i score:d exceeding:i lead:d primary_max:d any_max:d n_t1:i degraded:i", """
+SELECT network, tier, horizon, count(*) n, count(CASE WHEN fired THEN 1 END) fired, count(CASE WHEN gate_passed THEN 1 END) gates, sum(score) score,
+  sum(n_stations_exceeding) exceeding, sum(lead_time_hours) lead, sum(primary_max) primary_max, sum(any_max) any_max, max(m) n_t1, max(g) degraded
+FROM rec JOIN (SELECT network, sum(n_t1) m, count(CASE WHEN degraded THEN 1 END) g FROM tc GROUP BY network) USING (network) GROUP BY network, tier, horizon""",
+       RECORDS.replace("FROM obs)", f"FROM {SOLO})"))
+def _(i):
+    """Every station as a network of its own."""
+    site = F.when(F.col("site_name") == NB, 0).when(F.col("site_name") == IB, 1).otherwise(2)
+    cells = T.tier_cells(_obs(i).withColumn("network", F.col("network") * 3 + site), C.stations(i.spark), G)
+    whole = cells.groupBy("network").agg(F.sum("n_t1").alias("n_t1"), F.count(F.when(F.col("degraded"), 1)).alias("degraded"))
+    rows = T.backtest(cells, G).groupBy("network", "tier", "horizon").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("fired"), 1)).alias("fired"), F.count(F.when(F.col("gate_passed"), 1)).alias("gates"),
+        F.sum("score").alias("score"), F.sum("n_stations_exceeding").alias("exceeding"), F.sum("lead_time_hours").alias("lead"),
+        F.sum("primary_max").alias("primary_max"), F.sum("any_max").alias("any_max"))
+    return rows.join(whole, "network")
+
+
 @query("a23_backtest_records", "A23 A54", "network:i tier:s horizon:s n:i fired:i gates:i score:d exceeding:i lead:d primary_max:d any_max:d", """
 SELECT network, tier, horizon, count(*) n, count(CASE WHEN fired THEN 1 END) fired, count(CASE WHEN gate_passed THEN 1 END) gates, sum(score) score,
   sum(n_stations_exceeding) exceeding, sum(lead_time_hours) lead, sum(primary_max) primary_max, sum(any_max) any_max FROM rec GROUP BY ALL""", RECORDS)

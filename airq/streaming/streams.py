@@ -80,10 +80,10 @@ def state_settings(spark: SparkSession, partitions: int | None = None):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run_available(stream: DataFrame, label: str, timeout_s: int = 900, checkpoint: str | None = None, sink: str | None = None,
+def run_available(stream: DataFrame, label: str, timeout_s: int | None = None, checkpoint: str | None = None, sink: str | None = None,
                   foreach_batch=None) -> DataFrame | None:
     """Run a stream over all files present now into parquet below the shared folder and
-    return what was written."""
+    return what was written; ``timeout_s`` is for tests, a run has no time limit by itself."""
     spark = stream.sparkSession
     out = sink or scratch_path(spark, f"{label}-out")
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint or scratch_path(spark, f"{label}-cp")).trigger(availableNow=True)
@@ -92,7 +92,7 @@ def run_available(stream: DataFrame, label: str, timeout_s: int = 900, checkpoin
             q = writer.foreachBatch(foreach_batch).start()
         else:
             q = writer.format("parquet").option("path", out).start()
-        done = q.awaitTermination(timeout_s)
+        done = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
     if not done:
         q.stop()
         raise TimeoutError(f"stream {label} did not finish in {timeout_s} s")

@@ -170,7 +170,7 @@ def test_model_variant_round_trip(spark):
     pdf = pd.DataFrame({"x": rng.random(200), "z": rng.random(200)})
     pdf["h2s"] = 50 * pdf.x
     df = spark.createDataFrame(pdf)
-    model = Z.fit_pair(df, "regression", "h2s", ["x", "z"], trees=3, depth=3)[0]
+    model = Z.fit_pair(df, "regression", "h2s", ["x", "z"], Z.TreeSettings(trees=3, depth=3))[0]
     path = scratch_path(spark, "variant")
     S.save_model_variant(model, ["x", "z"], path, spark)
     again, feats = R.read_model_variant(spark, path)

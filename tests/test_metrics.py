@@ -101,7 +101,29 @@ def test_oversampling_balances_and_stays_inside(spark):
     n = {r.c: r["count"] for r in Z.oversample_random(df, "c").groupBy("c").count().collect()}
     assert n["green"] == 90 and 84 <= n["orange"] <= 91
     syn = Z.oversample_synthetic(df, "c", ["orange"], ["x"], ["c"], "id").collect()
-    assert len(syn) == 12 and all(500.0 <= r.x <= 506.0 for r in syn)
+    assert len(syn) == 14 and all(500.0 <= r.x <= 506.0 for r in syn)
+    full = Z.oversample_synthetic(df, "c", ["orange"], ["x"], ["c"], "id", copies=None)
+    assert 78 <= full.count() <= 88 and full.filter("x < 500 OR x > 506").count() == 0
+
+
+def test_scoring_keeps_rows_with_missing_features(spark):
+    rows = [(i, float(i % 50), None if i % 7 == 0 else float(i % 5), int(i % 50 > 40)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, x double, z double, hit int")
+    settings = Z.TreeSettings(trees=3, depth=3)
+    for task, label in (("regression", "x"), ("clf_5ppb", "hit")):
+        models = Z.fit_pair(df, task, label, ["x", "z"], settings)
+        got = Z.score_pair(models, df, task)
+        assert got.count() == 300 and got.filter("a IS NULL OR b IS NULL").count() == 0 and got.filter("z IS NULL").count() == df.filter("z IS NULL").count()
+    _, scores, pred = Z.train_classes(df.withColumn("obs_time", F.timestamp_seconds("id")).withColumn("c", F.when(F.col("hit") == 1, "orange").otherwise("green")), "c", ["x", "z"], 3, settings, tie=["id"])
+    assert pred.count() == 3 * 75 and scores.count() == 3
+
+
+def test_each_task_has_its_own_selection_metrics(spark):
+    df = spark.createDataFrame([(1.0, 1.0)], "x double, h2s double")
+    with pytest.raises(ValueError):
+        Z.train_and_select(df, df, "regression", "h2s", ["x"], metric="auc")
+    with pytest.raises(ValueError):
+        Z.train_and_select(df, df, "clf_5ppb", "h2s", ["x"], metric="recall_30")
 
 
 def test_positive_lag_means_the_feature_leads(frame):

@@ -44,8 +44,9 @@ def test_time_windows_equal_the_plain_range(gappy):
     want = gappy.withColumn("s", F.sum("v").over(w))
     got = time_windows(gappy, ["site"], "t", 3 * 3600, 5 * 3600, lambda w: {"s": F.sum("v").over(w.rangeBetween(-3 * 3600, 5 * 3600))}, seconds=8 * 3600)
     assert sorted(map(str, got.select("site", "t", "s").collect())) == sorted(map(str, want.select("site", "t", "s").collect()))
-    with pytest.raises(ValueError):
-        time_windows(gappy, ["site"], "t", 10**6, 0, lambda w: {}, seconds=10)
+    # a chunk shorter than the reach is lengthened
+    got = time_windows(gappy, ["site"], "t", 3 * 3600, 5 * 3600, lambda w: {"s": F.sum("v").over(w.rangeBetween(-3 * 3600, 5 * 3600))}, seconds=10)
+    assert sorted(map(str, got.select("site", "t", "s").collect())) == sorted(map(str, want.select("site", "t", "s").collect()))
 
 
 def test_running_sums_and_fills(gappy):
@@ -139,13 +140,80 @@ def test_few_pairs_have_no_rank_correlation(frame):
     assert spearman(df, ["g"], "y", "p").first().spearman is None
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_pairing_is_complete_on_both_paths(spark, limit):
-    a = spark.range(50).withColumnRenamed("id", "x")
-    b = spark.range(7).withColumnRenamed("id", "y")
-    got = pair_with(a, b, limit=limit, salts=4)
-    assert got.count() == 350 and got.distinct().count() == 350
-    assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+@pytest.mark.parametrize("size", [10, 5000])
+def test_pairing_keeps_values_whatever_the_size(spark, size):
+    """Microseconds and repeated names survive; no nested loop."""
+    a = spark.range(20).withColumnRenamed("id", "x")
+    b = spark.range(size).select(F.timestamp_micros(F.col("id") + 1704067200123456).alias("t"), (F.col("id") % 7).cast("string").alias("name"))
+    got = pair_with(a, b, salts=4)
+    assert got.count() == 20 * size and got.select("x", "t").distinct().count() == 20 * size
+    assert got.agg(F.min(F.unix_micros("t")), F.max(F.unix_micros("t"))).first()[:] == (1704067200123456, 1704067200123455 + size)
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.fixture(scope="module")
+def holes(spark):
+    """NULL in key, time, tie and value, with repeated times."""
+    rng = np.random.default_rng(11)
+    t0 = pd.Timestamp("2024-01-01")
+    rows = []
+    for i in range(300):
+        site = [None, "a", "b"][int(rng.integers(0, 3))]
+        t = None if rng.random() < 0.2 else (t0 + pd.Timedelta(hours=int(rng.integers(0, 900)))).to_pydatetime()
+        rows.append((site, t, None if i % 23 == 0 else i, None if rng.random() < 0.3 else float(rng.integers(0, 9)), float(rng.integers(0, 9))))
+    return spark.createDataFrame(rows, "site string, t timestamp, tie int, v double, p double").repartition(4).cache()
+
+
+def same(a, b, cols):
+    return sorted(map(str, a.select(cols).collect())) == sorted(map(str, b.select(cols).collect()))
+
+
+def test_missing_keys_times_and_ties_lose_no_row(holes):
+    w = W.partitionBy("site").orderBy("t", "tie")
+    up = w.rowsBetween(W.unboundedPreceding, 0)
+    # rows that agree in key, time and tie have no order, so they are left out of the exact comparison
+    once = holes.groupBy("site", "t", "tie").agg(F.count("*").alias("_n"), F.first("v").alias("v"), F.first("p").alias("p")).filter("_n = 1").drop("_n").cache()
+    assert number_rows(holes, ["site"], "t", ["tie"], seconds=86400).select("seq", "total", "site").count() == holes.count()
+    want = once.withColumns({
+        "seq": F.row_number().over(w), "total": F.count("*").over(W.partitionBy("site")), "c": F.coalesce(F.sum("p").over(up), F.lit(0.0)),
+        "f": F.last("v", True).over(up), "g": F.first("v", True).over(w.rowsBetween(0, W.unboundedFollowing))})
+    got = number_rows(once, ["site"], "t", ["tie"], seconds=86400)
+    got = running_sums(got, ["site"], "t", {"c": "p"}, tie=["tie"], seconds=86400)
+    got = fill_missing(got.withColumns({"f": F.col("v"), "g": F.col("v")}), ["site"], "t", ["f"], tie=["tie"], seconds=86400)
+    got = fill_missing(got, ["site"], "t", ["g"], forward=False, tie=["tie"], seconds=86400)
+    assert same(got, want, ["site", "t", "tie", "v", "seq", "total", "c", "f", "g"])
+
+
+def test_whole_table_numbering_and_splits_keep_rows_without_time(holes):
+    for tie in (["tie"], None):
+        got = number_rows(holes, [], "t", tie).select("seq", "total").toPandas()
+        assert sorted(got.seq) == list(range(1, 301)) and (got.total == 300).all()
+    parts = {r.split: r["count"] for r in X.chronological_split(holes, 0.5, time="t", tie=["tie"]).groupBy("split").count().collect()}
+    assert parts == {"train": 150, "test": 150}
+
+
+def test_range_windows_with_missing_times_and_keys(holes):
+    w = W.partitionBy("site").orderBy(F.unix_timestamp("t")).rangeBetween(-7200, 0)
+    got = time_windows(holes, ["site"], "t", 7200, 0, lambda w: {"s": F.sum("p").over(w.rangeBetween(-7200, 0))})
+    assert same(got, holes.withColumn("s", F.sum("p").over(w)), ["site", "t", "tie", "v", "s"])
+
+
+def test_ranks_with_missing_keys(holes):
+    pdf = holes.toPandas()
+    got = {r.site: r.m for r in quantiles(holes, ["site"], "v", {"m": 0.5}).collect()}
+    assert got == {(None if k != k else k): g.v.median() for k, g in pdf.groupby("site", dropna=False)}
+    rho = {r.site: r.n for r in spearman(holes, ["site"], "v", "p").collect()}
+    assert rho == {(None if k != k else k): int(g.v.notna().sum()) for k, g in pdf.groupby("site", dropna=False)}
+    area = auc(holes.withColumn("hit", (F.col("p") > 4).cast("int")), ["site"], "hit", "v")
+    assert {r.site for r in area.collect()} == {None, "a", "b"}
+
+
+def test_nearest_join_takes_a_missing_key_as_a_key(frame):
+    left = frame([(None, "2024-01-01 00:00:00", 1), ("a", None, 2)], "site string, lt timestamp, id int")
+    right = frame([(None, "2024-01-01 00:10:00", 5.0), ("a", "2024-01-01 00:10:00", 6.0)], "site string, rt timestamp, v double")
+    got = nearest_join(left, right, ["site"], "lt", "rt", ["v"], 10**6).collect()
+    assert [(r.id, r.v) for r in got] == [(1, 5.0)]
 
 
 @pytest.mark.parametrize("tie", [["id"], ["name"], None])
