@@ -10,6 +10,7 @@ from airq.operators.alerts import exceedance_events
 from airq.operators.features import SITE
 from airq.operators.ordering import latest
 from airq.operators.quality import odor_complaints
+from airq.plans.daily_queries import EVENTS
 from airq.plans.registry import query
 from airq.session import scratch_path
 from airq.sources import readers as R
@@ -149,7 +150,9 @@ def _(i):
     return both.groupBy("copy").agg(F.count_distinct("week").alias("weeks"), F.count("*").alias("segments"), F.sum("rate").alias("rate"))
 
 
-@query("e32_event_reports", "E32", "event_id:s tier:s name:s peak:d baseline:d watch:d")
+@query("e32_event_reports", "E32", "event_id:s tier:s name:s peak:d baseline:d watch:d", """
+SELECT concat_ws('_', network, replace(site_name, ' ', '-'), tier, strftime(min(obs_time), '%Y%m%dT%H%M')) AS event_id, tier, site_name AS name, max(h2s) AS peak,
+  23.5 AS baseline, 30.0 AS watch FROM events_of GROUP BY network, site_name, tier, event_no""", EVENTS)
 def _(i):
     from airq import catalog as C
 

@@ -11,7 +11,9 @@ from airq.operators import models as Z
 from airq.operators.forecast import forecast_features, seed_state
 from airq.operators.ordering import earliest
 from airq.plans.registry import query
-from airq.session import materialize
+from airq.session import materialize, scratch_path
+from airq.sources.readers import read_model_variant
+from airq.sources.sinks import save_model_variant
 
 SITE = X.SITE
 FEATS = C.FEATURES_11
@@ -71,6 +73,20 @@ def _(i):
         Z.score_forecast(feats, fitted, keys).withColumn("kind", F.lit("hindcast")))
 
 
+@query("s15_model_variant", "S15", "features:s n:i same:i", """
+SELECT 'temperature_2m,wind_speed_10m' AS features, count(*) AS n, count(*) AS same FROM clean""")
+def _(i):
+    """A stored pipeline, read back with its feature list, scores every row as the fitted one does."""
+    names = ["temperature_2m", "wind_speed_10m"]
+    rows = materialize(i.clean().select("event_id", "h2s", *names), "variant-rows")
+    path = scratch_path(i.spark, "variant")
+    model = Z.fit_learner("a", rows, "regression", "h2s", names, Z.TreeSettings(trees=3, depth=3))
+    save_model_variant(model, names, path, i.spark)
+    again, feats = read_model_variant(i.spark, path)
+    both = Z.score_rows(again, Z.score_rows(model, rows).withColumnRenamed("a", "first"))
+    return both.agg(F.lit(",".join(feats)).alias("features"), F.count("*").alias("n"), F.count(F.when(F.col("a") == F.col("first"), 1)).alias("same"))
+
+
 @query("m05_m11_weighted_classes", "M5 M11 A28 A29 W11", "fold:i n:i balanced_accuracy:d orange_recall:d false_alarm_rate:d")
 def _(i):
     from airq.functions.classes import three_class

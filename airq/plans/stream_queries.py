@@ -55,6 +55,20 @@ def _(i):
     return S.run_available(S.hourly(readings(i), KEYS), "hourly")
 
 
+@query("st09_late_rows", "ST9", WIN, f"""
+SELECT *, window_start + INTERVAL 1 HOUR AS window_end FROM (SELECT network, site_name, date_trunc('hour', obs_time) AS window_start, avg(h2s) mean, max(h2s) max, count(*) n
+  FROM readings GROUP BY ALL) WHERE window_start + INTERVAL 1 HOUR <= {WM}""")
+def _(i):
+    """Readings, then altered copies of those whose windows the watermark has closed: the copies change nothing."""
+    path, cp, out = (scratch_path(i.spark, x) for x in ("late-in", "late-cp", "late-out"))
+    once = i.readings().select(*KEYS, F.col("obs_time").alias("time"), F.col("h2s").alias("h2s_ppb"))
+    late = once.filter(F.col("time") < once.agg(F.max("time") - F.expr("INTERVAL 4 HOURS")).scalar()).withColumn("h2s_ppb", F.col("h2s_ppb") + 1000)
+    for part in (once, late):
+        part.write.mode("append").parquet(path)
+        got = S.run_available(S.hourly(S.parquet_stream(i.spark, path, once.schema), KEYS), "late", checkpoint=cp, sink=out)
+    return got
+
+
 @query("st07_sliding_day", "ST7", "network:i windows:i mean_sum:d max:d n:i", f"""
 SELECT network, count(*) AS windows, sum(mean) mean_sum, max(mx) max, sum(n) n FROM (
   SELECT network, date_trunc('hour', obs_time) - to_hours(k) AS window_start, avg(h2s) mean, max(h2s) mx, count(*) n
@@ -73,17 +87,21 @@ def _(i):
     return S.run_available(S.exceedance_sessions(readings(i), KEYS, 30.0), "sessions")
 
 
-@query("st03_event_machine", "ST3 W14", "network:i site_name:s tier:s trigger:s event_start:t last_exceedance:t", """
+EVENT_ROWS = """
 SELECT network, site_name, tier, 'onset' AS trigger, min(obs_time) AS event_start, min(obs_time) AS last_exceedance FROM ev_rows GROUP BY network, site_name, tier, event_no
 UNION ALL SELECT network, site_name, tier, 'summary', min(obs_time), max(obs_time) FROM ev_rows GROUP BY network, site_name, tier, event_no
-HAVING max(obs_time) + INTERVAL 90 MINUTE <= any_value(wm)""", """
+HAVING max(obs_time) + INTERVAL 90 MINUTE <= any_value(wm)"""
+EVENT_CTES = """
 up AS (SELECT r.*, tier, wm, epoch(obs_time - lag(obs_time) OVER (PARTITION BY network, site_name, tier ORDER BY obs_time)) AS gap
   FROM readings r JOIN (VALUES ('watch', 30.0), ('critical', 100.0)) t(tier, thr) ON h2s >= thr
   CROSS JOIN (SELECT max(obs_time) - INTERVAL 2 HOUR AS wm FROM readings) WHERE obs_time <= wm),
 isl AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 10800 THEN 1 ELSE 0 END) OVER w AS event_no,
   sum(CASE WHEN gap > 5400 AND gap <= 10800 THEN 1 ELSE 0 END) OVER w AS brk FROM up
   WINDOW w AS (PARTITION BY network, site_name, tier ORDER BY obs_time ROWS UNBOUNDED PRECEDING)),
-ev_rows AS (SELECT isl.* FROM isl JOIN (SELECT network, site_name, tier, event_no, min(brk) AS brk FROM isl GROUP BY ALL) USING (network, site_name, tier, event_no, brk))""")
+ev_rows AS (SELECT isl.* FROM isl JOIN (SELECT network, site_name, tier, event_no, min(brk) AS brk FROM isl GROUP BY ALL) USING (network, site_name, tier, event_no, brk))"""
+
+
+@query("st03_event_machine", "ST3 W14", "network:i site_name:s tier:s trigger:s event_start:t last_exceedance:t", EVENT_ROWS, EVENT_CTES)
 def _(i):
     return S.run_available(M.event_stream(readings(i)), "events")
 
@@ -108,7 +126,9 @@ def _(i):
     return S.run_available(S.enriched(readings(i), fc, weather, KEYS), "enriched")
 
 
-@query("st12_report_archive", "ST12 S13", "network:i onsets:i summaries:i ids:i")
+@query("st12_report_archive", "ST12 S13", "network:i onsets:i summaries:i ids:i", f"""
+SELECT network, count(CASE WHEN trigger = 'onset' THEN 1 END) AS onsets, count(CASE WHEN trigger = 'summary' THEN 1 END) AS summaries,
+  count(DISTINCT concat_ws('_', site_name, tier, trigger, strftime(event_start, '%Y%m%d%H%M'))) AS ids FROM ({EVENT_ROWS}) GROUP BY network""", EVENT_CTES)
 def _(i):
     from airq.sources.sinks import archive_batch, with_event_id
 

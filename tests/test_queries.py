@@ -13,7 +13,7 @@ import __spark_entry__ as entry  # noqa: E402
 from tools.check import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-FAST = [n for n in entry.oracle_sql() if n[0] in "jsw"] if Path(SF).exists() else []
+FAST = [n for n in entry.oracle_sql() if n[0] in "efjksuw"] if Path(SF).exists() else []
 
 
 @pytest.fixture(scope="module")
