@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL_FOLDERS: dict[str, str | None] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "airq", master: str | None = None, shuffle: int | None = None, memory: str = "12g") -> SparkSession:
@@ -48,8 +52,41 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there lasts as long as the process
+    or the surrounding ``written_tables``."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_drop_all)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_written(spark: SparkSession, first: int = 0) -> None:
+    """Delete what this process wrote to scratch paths, from the given one on."""
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(paths) > first:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        target.getFileSystem(conf).delete(target, True)
+
+
+@contextmanager
+def written_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was written to scratch paths inside, once results are stored elsewhere."""
+    first = len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        drop_written(spark, first)
+
+
+def _drop_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            drop_written(spark)
+        except Exception:  # noqa: BLE001 - the session may be gone at exit
+            pass
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

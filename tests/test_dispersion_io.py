@@ -178,3 +178,14 @@ def test_model_variant_round_trip(spark):
     a = model.transform(df).agg(F.sum("a")).first()[0]
     assert again.transform(df).agg(F.sum("a")).first()[0] == pytest.approx(a)
     assert Z.feature_importance(model, feats, spark, 1).first().feature == "x"
+
+
+def test_written_tables_last_as_long_as_their_block(spark):
+    from airq.session import materialize, written_tables
+
+    with written_tables(spark):
+        kept = materialize(spark.range(5), "brief")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 5
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        spark.read.parquet(path).count()
