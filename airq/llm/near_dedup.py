@@ -188,6 +188,24 @@ def pairs_within(reach: np.ndarray):
         at = upto
 
 
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Root of every place once the links ``a, b`` are added; ``label`` holds the roots before.
+
+    Only roots are hooked, each to the least root it meets in a round, and a link goes only when both
+    ends have one root: no link, and none to an earlier root, is lost.
+    """
+    label = label.copy()
+    while True:
+        x, y = label[a], label[b]
+        open_ = x != y
+        if not open_.any():
+            return label
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (up := label[label]).tobytes() != label.tobytes():
+            label = up
+
+
 def close_by_block(rows: DataFrame, most: int) -> DataFrame:
     """Links ``a, b`` that connect all documents of different components which meet in a bucket at most ``most`` values apart.
 
@@ -209,17 +227,7 @@ def close_by_block(rows: DataFrame, most: int) -> DataFrame:
             place = (~same[np.arange(len(a)), chunk]).argmax(axis=1)  # 0 if none differs
             ok = key[a] >> 48 == chunk * PER_CHUNK + place
             a, b = a[ok], b[ok]
-            while len(a):  # least label over the links, then over labels, until all ends agree
-                low = np.minimum(label[a], label[b])
-                np.minimum.at(label, label[a], low)
-                np.minimum.at(label, label[b], low)
-                np.minimum.at(label, a, low)
-                np.minimum.at(label, b, low)
-                label = label[label]
-                ok = label[a] != label[b]
-                a, b = a[ok], b[ok]
-        while (label[label] != label).any():
-            label = label[label]
+            label = joined(label, a, b)
         some = label != np.arange(len(f))
         return node[some], node[label[some]]
 

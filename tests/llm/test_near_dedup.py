@@ -131,3 +131,48 @@ def test_components(spark, edges):
             for x in root[b]:
                 root[x] = root[a]
     assert {n: got.get(n, n) for n in root} == {n: min(s) for n, s in root.items()}
+
+
+def roots(n, edges):
+    root = list(range(n))
+    for a, b in edges:
+        x, y = root[a], root[b]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    return root
+
+
+CHAIN = (6, [(0, 5), (1, 4), (2, 3), (2, 5), (3, 4)])
+
+
+def sparse(seed):
+    rng = random.Random(seed)
+    n = rng.randrange(2, 60)
+    return n, sorted({tuple(sorted(rng.sample(range(n), 2))) for _ in range(rng.randrange(1, 2 * n))})
+
+
+def test_added_links_lose_no_earlier_one():
+    for n, edges in [CHAIN] + [sparse(seed) for seed in range(1000)]:
+        for at_once in (1, 3, 1000):
+            label = np.arange(n)
+            for i in range(0, len(edges), at_once):
+                a, b = np.array(edges[i : i + at_once]).T
+                label = near_dedup.joined(label, a, b)
+            assert label.tolist() == roots(n, edges)
+
+
+def test_links_within_buckets_join_as_all_close_pairs_do(spark):
+    """One bucket per graph: two documents share a further value for their link, so close pairs are the links."""
+    graphs = [CHAIN] + [sparse(seed) for seed in range(200)]
+    rows = []
+    for g, (n, edges) in enumerate(graphs):
+        for i in range(n):
+            more = [0] * near_dedup.MORE
+            for slot in range(near_dedup.MORE):
+                more[slot] = 1 if slot < len(edges) and i in edges[slot] else i + 2
+            rows.append((g, n, 1000 * g + i, 1000 * g + i, bytearray(bytes(2 * near_dedup.SYMBOLS) + bytes(more))))
+    df = spark.createDataFrame(rows, "key long, n long, node long, component long, signature binary")
+    got = {}
+    for r in near_dedup.close_by_block(df, near_dedup.MORE - 1).collect():
+        got.setdefault(r["a"] // 1000, []).append((r["a"] % 1000, r["b"] % 1000))
+    for g, (n, edges) in enumerate(graphs):
+        assert roots(n, got.get(g, [])) == roots(n, edges), g
