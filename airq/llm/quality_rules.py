@@ -6,12 +6,14 @@ show, by an exact binomial test, that it rejects less than the rule's share of `
 them. All rules, cutoffs and strata are tested together under Holm's correction at
 ``LEVEL``; the shares of the rules add up, so with probability 1 - LEVEL every stratum loses at
 most RISK of its good documents. Of the proven cutoffs of a rule the strictest is used;
-where none is proven the rule rejects nothing.
+where none is proven the rule rejects nothing. ``joint_cutoffs``, which the pipeline uses, needs
+far fewer labels: all rules of a stratum are tested together, in a fixed order.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ VISIBLE = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
 RISK, LEVEL = 0.03, 0.05
+#: One labelled document in so many chooses the rules' ends in ``joint_cutoffs``; the others test.
+CHOOSING = 4
 #: Upper ends of the length strata, in words; one more stratum has no end.
 BANDS = (64, 256, 1024)
 #: Rule -> (numerator, denominator, cutoffs); a document is rejected when the ratio is above the cutoff.
@@ -119,16 +123,51 @@ def cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, level: float
     return tall.filter("proven").groupBy(F.col("stratum").alias("_stratum")).agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"c_{r}") for r in RULES])
 
 
-def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+def joint_cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """Cutoffs proven together, from laxest to strictest: columns and rows as from ``cutoffs``.
+
+    The labelled good documents of a stratum are dealt in two parts by a hash of their id. Of the
+    smaller one (one in CHOOSING) each rule takes its end: the strictest cutoff that rejects at most the rule's
+    share of ``risk``. The other part tests a fixed order of steps, the laxest cutoff of every rule first,
+    each rule up to its end: a step is proven if all rules so far together reject less than
+    ``risk``, by an exact binomial test at ``level`` over the number of strata, and the order
+    stops at the first that isn't. So with probability 1 - ``level`` every stratum loses at most
+    ``risk`` of its good documents. Without a false rejection ``labels_needed`` documents must test.
+    """
+    good = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(F.min("quality").alias("_quality")).filter("_quality = 1")
+    held = rows.filter("NOT base_failed").join(good, F.col("doc_id") == F.col("_labelled"))
+    tests = [(r, j, c) for j in reversed(range(max(len(g) for _, _, g in RULES.values()))) for r, (_, _, g) in RULES.items() if j < len(g) for c in [g[j]]]
+    over = [(F.col(f"r_{r}") > c).cast("int") for r, _, c in tests]
+    choosing = F.pmod(F.xxhash64(F.lit("choosing"), "_labelled"), F.lit(CHOOSING)) == 0
+    few = held.filter(choosing).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"k_{i}") for i, x in enumerate(over)])
+    used = few.select(F.col("stratum").alias("_chosen"), *[(F.col(f"k_{i}") <= F.col("n") * (risk / len(RULES))).alias(f"u_{i}") for i in range(len(tests))])
+    tested = held.filter(~choosing).join(F.broadcast(used), F.col("stratum") == F.col("_chosen"))
+    at = F.least(*[F.when(F.col(f"u_{i}") & (x > 0), i).otherwise(len(tests)) for i, x in enumerate(over)])  # the step that rejects the document first
+    wide = tested.withColumn("_at", at).groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(f"u_{i}").alias(f"u_{i}") for i in range(len(tests))], *[F.sum((F.col("_at") <= i).cast("long")).alias(f"k_{i}") for i in range(len(tests))]
+    )
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"u_{i}").alias("used"), F.col(f"k_{i}").alias("k")) for i, (r, _, c) in enumerate(tests)])
+    tall = wide.select("stratum", "n", F.explode(steps).alias("t")).select("stratum", "n", "t.*")
+    proven = F.min(binomial_cdf(F.col("k"), F.col("n"), risk) <= level / (len(BANDS) + 1)).over(Window.partitionBy("stratum").orderBy("i"))
+    tall = tall.withColumn("proven", proven).filter("proven AND used")
+    return tall.groupBy(F.col("stratum").alias("_stratum")).agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"c_{r}") for r in RULES])
+
+
+def labels_needed(risk: float = RISK, level: float = LEVEL) -> int:
+    """Good documents that must test a stratum before ``joint_cutoffs`` can prove anything there."""
+    return ceil(log(level / (len(BANDS) + 1)) / log(1 - risk))
+
+
+def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, prove=cutoffs) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
 
     A document fails the base rules with fewer than 20 words (so NULL and empty texts fail) or
     with over 30 % of its words in repeated windows; else the proven cutoffs of its stratum
     decide. Without labels nothing is proven and only the base rules reject. Rows that share a
-    ``doc_id`` are judged each by its own text.
+    ``doc_id`` are judged each by its own text. ``prove`` is ``cutoffs`` (as the SQL twin does) or ``joint_cutoffs``.
     """
     rows = kept_table(scored(docs), "quality-counts")
-    cut = cutoffs(rows, labels, risk, level)
+    cut = prove(rows, labels, risk, level)
     passed = reduce(lambda a, r: a & F.coalesce(F.col(f"r_{r}") <= F.col(f"c_{r}"), F.lit(True)), RULES, ~F.col("base_failed"))
     out = rows.join(F.broadcast(cut), F.col("stratum") == F.col("_stratum"), "left")  # at most one row per stratum
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", passed.alias("kept"))

@@ -22,8 +22,8 @@ def _stay(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the proven cutoffs."""
-    return _stay(docs, quality_rules.judge(docs, table(spark, sf_dir, "labels")))
+    """Documents that pass the base rules and the cutoffs proven together."""
+    return _stay(docs, quality_rules.judge(docs, table(spark, sf_dir, "labels"), prove=quality_rules.joint_cutoffs))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

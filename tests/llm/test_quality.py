@@ -114,3 +114,18 @@ def test_classifier_edge_cases(spark, docs):
     assert out.count() == len(rows) and out.filter("score IS NULL OR score < 0 OR score > 1").count() == 0
     assert out.filter(F.col("held_out") != F.coalesce(held_out(F.col("doc_id")), F.lit(False))).count() == 0
     assert quality_classifier.score_documents(docs([]), some).collect() == []
+
+
+def test_joint_cutoffs_reject_symbol_junk(spark):
+    """On sf0.1 the pipeline's first stage loses documents labelled 0 for their symbols, and few labelled 1."""
+    import corpus_pipeline
+
+    d, labels = table(spark, str(SF / "sf0.1"), "documents"), table(spark, str(SF / "sf0.1"), "labels")
+    kept = {r["doc_id"] for r in corpus_pipeline.reject_low_quality(spark, d, str(SF / "sf0.1")).select("doc_id").collect()}
+    stay = {0: [], 1: []}
+    for i, text, quality in d.join(labels, "doc_id").select("doc_id", "text", "quality").collect():
+        c = counts(text)
+        if c[0] >= 20 and 100 * c[4] <= 30 * c[0] and (quality == 1 or c[2] > 0.4 * c[0]):
+            stay[quality].append(i in kept)
+    assert len(stay[0]) >= 10 and sum(stay[0]) <= 0.1 * len(stay[0])
+    assert sum(stay[1]) >= (1 - quality_rules.RISK) * len(stay[1])
