@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airq.llm import binary_output, bpe, exact_dedup, language_id, near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup
+from airq.llm import alignment, binary_output, bpe, embedding_dedup, exact_dedup, hard_negatives, language_id, near_dedup, packing, quality_classifier, quality_rules, sharding, substring_dedup
 from airq.llm.tables import table
 
 
@@ -48,8 +48,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_language_id, op3_exact_dedup, op4_near_dedup, op5_binary_output, op6_sharding, op7_byte_bpe, op8_substring_dedup, op9_quality_rules, op10_quality_classifier)
+    for f in (
+        op1_packing, op2_language_id, op3_exact_dedup, op4_near_dedup, op5_binary_output, op6_sharding, op7_byte_bpe, op8_substring_dedup, op9_quality_rules, op10_quality_classifier,
+        op11_alignment, op12_hard_negatives, op13_embedding_dedup,
+    )
 }
-SQL = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_quality_rules": quality_rules.oracle()}
+SQL = {"op3_exact_dedup": exact_dedup.ORACLE, "op9_quality_rules": quality_rules.oracle(), "op12_hard_negatives": hard_negatives.ORACLE, "op13_embedding_dedup": embedding_dedup.ORACLE}
