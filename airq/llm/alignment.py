@@ -14,6 +14,8 @@ pair back, so that a frequent pair has one row per block and not one per documen
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,22 +39,29 @@ class Window:
 
     __slots__ = ("text", "groups", "links", "pairs", "times")
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
-        end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
-        shared = np.intersect1d(end_a, end_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(end_a, shared) + 1, np.searchsorted(end_b, shared) + 1
-        parts, pairs, times, i, j, self.links = [], [], [], 0, 0, 0
-        for u, v in zip(cut_a.tolist(), cut_b.tolist()):
-            ga, gb = a[i:u], b[j:v]
-            parts.append(f"{','.join(map(str, ga.tolist()))}|{','.join(map(str, gb.tolist()))}")
+    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
+        parts, found, i, j, end_a, end_b, self.links = [], {}, 0, 0, 0, 0, 0
+        while i < len(a):
+            first_a, first_b = i, j
+            end_a, end_b, i, j = end_a + size_a[a[i]], end_b + size_b[b[j]], i + 1, j + 1
+            while end_a != end_b:
+                if end_a < end_b:
+                    end_a, i = end_a + size_a[a[i]], i + 1
+                else:
+                    end_b, j = end_b + size_b[b[j]], j + 1
+            ga, gb = a[first_a:i], b[first_b:j]
+            parts.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
             self.links += len(ga) * len(gb)
-            xa, na = np.unique(ga, return_counts=True)
-            xb, nb = np.unique(gb, return_counts=True)
-            pairs.append(((xa.astype(np.int64) << 32)[:, None] | xb).ravel())
-            times.append(np.outer(na, nb).ravel())
-            i, j = u, v
+            if len(ga) * len(gb) <= SHORT:
+                for x in ga:
+                    for y in gb:
+                        found[x << 32 | y] = found.get(x << 32 | y, 0) + 1
+            else:
+                for x, n in Counter(ga).items():
+                    for y, m in Counter(gb).items():
+                        found[x << 32 | y] = found.get(x << 32 | y, 0) + n * m
         self.text, self.groups = ";".join(parts).encode(), len(parts)
-        self.pairs, self.times = summed(np.concatenate(pairs), np.concatenate(times))
+        self.pairs, self.times = list(found), list(found.values())
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +89,7 @@ class Aligner:
             spell_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.spell_a, self.spell_b = joined(spell_a), joined(spell_b)
         self.size_a, self.size_b = self.spell_a[2], self.spell_b[2]
+        self.sizes = self.size_a.tolist(), self.size_b.tolist()
         self.space_a = np.array([t[:1] == b" " for t in spell_a])
         self.space_b = np.array([self.b.id_to_piece(i)[:1] == "▁" for i in range(self.b.get_piece_size())])
         self.met: dict[tuple[bytes, bytes], Window] = {}
@@ -107,7 +117,7 @@ class Aligner:
             cuts = np.concatenate([[0], cuts])
         at_a = np.append(np.searchsorted(start_a, cuts), len(a))
         at_b = np.append(np.searchsorted(start_b, cuts), len(b))
-        raw_a, raw_b = a.tobytes(), b.tobytes()
+        raw_a, raw_b, ids_a, ids_b = a.tobytes(), b.tobytes(), a.tolist(), b.tolist()
         for low in range(0, len(cuts), SLICE):
             if len(self.met) > ROOM:
                 self.met.clear()
@@ -118,7 +128,7 @@ class Aligner:
                 key = raw_a[i:u], raw_b[j:v]
                 w = get(key)
                 if w is None:
-                    w = Window(np.frombuffer(key[0], np.int32), np.frombuffer(key[1], np.int32), self.size_a, self.size_b)
+                    w = Window(ids_a[i >> 2 : u >> 2], ids_b[j >> 2 : v >> 2], *self.sizes)
                     if u - i + v - j <= 4 * SHORT:
                         met[key] = w
                 out.append(w)
@@ -135,7 +145,8 @@ class Aligner:
             first = False
             groups += sum([w.groups for w in part])
             links += sum([w.links for w in part])
-            pairs, times = summed(np.concatenate([pairs, *[w.pairs for w in part]]), np.concatenate([times, *[w.times for w in part]]))
+            own, n = list(chain.from_iterable([w.pairs for w in part])), list(chain.from_iterable([w.times for w in part]))
+            pairs, times = summed(np.concatenate([pairs, np.array(own, np.int64)]), np.concatenate([times, np.array(n, np.int64)]))
         return groups, links, digest.hexdigest(), pairs, times
 
 
