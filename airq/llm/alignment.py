@@ -4,7 +4,7 @@ A text is tokenised whole by both. Where a space-marked token of A and one of B
 same byte, both have an end just before it: these verified places cut the text into windows,
 each a pair of id tuples. The groups of a window (runs of tokens between bytes where both
 have an end) depend on its ids alone, so every distinct window is aligned once per worker
-and looked up afterwards.
+and looked up by its id tuples afterwards; the new windows of some texts are aligned together.
 
 Counts of linked id pairs over the corpus come from blocks of documents: a block lists each
 of its pairs once with the number of its documents that hold it, and receives one count per
@@ -14,8 +14,6 @@ pair back, so that a frequent pair has one row per block and not one per documen
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +23,8 @@ from airq.llm.bpe import joined, spelled
 from airq.llm.tables import kept_table
 from airq.llm.words import byte_letters, slices, tokenizer
 
-#: Windows remembered per worker, longest remembered window, windows handled at a time.
-ROOM, SHORT, SLICE = 400_000, 64, 100_000
+#: Windows remembered per worker, longest remembered window in tokens, windows handled at a time.
+ROOM, SHORT, SLICE = 150_000, 64, 400_000
 #: Documents and listed pairs of a block, about.
 BLOCK_DOCS, BLOCK_PAIRS = 2048, 1_000_000
 OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -34,34 +32,76 @@ _DOC = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 _STAGED = "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, places binary, times binary, pairs array<bigint>, found array<int>"
 
 
-class Window:
-    """The groups of one window: as text, their number, their links, and the linked id pairs with how often each is linked."""
+def group_edges(end: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which of the ends are also ends of the other side."""
+    marks = np.zeros(int(end[-1]) + 1, dtype=bool)
+    marks[other] = True
+    return marks[end]
 
-    __slots__ = ("text", "groups", "links", "pairs", "times")
 
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        parts, found, i, j, end_a, end_b, self.links = [], {}, 0, 0, 0, 0, 0
-        while i < len(a):
-            first_a, first_b = i, j
-            end_a, end_b, i, j = end_a + size_a[a[i]], end_b + size_b[b[j]], i + 1, j + 1
-            while end_a != end_b:
-                if end_a < end_b:
-                    end_a, i = end_a + size_a[a[i]], i + 1
-                else:
-                    end_b, j = end_b + size_b[b[j]], j + 1
-            ga, gb = a[first_a:i], b[first_b:j]
-            parts.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
-            self.links += len(ga) * len(gb)
-            if len(ga) * len(gb) <= SHORT:
-                for x in ga:
-                    for y in gb:
-                        found[x << 32 | y] = found.get(x << 32 | y, 0) + 1
-            else:
-                for x, n in Counter(ga).items():
-                    for y, m in Counter(gb).items():
-                        found[x << 32 | y] = found.get(x << 32 | y, 0) + n * m
-        self.text, self.groups = ";".join(parts).encode(), len(parts)
-        self.pairs, self.times = list(found), list(found.values())
+class Windows:
+    """Alignments of some windows, given as token ids one window after the other.
+
+    A group's linked pairs are all its A ids with all its B ids; where that is more than ROOMY, equal ids are
+    counted first.
+    """
+
+    ROOMY = 4096
+
+    def __init__(self, a, at_a, b, at_b, size_a, size_b, decimal):
+        shift = len(size_a)  # decimals of B ids follow those of A ids
+        end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+        last_a, last_b = group_edges(end_a, end_b), group_edges(end_b, end_a)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        stop_a, stop_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        first = group_a[at_a[:-1]]  # of each window's groups
+        window = np.repeat(np.arange(len(first)), np.diff(first, append=len(n_a)))
+        self.groups = np.diff(first, append=len(n_a)).tolist()
+        self.links = np.add.reduceat(n_a * n_b, first).tolist()
+        # the groups' tokens in the order of the text form, each with its decimal and a separator
+        spot_a = np.arange(len(a)) + (stop_b - n_b)[group_a]
+        spot_b = np.arange(len(b)) + stop_a[group_b]
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[spot_a], order[spot_b] = a, b + shift
+        text = np.frombuffer(spelled(order, decimal), np.uint8).copy()
+        ends = np.cumsum(decimal[2][order])
+        text[ends[spot_a[last_a]] - 1], text[ends[spot_b[last_b]] - 1] = ord("|"), ord(";")
+        stop = ends[spot_b[last_b]][np.append(first[1:], len(n_a)) - 1]
+        self.text, self.stop = text.tobytes(), stop.tolist()
+        pairs, many = n_a * n_b, n_a * n_b > self.ROOMY
+        few = np.where(many, 0, pairs)
+        step = places_in(np.cumsum(few) - few, int(few.sum())) if few.any() else np.empty(0, np.int64)
+        k = np.repeat(np.arange(len(few)), few)
+        code = [(window[k] << 42) | (a[(stop_a - n_a)[k] + step // n_b[k]].astype(np.int64) << 21) | b[(stop_b - n_b)[k] + step % n_b[k]]]
+        times = [np.ones(len(k), np.int64)]
+        for g in np.flatnonzero(many):
+            x, n = np.unique(a[stop_a[g] - n_a[g] : stop_a[g]], return_counts=True)
+            y, m = np.unique(b[stop_b[g] - n_b[g] : stop_b[g]], return_counts=True)
+            code.append(((window[g] << 42) | (x.astype(np.int64) << 21)[:, None] | y).ravel())
+            times.append(np.outer(n, m).ravel())
+        code, times = summed(np.concatenate(code), np.concatenate(times))
+        self.cut = (8 * np.searchsorted(code >> 42, np.arange(len(first) + 1))).tolist()
+        self.pairs = (((code >> 21 & (1 << 21) - 1) << 32) | (code & (1 << 21) - 1)).tobytes()
+        self.times = times.tobytes()
+
+    def __iter__(self):
+        """(groups as text, their number, links, linked pairs, times each is linked) of each window."""
+        start = 0
+        for stop, groups, links, i, j in zip(self.stop, self.groups, self.links, self.cut, self.cut[1:]):
+            yield self.text[start : stop - 1], groups, links, self.pairs[i:j], self.times[i:j]
+            start = stop
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def places_in(starts: np.ndarray, n: int) -> np.ndarray:
+    """0, 1, 2, ... from each start on."""
+    return np.arange(n) - np.repeat(starts, np.diff(starts, append=n))
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,65 +129,120 @@ class Aligner:
             spell_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.spell_a, self.spell_b = joined(spell_a), joined(spell_b)
         self.size_a, self.size_b = self.spell_a[2], self.spell_b[2]
-        self.sizes = self.size_a.tolist(), self.size_b.tolist()
+        if max(len(spell_a), len(spell_b)) > 1 << 21:
+            raise ValueError("vocabularies of more than 2,097,152 tokens are not supported")
+        self.decimal = joined([b"%d," % i for n in (len(spell_a), len(spell_b)) for i in range(n)])
         self.space_a = np.array([t[:1] == b" " for t in spell_a])
         self.space_b = np.array([self.b.id_to_piece(i)[:1] == "▁" for i in range(self.b.get_piece_size())])
-        self.met: dict[tuple[bytes, bytes], Window] = {}
+        self.met: dict[tuple[bytes, bytes], tuple] = {}
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each whole text; None for texts that have no tokens by definition."""
         full = [t for t in texts if t]
-        ids = iter(zip(full, self.a.encode([" " + t for t in full]), self.b.encode(full, num_threads=1)))
-        out = []
-        for t in texts:
-            if not t:
-                out.append(None)
-                continue
-            _, packed, b = next(ids)
-            a, b = np.frombuffer(packed, dtype="<u4").astype(np.int32), np.array(b, dtype=np.int32)
-            want = (" " + t).encode()
-            out.append((a, b) if spelled(a, self.spell_a) == want and spelled(b, self.spell_b) == want else None)
-        return out
-
-    def windows(self, a: np.ndarray, b: np.ndarray):
-        """The text's windows in order, in lists of at most SLICE."""
-        start_a, start_b = np.cumsum(self.size_a[a]) - self.size_a[a], np.cumsum(self.size_b[b]) - self.size_b[b]
-        cuts = np.intersect1d(start_a[self.space_a[a]], start_b[self.space_b[b]], assume_unique=True)
-        if not len(cuts) or cuts[0]:
-            cuts = np.concatenate([[0], cuts])
-        at_a = np.append(np.searchsorted(start_a, cuts), len(a))
-        at_b = np.append(np.searchsorted(start_b, cuts), len(b))
-        raw_a, raw_b, ids_a, ids_b = a.tobytes(), b.tobytes(), a.tolist(), b.tolist()
+        ids_a = [np.frombuffer(x, dtype="<i4") for x in self.a.encode([" " + t for t in full])]
+        ids_b = [np.array(x, dtype=np.int32) for x in self.b.encode(full, num_threads=1)]
+        want = [(" " + t).encode() for t in full]
+        none = np.empty(0, np.int32)
+        whole = all(spelled(np.concatenate([none, *ids]), table) == b"".join(want) for ids, table in ((ids_a, self.spell_a), (ids_b, self.spell_b)))
+        if whole and all(int(self.size_a[a].sum()) == len(w) == int(self.size_b[b].sum()) for a, b, w in zip(ids_a, ids_b, want)):
+            good = iter(zip(ids_a, ids_b))
+        else:
+            good = iter([(a, b) if spelled(a, self.spell_a) == w == spelled(b, self.spell_b) else None for a, b, w in zip(ids_a, ids_b, want)])
+        return [next(good) if t else None for t in texts]
+
+    def aligned(self, tokens: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
+        """(groups, links, digest of the groups, linked pairs, times each is linked) of each text, all of them together."""
+        if not tokens:
+            return []
+        a, b = (np.concatenate(x) for x in zip(*tokens))
+        size_a, size_b = self.size_a[a], self.size_b[b]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+        first = np.cumsum([0, *[len(x) for x, _ in tokens]])
+        # texts lie one after the other, in bytes alike for both; a text's first byte is a place to cut
+        texts = np.concatenate([[0], end_a])[first[:-1]]
+        marks = np.zeros(int(end_a[-1]) + 1, dtype=np.uint8)
+        marks[(end_a - size_a)[self.space_a[a]]] = 1
+        marks[(end_b - size_b)[self.space_b[b]]] += 2
+        marks[texts] = 3
+        cuts = np.flatnonzero(marks == 3)
+        at_a, at_b = np.searchsorted(end_a - size_a, cuts), np.searchsorted(end_b - size_b, cuts)
+        doc = np.searchsorted(texts, cuts, side="right") - 1
+        at_a, at_b = np.append(at_a, len(a)), np.append(at_b, len(b))
+        groups, links = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+        digests, found = [None] * len(tokens), []
         for low in range(0, len(cuts), SLICE):
-            if len(self.met) > ROOM:
-                self.met.clear()
-            met, get, out = self.met, self.met.get, []
-            ends_a, ends_b = (4 * at_a[low : low + SLICE + 1]).tolist(), (4 * at_b[low : low + SLICE + 1]).tolist()
-            i, j = ends_a[0], ends_b[0]
-            for u, v in zip(ends_a[1:], ends_b[1:]):
-                key = raw_a[i:u], raw_b[j:v]
-                w = get(key)
-                if w is None:
-                    w = Window(ids_a[i >> 2 : u >> 2], ids_b[j >> 2 : v >> 2], *self.sizes)
-                    if u - i + v - j <= 4 * SHORT:
-                        met[key] = w
-                out.append(w)
-                i, j = u, v
-            yield out
-
-    def align(self, a: np.ndarray, b: np.ndarray):
-        """(groups, links, digest of the groups, linked pairs, times each is linked) of one text."""
-        digest, groups, links, first = hashlib.sha256(), 0, 0, True
-        pairs, times = np.empty(0, np.int64), np.empty(0, np.int64)
-        for part in self.windows(a, b):
-            digest.update(b"" if first else b";")
-            digest.update(b";".join([w.text for w in part]))
-            first = False
-            groups += sum([w.groups for w in part])
-            links += sum([w.links for w in part])
-            own, n = list(chain.from_iterable([w.pairs for w in part])), list(chain.from_iterable([w.times for w in part]))
-            pairs, times = summed(np.concatenate([pairs, np.array(own, np.int64)]), np.concatenate([times, np.array(n, np.int64)]))
-        return groups, links, digest.hexdigest(), pairs, times
+            high = min(low + SLICE, len(cuts))
+            which, window = self._windows(a[at_a[low] : at_a[high]], at_a[low : high + 1] - at_a[low], b[at_b[low] : at_b[high]], at_b[low : high + 1] - at_b[low])
+            own = doc[low:high]
+            np.add.at(groups, own, np.array([w[1] for w in window])[which])
+            np.add.at(links, own, np.array([w[2] for w in window])[which])
+            spans = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+            order = which.tolist()
+            for s, e in zip(spans.tolist(), spans[1:].tolist()):
+                d, text = own[s], b";".join([window[k][0] for k in order[s:e]])
+                if digests[d] is None:
+                    digests[d] = hashlib.sha256(text)
+                else:
+                    digests[d].update(b";" + text)
+            found.append(pairs_of(own, which, window, len(tokens)))
+        docs, pairs, times = (np.concatenate(x) for x in zip(*found))
+        if len(found) > 1:  # a text that goes on in the next slice
+            distinct, pair = np.unique(pairs, return_inverse=True)
+            code, times = summed(docs * len(distinct) + pair, times)
+            docs, pairs = code // len(distinct), distinct[code % len(distinct)]
+        ends = np.searchsorted(docs, np.arange(len(tokens) + 1))
+        return [(int(g), int(n), d.hexdigest(), pairs[s:e], times[s:e]) for g, n, d, s, e in zip(groups, links, digests, ends, ends[1:])]
+
+    def _windows(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, list]:
+        """(number of each window among the distinct ones, the distinct windows' alignments)."""
+        with np.errstate(over="ignore"):
+            def tuple_hash(x, at):
+                step = places_in(at[:-1], len(x)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                return np.add.reduceat(mixed(x.astype(np.uint64) + step + np.uint64(1)), at[:-1])
+
+            code = mixed(tuple_hash(a, at_a)) + tuple_hash(b, at_b)
+        _, first, which = np.unique(code, return_index=True, return_inverse=True)
+
+        def same(x, at):
+            """Is every window's tuple that of the first window with its hash."""
+            size = np.diff(at)
+            if (size != size[first][which]).any():
+                return False
+            return bool((x == x[np.repeat(at[:-1][first][which] - at[:-1], size) + np.arange(len(x))]).all())
+
+        if not (same(a, at_a) and same(b, at_b)):  # two tuples with one hash: every window stands for itself
+            first = which = np.arange(len(code))
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        if len(self.met) > ROOM:
+            self.met.clear()
+        get, spans = self.met.get, list(zip(*[x[k].tolist() for x in (at_a, at_b) for k in (first, first + 1)]))
+        keys = [(raw_a[4 * i : 4 * u], raw_b[4 * j : 4 * v]) for i, u, j, v in spans]
+        out = [get(k) for k in keys]
+        new = np.array([k for k, w in enumerate(out) if w is None], dtype=np.int64)
+        if len(new):
+            def picked(x, at):
+                start, size = at[first[new]], np.diff(at)[first[new]]
+                cut = np.append(0, np.cumsum(size))
+                return x[np.repeat(start - cut[:-1], size) + np.arange(cut[-1])], cut
+
+            for k, w in zip(new.tolist(), Windows(*picked(a, at_a), *picked(b, at_b), self.size_a, self.size_b, self.decimal)):
+                out[k] = w
+                if len(keys[k][0]) + len(keys[k][1]) <= 4 * SHORT:
+                    self.met[keys[k]] = w
+        return which, out
+
+
+def pairs_of(doc: np.ndarray, which: np.ndarray, window: list, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, linked pair, times) in order, from the number of each document's windows among the distinct ones."""
+    code, often = np.unique(doc * len(window) + which, return_counts=True)
+    of, at = code // len(window), code % len(window)
+    size = np.array([len(w[3]) for w in window]) // 8
+    flat, times = (np.frombuffer(b"".join([w[k] for w in window]), np.int64) for k in (3, 4))
+    distinct, number = np.unique(flat, return_inverse=True)
+    start, n = np.cumsum(size) - size, size[at]
+    place = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+    code, total = summed(np.repeat(of, n) * len(distinct) + number[place], times[place] * np.repeat(often, n))
+    return code // len(distinct), distinct[code % len(distinct)], total
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -196,12 +291,14 @@ def staged(docs: DataFrame, file_a: str, file_b: str, block_docs: int = BLOCK_DO
         for batch in batches:
             for at, texts in slices(batch):
                 ids = batch.column("doc_id").slice(at, len(texts)).to_pylist()
-                for doc, got in zip(ids, both.tokens(texts)):
+                tokens = both.tokens(texts)
+                done = iter(both.aligned([x for x in tokens if x is not None]))
+                for doc, got in zip(ids, tokens):
                     if got is None:
                         rows.append((doc, 0, 0, 0, 0, ""))
                         lists.append((np.empty(0, np.int64), np.empty(0, np.int64)))
                     else:
-                        groups, links, digest, pairs, times = both.align(*got)
+                        groups, links, digest, pairs, times = next(done)
                         rows.append((doc, len(got[0]), len(got[1]), groups, links, digest))
                         lists.append((pairs, times))
                         held += len(pairs)

@@ -104,8 +104,8 @@ class Tokenizer:
         for t, c in zip(texts, cut, strict=True):
             try:
                 if self.spaces:
-                    if len(c) > 1 and (not c[0] or c[0][-1].isspace()):
-                        raise TypeError  # a head that ends in white space doesn't cut
+                    if len(c) > 1 and c[0][-1:].isspace():
+                        raise TypeError  # a head that ends in white space doesn't cut; an empty one, before a leading space, does
                     out.append(first[c[0]] + b"".join([later[w] for w in c[1:]]))
                 else:
                     out.append(b"".join([first[w] for w in c]))

@@ -96,16 +96,29 @@ def test_edge_cases(docs, spell):
         assert sorted(map(tuple, alignment.align_documents(docs(rows), block_docs=docs_in, block_pairs=pairs_in).collect()), key=str) == want
 
 
+def same(one, other):
+    return all(x[:3] == y[:3] and (x[3] == y[3]).all() and (x[4] == y[4]).all() for x, y in zip(one, other, strict=True))
+
+
 def test_windows_in_slices_and_with_little_memory(spell, monkeypatch):
     both = alignment.aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
-    text = "Grüße an alle, die  hier lesen;\nand to everyone unbelievably far away. " * 20
-    a, b = both.tokens([text])[0]
-    whole = both.align(a, b)
+    texts = ["Grüße an alle, die  hier lesen;\nand to everyone unbelievably far away. " * 20, "x", "one two", "one two " * 30]
+    tokens = both.tokens(texts)
+    whole = both.aligned(tokens)
+    assert both.aligned([]) == [] and same(whole, [both.aligned([t])[0] for t in tokens])
+    for k, t in enumerate(texts):
+        assert (0, len(tokens[k][0]), len(tokens[k][1]), *whole[k][:2]) == brute([(0, t)], spell)[0][:5]
     monkeypatch.setattr(alignment, "SLICE", 3)
     monkeypatch.setattr(alignment, "ROOM", 5)
-    again = both.align(a, b)
-    assert whole[:3] == again[:3] and (whole[3] == again[3]).all() and (whole[4] == again[4]).all()
-    assert (5, *map(int, (len(a), len(b), *whole[:2]))) == brute([(5, text)], spell)[0][:5]
+    assert same(whole, both.aligned(tokens))
+
+
+def test_tuples_that_share_a_hash_stay_apart(monkeypatch):
+    both = alignment.aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+    tokens = both.tokens(["several words of one text, several words", "and some of another"])
+    whole = both.aligned(tokens)
+    monkeypatch.setattr(alignment, "mixed", lambda h: h * alignment.np.uint64(0))
+    assert same(whole, both.aligned(tokens))
 
 
 def test_empty_table(docs):
