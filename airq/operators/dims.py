@@ -1,14 +1,15 @@
 """Pairing rows with a dimension table without a cross join.
 
-Each row draws a salt, the table is copied once per salt and both meet on it. Whether
-a copy is broadcast or shuffled is left to Spark, which knows its size; values are the
-same either way.
+Each row draws a salt, the table is copied once per salt and both meet on it: a single
+copy of a table that Spark broadcasts by its estimated size, else one per task. Whether
+a copy is broadcast or shuffled is left to Spark; values are the same either way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 
 def _tasks(df: DataFrame) -> int:
@@ -16,12 +17,29 @@ def _tasks(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def _small(dim: DataFrame) -> bool:
+    """Is the table, by the planner's own estimate, one that it broadcasts."""
+    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() <= limit
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's plain columns, the same on every attempt; maps and nested columns are left out."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain]) if plain else F.lit(0).cast("long")
+
+
 def pair_with(df: DataFrame, dim: DataFrame, salts: int | None = None) -> DataFrame:
-    """Every row of ``df`` with every row of ``dim``; one task per salt and, by default, as many salts as shuffle partitions."""
-    salts = salts or _tasks(df)
+    """Every row of ``df`` with every row of ``dim``.
+
+    A table that is broadcast anyway is copied once. Of any other there is a copy per task, and each
+    row draws one by its hash.
+    """
+    salts = salts or (1 if _small(dim) else _tasks(df))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    return keyed.join(copies, "_salt").drop("_salt")
+    first = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)][:1]
+    own = row_hash(df.select(*[F.col(f"`{c}`") for c in first])) if salts == 1 else row_hash(df)
+    return df.withColumn("_salt", F.pmod(own, F.lit(salts)).cast("int")).join(copies, "_salt").drop("_salt")
 
 
 def as_array(dim: DataFrame, name: str) -> DataFrame:

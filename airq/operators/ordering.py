@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq.functions.clock import epoch
-from airq.operators.dims import pair_with
+from airq.operators.dims import pair_with, row_hash
 
 BLOCK_SECONDS = 7 * 86400
 CHUNK_ROWS = 4096
@@ -77,7 +77,7 @@ def _number_all(df: DataFrame, time: str, tie: list[str] | None) -> DataFrame:
     """
     tie_cols = [F.col(c) for c in tie or []]
     whole_number = bool(tie) and df.schema[tie[0]].dataType.typeName() in ("long", "integer", "short", "byte")
-    first = tie_cols[0].cast("bigint") if whole_number else F.xxhash64(*df.columns)
+    first = tie_cols[0].cast("bigint") if whole_number else row_hash(df)
     width = 2**16 if whole_number else 2**50
     us = F.unix_micros(F.col(time).cast("timestamp"))
     d = df.withColumns({"_us": us, "_first": first}).withColumn("_slice", F.floor(F.col("_first") / F.lit(float(width))))
