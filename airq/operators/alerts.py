@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq import catalog as C
 from airq.functions.classes import flag
 from airq.functions.clock import epoch
-from airq.operators.ordering import fill_missing, number_rows, row_windows, running_sums
+from airq.operators.ordering import BLOCK_SECONDS, meet, number_rows, row_windows, running_sums, with_block
 from airq.session import materialize
 
 TIERS = [("watch", C.WATCH_PPB), ("critical", C.CRITICAL_PPB)]
@@ -54,6 +55,44 @@ def exceedance_events(readings: DataFrame, keys: list[str], as_of=None, time: st
     return ev
 
 
+def scan_cells(records: DataFrame, keys: list[str], time: str = "evaluated_at", clear_below: float = 0.3, clears: int = 3,
+               seconds: int = BLOCK_SECONDS) -> DataFrame:
+    """Add the state of an alert cell after each cycle (``last_fire``, ``clear_cycles``, ``active``) and before it (``was_active``, ``was_last``).
+
+    A cell's state is its last fire and the clear cycles since. What a block of its history does to the state
+    is one of two maps: with a fire it ends in (that fire, the clears after it) whatever came
+    before; without one it adds its clears. Such maps compose, so every block is scanned on its own, the maps of
+    a key's blocks are composed over one row per block, and each row combines its own part with what
+    its block started from. The history is shuffled once, by (keys, block).
+    """
+    fire, clear = F.col("fired"), ~F.col("fired") & (F.col("score") < clear_below)
+    d = with_block(records, time, seconds)
+    w = W.partitionBy(*keys, "_block").orderBy(time)
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    d = d.withColumns({"_l": F.max(F.when(fire, F.col(time))).over(upto), "_s": F.coalesce(F.sum(flag(clear)).over(upto), F.lit(0))})
+    # clears of the block at its last fire; without one, None
+    d = d.withColumn("_at", F.max(F.when(fire, F.col("_s"))).over(upto))
+    d = d.withColumns({"_was": F.lag(F.struct("_l", "_s", "_at")).over(w)})
+    ends = d.groupBy(*keys, "_block").agg(F.max_by(F.struct("_l", "_s", "_at"), F.struct(time, "_s", "_at")).alias("_e"))
+    earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    total = F.sum("_e._s").over(W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, 0))
+    starts = ends.withColumns({"_t": total, "_fire": F.when(F.col("_e._at").isNotNull(), total - F.col("_e._s") + F.col("_e._at"))}).select(
+        *keys, "_block", F.max("_e._l").over(earlier).alias("_l0"),
+        (F.max("_t").over(earlier) - F.last("_fire", ignorenulls=True).over(earlier)).alias("_c0"))
+    d = meet(d, starts, [*keys, "_block"])
+
+    def state(last, seen, at):
+        """(last fire, clears since) of the block's start followed by a part of the block."""
+        return F.coalesce(last, F.col("_l0")), F.when(at.isNotNull(), seen - at).otherwise(F.col("_c0") + F.coalesce(seen, F.lit(0)))
+
+    last, since = state(F.col("_l"), F.col("_s"), F.col("_at"))
+    before, before_since = state(F.col("_was._l"), F.col("_was._s"), F.col("_was._at"))
+    return d.withColumns({
+        "last_fire": last, "clear_cycles": F.when(last.isNull(), 0).otherwise(F.least(since, F.lit(clears))),
+        "active": last.isNotNull() & (since < clears), "was_last": before, "was_active": before.isNotNull() & (before_since < clears),
+    }).drop("_block", "_l", "_s", "_at", "_was", "_l0", "_c0")
+
+
 def debounce(records: DataFrame, keys: list[str], time: str = "evaluated_at", refire_h: float = C.QUIET_HOURS,
              clear_below: float = 0.3, clears: int = 3) -> DataFrame:
     """Alert cell history: ``active`` after each cycle, ``clear_cycles`` since the last
@@ -61,21 +100,7 @@ def debounce(records: DataFrame, keys: list[str], time: str = "evaluated_at", re
 
     A cycle that neither fires nor scores below ``clear_below`` changes nothing.
     """
-    d = records.withColumns({
-        "_f": flag(F.col("fired")), "_c": flag(~F.col("fired") & (F.col("score") < clear_below)),
-    })
-    # each pass reads its input twice, so the history is written once between them
-    d = running_sums(materialize(d, "cells"), keys, time, {"_fires": "_f", "_clears": "_c"})
-    d = d.withColumns({"_mark": F.when(F.col("fired"), F.col("_clears")), "_last": F.when(F.col("fired"), F.col(time))})
-    d = fill_missing(materialize(d, "cells"), keys, time, ["_mark", "_last"])
-    since = F.col("_clears") - F.col("_mark")
-    d = d.withColumns({
-        "clear_cycles": F.least(F.coalesce(since, F.lit(0)), F.lit(clears)),
-        "active": (F.col("_fires") > 0) & (F.coalesce(since, F.lit(0)) < clears),
-    })
-    d = row_windows(number_rows(materialize(d, "cells"), keys, time), keys, 1, 0, lambda w: {
-        "_was": F.lag("active").over(w), "_prev": F.lag("_last").over(w)})
-    silent = epoch(F.col(time)) - epoch(F.col("_prev")) >= refire_h * 3600
-    return d.withColumn(
-        "send_onset", F.col("fired") & (~F.coalesce(F.col("_was"), F.lit(False)) | F.coalesce(silent, F.lit(True)))
-    ).drop("_f", "_c", "_fires", "_clears", "_mark", "_last", "_was", "_prev", "seq", "total")
+    d = scan_cells(records, keys, time, clear_below, clears)
+    silent = epoch(F.col(time)) - epoch(F.col("was_last")) >= refire_h * 3600
+    onset = F.col("fired") & (~F.col("was_active") | F.coalesce(silent, F.lit(True)))
+    return d.withColumn("send_onset", onset).drop("last_fire", "was_last", "was_active")

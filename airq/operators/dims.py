@@ -20,7 +20,7 @@ def _tasks(df: DataFrame) -> int:
 def _small(dim: DataFrame) -> bool:
     """Is the table, by the planner's own estimate, one that it broadcasts."""
     limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() <= limit
+    return int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def row_hash(df: DataFrame) -> Column:

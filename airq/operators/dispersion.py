@@ -48,6 +48,12 @@ def channel_segments(points: DataFrame, spacing_m: float = 150.0, keys: list[str
         (F.col("lon") + (F.col("_lo") - F.col("lon")) * t).alias("source_lon"), (F.col("_upto") - F.col("_n") + F.col("_k")).alias("segment"))
 
 
+def n_segments(points: list[tuple[float, float]], spacing_m: float = 150.0) -> int:
+    """How many centroids ``channel_segments`` makes of a fixed list of (lat, lon)."""
+    legs = zip(points, points[1:])
+    return sum(max(1, math.floor(math.hypot((b[0] - a[0]) * P.LAT_M, (b[1] - a[1]) * P.LON_M) / spacing_m)) for a, b in legs)
+
+
 def receptor_met(met: DataFrame, receptors: DataFrame, group: list[str], ref_site: str = C.PRIMARY_STATION,
                  cadence_min: int = 60, start=None, hours: int | None = None, time: str = "obs_time") -> DataFrame:
     """Time spine per group and receptor with the receptor's met row, else the reference
@@ -105,6 +111,32 @@ def place_cells(d: DataFrame, bounds, rows: int, cols: int) -> DataFrame:
     })
 
 
+def cells_within(df: DataFrame, lat: str, lon: str, radius_m: float, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0) -> DataFrame:
+    """Each row at every cell centre of the grid within ``radius_m`` of its point (``row, col, cell_lat, cell_lon``), and at hardly any other.
+
+    A row first opens into the grid's rows that the circle touches, is hashed by (keys, row), and opens there into
+    the columns between the circle's edges: the exchange carries strips, and what is opened grows with the circle and
+    not with the grid. Edges have a little room, so a caller's own distance test decides. A
+    point without a position, or whose circle misses the grid, has no cell.
+    """
+    rows, cols = grid_shape(bounds, resolution_m)
+    south, north, west, east = bounds
+    high, wide, room = (north - south) / rows, (east - west) / cols, 1e-6
+
+    def span(centre, half, origin, step, count):
+        first = F.greatest(F.ceil((centre - half - origin) / step - 0.5 - room), F.lit(0)).cast("int")
+        last = F.least(F.floor((centre + half - origin) / step - 0.5 + room), F.lit(count - 1)).cast("int")
+        return F.when(first <= last, F.sequence(first, last))
+
+    strips = df.withColumn("row", F.explode(span(F.col(lat), F.lit(radius_m / P.LAT_M), south, high, rows)))
+    strips = spread(strips, [*keys, "row"])
+    strips = strips.withColumn("cell_lat", (F.col("row") + 0.5) * high + south)
+    dy = (F.col("cell_lat") - F.col(lat)) * P.LAT_M
+    half = F.sqrt(F.greatest(F.lit(radius_m * radius_m) - dy * dy, F.lit(0.0))) / P.LON_M
+    d = strips.withColumn("col", F.explode(span(F.col(lon), half, west, wide, cols)))
+    return d.withColumn("cell_lon", (F.col("col") + 0.5) * wide + west)
+
+
 def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS,
                      resolution_m: float = 100.0, scale: float = 0.1, clip_ppb: float = 500.0, lead_h: str | None = None,
                      block_cells: int = 4096) -> DataFrame:
@@ -153,14 +185,14 @@ def frame_arrays(frames: DataFrame, keys: list[str]) -> DataFrame:
 def river_grid(conditions: DataFrame, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0, radius_km: float = 8.0) -> DataFrame:
     """Smell intensity per cell from the river sources under given flow, tide,
     temperature and wind, distances stretched along the wind; cells beyond the
-    radius of every point are absent."""
+    radius of every point are absent and never opened."""
     spark = conditions.sparkSession
     pts = [(n, k, b, int(f), int(t), la, lo) for n, k, b, f, t, xy in C.RIVER_SOURCES for la, lo in xy]
     src = C.literal_table(spark, pts, "source string, kind string, base double, fd int, td int, source_lat double, source_lon double")
     d = pair_with(conditions, src)
     d = d.withColumn("_e", emission.river_strength(
         F.col("base"), F.col("kind"), F.col("fd") == 1, F.col("td") == 1, F.col("flow"), F.col("tide"), F.col("temperature"))).filter("_e > 0")
-    d = on_grid(d, bounds, resolution_m)
+    d = cells_within(d, "source_lat", "source_lon", radius_km * 1000.0, keys, bounds, resolution_m)
     dx, dy = (F.col("cell_lon") - F.col("source_lon")) * P.LON_M, (F.col("cell_lat") - F.col("source_lat")) * P.LAT_M
     d = d.withColumns({"_km": F.sqrt(dx * dx + dy * dy) / 1000.0, "_al": F.cos(F.atan2(dx, dy) - F.radians(F.col("wind_direction") + 180.0))})
     d = d.filter(F.col("_km") <= radius_km)

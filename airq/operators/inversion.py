@@ -96,33 +96,41 @@ def normal_equations(rows: DataFrame, keys: list[str], n_segments: int) -> DataF
     and column maxima at k = -2 (``m``).
 
     Each task folds its rows into one small matrix per key before anything is
-    shuffled, so the exchange carries matrices, not row pairs.
+    shuffled, so the exchange carries matrices, not row pairs; it holds one matrix at a time.
     """
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     ddl = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", j int, k int, v double, m double"
     ju, ku = np.triu_indices(n_segments)
 
+    def entries(key, g, r, mx):
+        out = pd.DataFrame({
+            "j": np.concatenate([ju, np.arange(n_segments), np.arange(n_segments)]).astype("int32"),
+            "k": np.concatenate([ku, np.full(n_segments, -1), np.full(n_segments, -2)]).astype("int32"),
+            "v": np.concatenate([g[ju, ku], r, np.zeros(n_segments)]),
+            "m": np.concatenate([np.zeros(len(ju) + n_segments), mx]),
+        })
+        for name, v in zip(keys, key if isinstance(key, tuple) else (key,)):
+            out.insert(0, name, pd.Series([None if pd.isna(v) else v] * len(out), dtype=object))
+        return out[[*keys, "j", "k", "v", "m"]]
+
     def fold(batches):
-        acc = {}
+        # rows come sorted by key: a task holds one matrix and gives it out when the key changes
+        have = None
         for pdf in batches:
             for key, g in pdf.groupby(keys, sort=False, dropna=False):
                 a = np.vstack(g["a"].to_numpy())
                 c = g["c_bg"].to_numpy(dtype=float)
-                have = acc.get(key)
                 part = (a.T @ a, a.T @ c, a.max(axis=0))
-                acc[key] = part if have is None else (have[0] + part[0], have[1] + part[1], np.maximum(have[2], part[2]))
-        for key, (g, r, mx) in acc.items():
-            out = pd.DataFrame({
-                "j": np.concatenate([ju, np.arange(n_segments), np.arange(n_segments)]).astype("int32"),
-                "k": np.concatenate([ku, np.full(n_segments, -1), np.full(n_segments, -2)]).astype("int32"),
-                "v": np.concatenate([g[ju, ku], r, np.zeros(n_segments)]),
-                "m": np.concatenate([np.zeros(len(ju) + n_segments), mx]),
-            })
-            for name, v in zip(keys, key if isinstance(key, tuple) else (key,)):
-                out.insert(0, name, v)
-            yield out[[*keys, "j", "k", "v", "m"]]
-
-    parts = rows.select(*keys, "a", "c_bg").mapInPandas(fold, ddl)
+                if have is not None and have[0] == key:
+                    have = (key, have[1] + part[0], have[2] + part[1], np.maximum(have[3], part[2]))
+                else:
+                    if have is not None:
+                        yield entries(*have)
+                    have = (key, *part)
+        if have is not None:
+            yield entries(*have)
+
+    parts = rows.select(*keys, "a", "c_bg").sortWithinPartitions(*keys).mapInPandas(fold, ddl)
     return parts.groupBy(*keys, "j", "k").agg(F.sum("v").alias("v"), F.max("m").alias("m"))
 
 
@@ -168,7 +176,8 @@ def solve_weeks(normal: DataFrame, keys: list[str], n_segments: int, ridge: floa
         kkt = np.where(q > 0, np.abs(grad), np.maximum(-grad, 0.0)).max(initial=0.0)
         out = pd.DataFrame({"segment": np.arange(n_segments, dtype="int32"), "rate": q / s, "kkt": kkt})
         for name in reversed(keys):
-            out.insert(0, name, pdf[name].iloc[0])
+            v = pdf[name].iloc[0]
+            out.insert(0, name, pd.Series([None if pd.isna(v) else v] * len(out), dtype=object))
         return out
 
     return normal.groupBy(*keys).applyInPandas(solve, ddl)
@@ -215,21 +224,52 @@ def with_time_folds(rows: DataFrame, group: list[str], time: str = "obs_time") -
     return rows.join(folds, ["week", *group, time])
 
 
-def cross_validate(rows: DataFrame, hold: str, n_segments: int, keys: list[str] | None = None, ridge: float = 0.3) -> DataFrame:
-    """Scores on each held-out value of ``hold`` with rates from all other rows of the key.
+def others_matrices(parts: DataFrame, keys: list[str], hold: str) -> DataFrame:
+    """(keys, held_out, j, k, v, m): for each value of ``hold`` the sum and maximum of all other values' matrices.
 
-    Matrices are built once per (key, hold); a training system is the sum of the
-    other values' matrices, so the rows are never copied per fold.
+    Sums of the values before and of those after are added: the work grows with the number of values and not
+    with its square, and nothing is subtracted, so no digits are lost. A key with a single value has none.
+    """
+    w = W.partitionBy(*keys, "j", "k")
+    before = w.orderBy(F.col(hold).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    after = w.orderBy(F.col(hold).desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    both = parts.withColumns({"_v0": F.sum("v").over(before), "_m0": F.max("m").over(before), "_v1": F.sum("v").over(after), "_m1": F.max("m").over(after)})
+    zero = F.lit(0.0)
+    train = both.filter("_v0 IS NOT NULL OR _v1 IS NOT NULL").withColumns({
+        "v": F.coalesce("_v0", zero) + F.coalesce("_v1", zero), "m": F.greatest(F.coalesce("_m0", zero), F.coalesce("_m1", zero))})
+    return train.select(*keys, F.col(hold).alias("held_out"), "j", "k", "v", "m")
+
+
+def held_out_predictions(rows: DataFrame, hold: str, n_segments: int, keys: list[str] | None = None, ridge: float = 0.3) -> DataFrame:
+    """Rows with ``held_out`` and ``c_pred``: each row under rates solved without its own value of ``hold``.
+
+    Matrices are built once per (key, hold), so the rows are never copied per fold.
     """
     keys = keys or ["week"]
     rows = materialize(rows, "inversion-rows")
-    parts = normal_equations(rows, [*keys, hold], n_segments)
-    held = rows.select(*keys, F.col(hold).alias("held_out")).distinct()
-    train = parts.join(held, keys).filter(F.col(hold) != F.col("held_out")).groupBy(*keys, "held_out", "j", "k").agg(
-        F.sum("v").alias("v"), F.max("m").alias("m"))
+    train = others_matrices(normal_equations(rows, [*keys, hold], n_segments), keys, hold)
     solved = solve_weeks(train, [*keys, "held_out"], n_segments, ridge)
-    pred = predict_rows(rows.withColumn("held_out", F.col(hold)), solved, [*keys, "held_out"])
-    return residual_scores(pred, [*keys, "held_out"])
+    return predict_rows(rows.withColumn("held_out", F.col(hold)), solved, [*keys, "held_out"])
+
+
+def cross_validate(rows: DataFrame, hold: str, n_segments: int, keys: list[str] | None = None, ridge: float = 0.3) -> DataFrame:
+    """Scores on each held-out value of ``hold`` with rates from all other rows of the key."""
+    keys = keys or ["week"]
+    return residual_scores(held_out_predictions(rows, hold, n_segments, keys, ridge), [*keys, "held_out"])
+
+
+def fold_report(pred: DataFrame, keys: list[str], sensor: str = "site_name") -> DataFrame:
+    """Scores per held-out value, per sensor and overall: (keys, scope, part, n_test, rmse, bias, c_obs_std, rmse_over_std)."""
+    scopes = F.array(F.struct(F.lit("held_out").alias("scope"), F.col("held_out").cast("string").alias("part")),
+                     F.struct(F.lit("sensor").alias("scope"), F.col(sensor).cast("string").alias("part")),
+                     F.struct(F.lit("overall").alias("scope"), F.lit("all").alias("part")))
+    return residual_scores(pred.select(*keys, F.inline(scopes), "c_bg", "c_pred"), [*keys, "scope", "part"])
+
+
+def rolling_window(rows: DataFrame, days: float, end=None, time: str = "obs_time") -> DataFrame:
+    """Rows of the ``days`` up to ``end`` (by default the newest time of the table), both ends included."""
+    last = F.lit(end).cast("timestamp") if end is not None else rows.agg(F.max(time)).scalar()
+    return rows.filter((F.col(time) <= last) & (F.col(time) >= last - F.make_dt_interval(secs=F.lit(days * 86400).cast("decimal(18,6)"))))
 
 
 def cv_gates(scores: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from airq.functions import plume as P
 from airq.operators import dispersion as D
 from airq.operators import inversion as V
 from airq.operators.features import SITE
+from airq.operators.ordering import latest
 from airq.plans.daily_queries import SOURCES_SQL, STATIONS_SQL, values
 from airq.plans.registry import query
 
@@ -183,20 +184,61 @@ def _(i):
 RIVER_SQL = values([(n, k, b, f, t, la, lo) for n, k, b, f, t, xy in C.RIVER_SOURCES for la, lo in xy], "source, kind, base, fd, td, source_lat, source_lon")
 
 
-@query("j13_river_grid", "J13 E27", "network:i row:i col:i emission:d", f"""
+def river_sql(cells: str) -> str:
+    return f"""
 SELECT network, row, col, sum(e * exp(-(eff * eff) / (2 * sg * sg)) * CASE WHEN kind = 'channel' THEN 1.2 ELSE 1 END) AS emission FROM (
   SELECT *, CASE WHEN al > 0 THEN 0.5 + km * 0.1 ELSE 0.4 END AS sg, CASE WHEN al > 0 THEN km / (1 + al * ws / 10) ELSE km * 3 END AS eff FROM (
     SELECT *, sqrt(dx * dx + dy * dy) / 1000 AS km, cos(atan2(dx, dy) - radians(wd + 180)) AS al FROM (
       SELECT c.*, g.row, g.col, s.*, (cell_lon - source_lon) * {LON_M} AS dx, (cell_lat - source_lat) * {LAT_M} AS dy,
         least(50, base * CASE WHEN fd THEN least(2, fl / 50) ELSE 1 END * CASE WHEN td THEN 1.5 - tide * 0.5 ELSE 1 END
           * greatest(0.5, least(1.5, 1 + (temp - 20) * 0.02)) * CASE WHEN kind = 'bridge' THEN 1.3 ELSE 1 END) AS e
-      FROM cond c CROSS JOIN cells g CROSS JOIN {RIVER_SQL} s))) WHERE km <= 8 AND e > 0 GROUP BY network, row, col""", GRID + """,
-cond AS (SELECT network, avg(wind_speed_10m) ws, avg(wind_direction_10m) wd, avg(flow_border) * 12 AS fl, avg(tide_height) tide, avg(temperature_2m) temp FROM base GROUP BY network)""")
-def _(i):
-    cond = i.base().groupBy("network").agg(
+      FROM cond c CROSS JOIN {cells} g CROSS JOIN {RIVER_SQL} s))) WHERE km <= 8 AND e > 0 GROUP BY network, row, col"""
+
+
+COND = GRID + """,
+cond AS (SELECT network, avg(wind_speed_10m) ws, avg(wind_direction_10m) wd, avg(flow_border) * 12 AS fl, avg(tide_height) tide, avg(temperature_2m) temp FROM base GROUP BY network)"""
+
+
+def _conditions(i):
+    return i.base().groupBy("network").agg(
         F.avg("wind_speed_10m").alias("wind_speed"), F.avg("wind_direction_10m").alias("wind_direction"), (F.avg("flow_border") * 12).alias("flow"),
         F.avg("tide_height").alias("tide"), F.avg("temperature_2m").alias("temperature"))
-    return D.river_grid(cond, ["network"], resolution_m=GRID_M)
+
+
+@query("j13_river_grid", "J13 E27", "network:i row:i col:i emission:d", river_sql("cells"), COND)
+def _(i):
+    return D.river_grid(_conditions(i), ["network"], resolution_m=GRID_M)
+
+
+FINE_M = 100.0
+FINE_ROWS, FINE_COLS = D.grid_shape(C.FORWARD_GRID_BOUNDS, FINE_M)
+FINE = f"""(SELECT r.row, c.col, {S0} + (r.row + 0.5) * CAST({(N0 - S0) / FINE_ROWS!r} AS DOUBLE) AS cell_lat, {W0} + (c.col + 0.5) * CAST({(E0 - W0) / FINE_COLS!r} AS DOUBLE) AS cell_lon
+  FROM range({FINE_ROWS}) r(row) CROSS JOIN range({FINE_COLS}) c(col))"""
+
+
+FINE_RASTER = GRID + f""",
+fmet AS (SELECT * FROM gmet QUALIFY row_number() OVER (PARTITION BY network ORDER BY obs_time DESC) = 1),
+fraster AS (SELECT network, row, col, least(sum(ug) * any_value({PPB}), 500) AS ppb,
+    any_value(greatest(0.3, least(1.0, 1 - 0.07 * least({DIST}) / 1000)) * greatest(1 - 0.02 * lead, 0.3)) AS confidence
+  FROM {plume_sql(f"(SELECT w.*, c.*, s.source_lat, s.source_lon, s.rate * 0.1 AS rate FROM {wind_sql('fmet')} w CROSS JOIN {FINE} c CROSS JOIN {DEFAULTS_SQL} s)", "cell_lat", "cell_lon", floor=0.01)}
+  GROUP BY network, row, col)"""
+
+
+@query("j07_newest_frame_100m", "J7 E24", "network:i row:i cells:i ppb_sum:d ppb_max:d conf:d", """
+SELECT network, row, count(*) cells, sum(ppb) ppb_sum, max(ppb) ppb_max, avg(confidence) conf FROM fraster GROUP BY network, row""", FINE_RASTER)
+def _(i):
+    """Each network's newest frame on the whole grid at its real size, summed by grid row."""
+    met = latest(i.base().filter("site_name = 'NESTOR - BES' AND wind_speed_10m IS NOT NULL"), ["network"], ["obs_time"])
+    d = D.gridded_forecast(met.withColumn("lead", F.hour("obs_time").cast("double")), D.default_rates(i.spark), C.stations(i.spark), ["network"], resolution_m=FINE_M, lead_h="lead")
+    return d.groupBy("network", "row").agg(F.count("*").alias("cells"), F.sum("ppb").alias("ppb_sum"), F.max("ppb").alias("ppb_max"), F.avg("confidence").alias("conf"))
+
+
+@query("j13_river_grid_100m", "J13 E27", "network:i row:i cells:i emission:d peak:d",
+       f"SELECT network, row, count(*) AS cells, sum(emission) AS emission, max(emission) AS peak FROM ({river_sql(FINE)}) GROUP BY network, row", COND)
+def _(i):
+    """The whole grid at its real size, summed by grid row."""
+    d = D.river_grid(_conditions(i), ["network"], resolution_m=FINE_M)
+    return d.groupBy("network", "row").agg(F.count("*").alias("cells"), F.sum("emission").alias("emission"), F.max("emission").alias("peak"))
 
 
 FOOT = POS + """,
@@ -308,6 +350,10 @@ def _segments(i):
     return D.channel_segments(C.waypoints(i.spark), 400.0)
 
 
+#: Segments of the fixed way points at 400 m; a test compares it with the table.
+N_SEGMENTS = D.n_segments(C.CHANNEL_WAYPOINTS, 400.0)
+
+
 def _rows(i):
     base = i.base()
     ev = V.event_times(base, ["network"], top=None)
@@ -346,8 +392,7 @@ def _usable(i):
 
 
 def _solved(i):
-    n = _segments(i).count()
-    return V.solve_weeks(V.normal_equations(_usable(i), ["week"], n), ["week"], n)
+    return V.solve_weeks(V.normal_equations(_usable(i), ["week"], N_SEGMENTS), ["week"], N_SEGMENTS)
 
 
 @query("a38_weekly_inversion", "A38", "week:s segment:i rate:d fraction:d active:b kkt:d")
@@ -360,22 +405,85 @@ SELECT CAST(date_trunc('week', x.obs_time) AS DATE) AS week, x.segment AS j, y.s
 FROM amat x JOIN amat y ON x.network = y.network AND x.obs_time = y.obs_time AND x.site_name = y.site_name AND y.segment >= x.segment
 SEMI JOIN (SELECT * FROM chk WHERE NOT skipped) c ON c.network = x.network AND c.obs_time = x.obs_time GROUP BY ALL""", SENS)
 def _(i):
-    return V.normal_equations(_usable(i), ["week"], _segments(i).count()).filter("k >= 0")
+    return V.normal_equations(_usable(i), ["week"], N_SEGMENTS).filter("k >= 0")
 
 
 @query("a39_leave_sensor_out", "A39 E35", "week:s held_out:s n_test:i rmse:d bias:d c_obs_std:d rmse_over_std:d")
 def _(i):
-    return V.cross_validate(_usable(i), "site_name", _segments(i).count())
+    return V.cross_validate(_usable(i), "site_name", N_SEGMENTS)
 
 
 @query("a40_leave_time_fold_out", "A40 E35", "week:s held_out:i n_test:i rmse:d bias:d c_obs_std:d rmse_over_std:d")
 def _(i):
-    return V.cross_validate(V.with_time_folds(_usable(i), ["network"]), "fold", _segments(i).count())
+    return V.cross_validate(V.with_time_folds(_usable(i), ["network"]), "fold", N_SEGMENTS)
+
+
+def _report(pred):
+    return V.fold_report(pred, ["week"])
+
+
+REPORT_SPEC = "week:s scope:s part:s n_test:i rmse:d bias:d c_obs_std:d rmse_over_std:d"
+
+
+@query("a39_sensor_report", "A39 E35", REPORT_SPEC)
+def _(i):
+    return _report(V.held_out_predictions(_usable(i), "site_name", N_SEGMENTS))
+
+
+@query("a40_time_fold_report", "A40 E35", REPORT_SPEC)
+def _(i):
+    return _report(V.held_out_predictions(V.with_time_folds(_usable(i), ["network"]), "fold", N_SEGMENTS))
+
+
+@query("a39_training_matrices", "A39 A40", "week:s held_out:s j:i k:i v:d m:d", """
+SELECT h.week, h.held_out, p.j, p.k, sum(p.v) AS v, max(p.m) AS m FROM (SELECT DISTINCT week, site_name AS held_out FROM parts) h
+JOIN parts p ON p.week = h.week AND p.site_name <> h.held_out GROUP BY ALL""", SENS + """,
+used AS (SELECT CAST(date_trunc('week', obs_time) AS DATE) AS week, a.* FROM amat a SEMI JOIN (SELECT * FROM chk WHERE NOT skipped) c USING (network, obs_time)),
+parts AS (
+  SELECT x.week, x.site_name, x.segment AS j, y.segment AS k, sum(x.a * y.a) AS v, 0.0 AS m
+  FROM used x JOIN used y ON x.network = y.network AND x.obs_time = y.obs_time AND x.site_name = y.site_name AND y.segment >= x.segment GROUP BY ALL
+  UNION ALL SELECT week, site_name, segment, -1, sum(a * c_bg), 0.0 FROM used GROUP BY ALL
+  UNION ALL SELECT week, site_name, segment, -2, 0.0, max(a) FROM used GROUP BY ALL)""")
+def _(i):
+    """The systems that each held-out sensor is scored with: sums of all other sensors' matrices."""
+    return V.others_matrices(V.normal_equations(_usable(i), ["week", "site_name"], N_SEGMENTS), ["week"], "site_name")
+
+
+@query("a41_fit_residuals", "A41", "week:s site_name:s n_test:i rmse:d bias:d")
+def _(i):
+    """Per sensor, how far the week's own rates are from its readings."""
+    rows = _usable(i)
+    return V.residual_scores(V.predict_rows(rows, _solved(i), ["week"]), ["week", "site_name"])
+
+
+@query("a41_fixed_field_residuals", "A41 A39 A40", "week:s scope:s part:s n_test:i rmse:d bias:d c_obs_std:d rmse_over_std:d", """
+SELECT week, scope, part, count(*) n_test, sqrt(avg(e * e)) rmse, avg(e) bias, stddev_pop(c_bg) c_obs_std,
+  CASE WHEN stddev_pop(c_bg) > 0 THEN sqrt(avg(e * e)) / stddev_pop(c_bg) END AS rmse_over_std FROM (
+  SELECT week, c_bg, c_bg - c_pred AS e, unnest(['held_out', 'sensor', 'overall']) AS scope, unnest([site_name, site_name, 'all']) AS part FROM (
+    SELECT CAST(date_trunc('week', obs_time) AS DATE) AS week, network, obs_time, site_name, any_value(c_bg) AS c_bg, sum(a * (segment % 7) * 0.01) AS c_pred
+    FROM amat SEMI JOIN (SELECT * FROM chk WHERE NOT skipped) c USING (network, obs_time) GROUP BY ALL)) GROUP BY ALL""", SENS)
+def _(i):
+    """The residual scores of a fixed field of rates in place of the solution, which SQL can't find."""
+    rows = _usable(i).withColumn("held_out", F.col("site_name"))
+    field = rows.select("week").distinct().withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(N_SEGMENTS - 1)))).withColumn("rate", F.col("segment") % 7 * 0.01)
+    return _report(V.predict_rows(rows, field, ["week"]))
+
+
+@query("f17_rolling_window", "F17 A41", "n_events:i max_a_max:d peak_obs_max:d q_max_log:d n_skipped:i first:t last:t", """
+SELECT count(*) n_events, max(max_a) max_a_max, max(max_obs) peak_obs_max, ln(max(q_required)) q_max_log, count(CASE WHEN skipped THEN 1 END) n_skipped,
+  min(obs_time) AS first, max(obs_time) AS last FROM chk
+WHERE obs_time BETWEEN (SELECT max(obs_time) FROM base) - INTERVAL 10 DAY AND (SELECT max(obs_time) FROM base)""", SENS)
+def _(i):
+    """Event diagnostics of the ten days up to the newest reading."""
+    newest = i.base().agg(F.max("obs_time")).first()[0]
+    d = V.rolling_window(V.geometry_check(_rows(i), ["network"]), 10, newest)
+    return d.agg(F.count("*").alias("n_events"), F.max("max_a").alias("max_a_max"), F.max("max_obs").alias("peak_obs_max"), F.log(F.max("q_required")).alias("q_max_log"),
+                 F.count(F.when(F.col("skipped"), 1)).alias("n_skipped"), F.min("obs_time").alias("first"), F.max("obs_time").alias("last"))
 
 
 @query("e35_gates", "E35 F16", "week:s cv_pass:b n_test:i total_rate:d budget_pass:b strong:i")
 def _(i):
-    cv = V.cv_gates(V.cross_validate(_usable(i), "site_name", _segments(i).count()), ["week"])
+    cv = V.cv_gates(V.cross_validate(_usable(i), "site_name", N_SEGMENTS), ["week"])
     field = _solved(i)
     strong = V.sources_above(field, ["week"]).groupBy("week").agg(F.count("*").alias("strong"))
     return cv.join(V.budget_gate(field, ["week"]), "week").join(strong, "week", "left")

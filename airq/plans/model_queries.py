@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from airq import catalog as C
 from airq.operators import features as X
 from airq.operators import metrics as M
 from airq.operators import models as Z
+from airq.operators import oversample as O
+from airq.operators import trees as T
 from airq.operators.forecast import forecast_features, seed_state
 from airq.operators.ordering import earliest
 from airq.plans.registry import query
@@ -62,6 +66,62 @@ def _(i):
     return out
 
 
+STATION_LEARNERS = {"a": replace(T.FOREST, trees=20, depth=6), "b": replace(T.BOOST, trees=40, min_hessian=2.0)}
+
+
+def _stations(i, names, tasks=Z.TASKS):
+    feats = X.training_features(i.obs(), required=names)
+    return Z.train_stations(feats, SITE, names, ["obs_time", "event_id"], STATION_LEARNERS, tasks, min_rows=30, n_bins=16)
+
+
+@query("m01_every_station", "M1 M2", "network:i site_name:s variant:s task:s model:s metric:s value:d")
+def _(i):
+    """Every station of the table has its own models, both variants, four tasks and two learners."""
+    out = None
+    for variant, names in (("lean", C.FEATURES_19), ("minimal", FEATS)):
+        one = _stations(i, names)[1].withColumn("variant", F.lit(variant))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("m04_every_station", "M3 M4 M7", "network:i site_name:s obs_time:t out_regression:d out_clf_30ppb:d risk:s")
+def _(i):
+    """Each station's history under its own blend of both learners."""
+    tasks = [t for t in Z.TASKS if t[0] in ("regression", "clf_30ppb")]
+    nodes, _, choices, _ = _stations(i, FEATS, tasks)
+    feats = X.training_features(i.obs(), required=FEATS)
+    return Z.forecast_stations(feats, nodes, choices, SITE, FEATS, ["obs_time"], tasks)
+
+
+@query("m10_every_station", "M10", "network:i site_name:s feature:s importance:d")
+def _(i):
+    """Each station's share of gain by feature in its boosted regression."""
+    feats = X.training_features(i.obs(), required=FEATS)
+    nodes = T.train_groups(feats, SITE, FEATS, Z.TASKS[:1], {"b": STATION_LEARNERS["b"]}, ["obs_time", "event_id"], n_bins=16, min_rows=30)
+    return T.importances(nodes, SITE)
+
+
+@query("m01_first_split", "M1", "network:i site_name:s feature:s threshold:d gain:d n:i", """
+SELECT * FROM (
+  SELECT network, site_name, ['temperature_2m', 'wind_speed_10m', 'dewpoint_2m', 'relative_humidity_2m'][f + 1] AS feature, edge AS threshold, gain, n,
+    row_number() OVER (PARTITION BY network, site_name ORDER BY CAST(gain AS FLOAT) DESC, f, k) AS best
+  FROM (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM sums WHERE nl >= 5 AND n - nl >= 5)) WHERE best = 1""", """
+long AS (
+  SELECT network, site_name, h2s, unnest([0, 1, 2, 3]) AS f,
+    unnest([coalesce(temperature_2m, 0), coalesce(wind_speed_10m, 0), coalesce(dewpoint_2m, 0), coalesce(relative_humidity_2m, 0)]) AS x
+  FROM clean SEMI JOIN (SELECT network, site_name FROM clean GROUP BY ALL HAVING count(*) >= 30) big USING (network, site_name)),
+edges AS (SELECT network, site_name, f, k, min(x) + (max(x) - min(x)) * (k / 8.0) AS edge FROM long, range(1, 8) AS r(k) GROUP BY network, site_name, f, k),
+sums AS (
+  SELECT network, site_name, f, k, edge, count(*) AS n, sum(h2s) AS s, count(CASE WHEN x <= edge THEN 1 END) AS nl, sum(CASE WHEN x <= edge THEN h2s END) AS sl
+  FROM long JOIN edges USING (network, site_name, f) GROUP BY ALL)""")
+def _(i):
+    """The first split of every station's tree on even bins, all rows and features."""
+    names = ["temperature_2m", "wind_speed_10m", "dewpoint_2m", "relative_humidity_2m"]
+    one = T.Learner(trees=1, depth=1, features=1.0, rows=1.0, balanced=False)
+    nodes = T.train_groups(i.clean(), SITE, names, [("regression", "h2s")], {"t": one}, ["obs_time", "event_id"], n_bins=8, min_rows=30, even=True)
+    return nodes.filter("node = 1 AND feature IS NOT NULL")
+
+
 @query("m04_m07_forecast_and_hindcast", "M4 M7 S15", "kind:s network:i site_name:s obs_time:t out_regression:d out_clf_5ppb:d out_clf_10ppb:d out_clf_30ppb:d risk:s")
 def _(i):
     feats = materialize(_features(i), "features")
@@ -103,6 +163,34 @@ def _(i):
     return a.unionByName(b.groupBy("actual").agg(F.count("*").alias("n")).withColumn("kind", F.lit("synthetic")))
 
 
+NEAR = ["temperature_2m", "dewpoint_2m", "share"]
+NEAR_CTES = "\nunit AS (SELECT network, event_id, actual, " + ", ".join(
+    f"coalesce(({f} - avg({f}) OVER w) / nullif(stddev_pop({f}) OVER w, 0), 0) AS x{k}" for k, f in enumerate(NEAR)) + """ FROM scored WINDOW w AS (PARTITION BY network)),
+near AS (
+  SELECT * FROM (
+    SELECT a.network, a.event_id, a.actual, b.actual AS other,
+      row_number() OVER (PARTITION BY a.network, a.event_id ORDER BY round((a.x0 - b.x0) * (a.x0 - b.x0) + (a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2), 9), b.event_id) AS rn
+    FROM unit a LEFT JOIN unit b ON a.network = b.network AND a.event_id <> b.event_id) WHERE rn <= 10)"""
+
+
+@query("m06_borderline", "M6", "network:i event_id:i actual:s n_near:i n_other:i danger:b", """
+SELECT *, n_near > 0 AND n_other * 2 >= n_near AND n_other < n_near AS danger FROM (
+  SELECT network, event_id, actual, count(other) AS n_near, count(CASE WHEN other <> actual THEN 1 END) AS n_other FROM near GROUP BY ALL)""", NEAR_CTES)
+def _(i):
+    """A network's rows fit a bucket, so the search is exact here."""
+    return O.borderline(i.scored(), ["network"], "event_id", "actual", NEAR, bucket=4096)
+
+
+@query("m06_balanced_classes", "M6", "network:i actual:s n:i made:i", """
+SELECT network, actual, max(n) OVER (PARTITION BY network) AS n, max(n) OVER (PARTITION BY network) - n AS made
+FROM (SELECT network, actual, count(*) AS n FROM scored GROUP BY ALL)""")
+def _(i):
+    rows = i.scored().select("network", "event_id", "actual", *NEAR)
+    new = O.oversample_borderline(rows, ["network"], "event_id", "actual", NEAR)
+    both = rows.select("network", "actual", F.lit(0).alias("new")).unionByName(new.select("network", "actual", F.lit(1).alias("new")))
+    return both.groupBy("network", "actual").agg(F.count("*").alias("n"), F.sum("new").alias("made"))
+
+
 @query("m08_feature_ablation", "M8 E35", "variant:s n:i spearman:d recall_30:d recall_100:d spearman_drop:d accepted:b")
 def _(i):
     feats = X.training_features(i.obs())

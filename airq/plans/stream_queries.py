@@ -8,7 +8,7 @@ from airq.operators.ordering import latest
 from airq.plans.inputs import Inputs
 from airq.plans.io_queries import FEED_SQL, _feed, _split_site
 from airq.plans.registry import query
-from airq.plans.tier_queries import _tier_cells, G
+from airq.plans.tier_queries import _tier_cells, G, RECORDS
 from airq.session import scratch_path
 from airq.streaming import machines as M
 from airq.streaming import streams as S
@@ -106,7 +106,34 @@ def _(i):
     return S.run_available(M.event_stream(readings(i)), "events")
 
 
-@query("st05_tier_messages", "ST4 ST5", "network:i evaluated_at:t tier:s horizons:s n_onsets:i sent:b reason:s")
+MESSAGES = """
+SELECT network, evaluated_at, tier, horizons, n_onsets, sent, CASE WHEN sent THEN '' WHEN evaluated_at - last_sent < INTERVAL 3 HOUR THEN 'sent recently' ELSE 'higher tier active' END AS reason
+FROM (
+  WITH RECURSIVE sends AS (
+    SELECT network, tier, min(evaluated_at) AS t FROM cand WHERE NOT hidden GROUP BY network, tier
+    UNION ALL
+    SELECT s.network, s.tier, min(c.evaluated_at) FROM sends s JOIN cand c ON c.network = s.network AND c.tier = s.tier AND NOT c.hidden AND c.evaluated_at >= s.t + INTERVAL 3 HOUR
+    GROUP BY s.network, s.tier)
+  SELECT c.*, max(CASE WHEN s.t = c.evaluated_at THEN 1 ELSE 0 END) = 1 AS sent, max(CASE WHEN s.t < c.evaluated_at THEN s.t END) AS last_sent
+  FROM cand c LEFT JOIN sends s ON s.network = c.network AND s.tier = c.tier GROUP BY ALL)
+WHERE evaluated_at < (SELECT max(evaluated_at) - INTERVAL 2 HOUR FROM rec)"""
+MESSAGE_CTES = RECORDS + """,
+states AS (
+  SELECT *, fired AND (NOT coalesce(was, false) OR prev IS NULL OR epoch(evaluated_at - prev) >= 10800) AS onset FROM (
+    SELECT *, lag(active) OVER w AS was, lag(lastf) OVER w AS prev FROM (
+      SELECT *, grp > 0 AND sum(c) OVER (PARTITION BY network, tier, horizon, grp ORDER BY evaluated_at) < 3 AS active FROM (
+        SELECT network, tier, horizon, evaluated_at, fired, CASE WHEN NOT fired AND score < 0.3 THEN 1 ELSE 0 END AS c,
+          sum(CASE WHEN fired THEN 1 ELSE 0 END) OVER v AS grp, max(CASE WHEN fired THEN evaluated_at END) OVER v AS lastf
+        FROM rec WINDOW v AS (PARTITION BY network, tier, horizon ORDER BY evaluated_at)))
+    WINDOW w AS (PARTITION BY network, tier, horizon ORDER BY evaluated_at))),
+above AS (
+  SELECT o.network, o.evaluated_at, o.tier, o.horizon, coalesce(bool_or(a.active), false) AS hidden
+  FROM states o LEFT JOIN states a ON a.network = o.network AND a.evaluated_at = o.evaluated_at AND a.horizon = o.horizon AND a.tier > o.tier
+  WHERE o.onset GROUP BY ALL),
+cand AS (SELECT network, tier, evaluated_at, string_agg(horizon, ',' ORDER BY horizon) AS horizons, count(*) AS n_onsets, bool_and(hidden) AS hidden FROM above GROUP BY ALL)"""
+
+
+@query("st05_tier_messages", "ST4 ST5", "network:i evaluated_at:t tier:s horizons:s n_onsets:i sent:b reason:s", MESSAGES, MESSAGE_CTES)
 def _(i):
     from airq.operators.tiers import backtest
 

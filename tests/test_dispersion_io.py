@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from airq import catalog as C
 from airq import schema
+from airq.functions import plume as P
 from airq.operators import dispersion as D
 from airq.operators import inversion as V
 from airq.operators.forecast import forecast_features, seed_state
@@ -189,3 +190,71 @@ def test_written_tables_last_as_long_as_their_block(spark):
         assert kept.count() == 5
     with pytest.raises(Exception, match="(?i)path|exist"):
         spark.read.parquet(path).count()
+
+
+def test_matrices_of_the_others(spark):
+    rng = np.random.default_rng(8)
+    rows = [("w", s, rng.random(3).tolist(), float(rng.random())) for s in ["A", "B", "C", None] for _ in range(5)] + [("alone", "A", [1.0, 2.0, 3.0], 1.0)]
+    df = spark.createDataFrame(rows, "week string, site_name string, a array<double>, c_bg double")
+    got = V.others_matrices(V.normal_equations(df, ["week", "site_name"], 3), ["week"], "site_name").toPandas()
+    assert set(got.week) == {"w"} and len(got) == 4 * (6 + 3 + 3)
+    for held in ["A", "B", "C", None]:
+        own = got[got.held_out.isna()] if held is None else got[got.held_out == held]
+        a, c = np.array([r[2] for r in rows if r[0] == "w" and r[1] != held]), np.array([r[3] for r in rows if r[0] == "w" and r[1] != held])
+        at = {(r.j, r.k): (r.v, r.m) for r in own.itertuples()}
+        assert all(at[j, k][0] == pytest.approx((a.T @ a)[j, k]) for j in range(3) for k in range(j, 3))
+        assert all(at[j, -1][0] == pytest.approx((a.T @ c)[j]) and at[j, -2][1] == a[:, j].max() for j in range(3))
+
+
+def test_fold_report_by_numpy(spark):
+    rng = np.random.default_rng(9)
+    rows = [("w", "ABC"[i % 3], i % 2, rng.random(3).tolist(), float(3 * rng.random())) for i in range(30)]
+    df = spark.createDataFrame(rows, "week string, site_name string, fold int, a array<double>, c_bg double")
+    pred = V.held_out_predictions(df, "fold", 3)
+    got = {(r["scope"], r["part"]): r for r in V.fold_report(pred, ["week"]).collect()}
+    assert set(got) == {("overall", "all"), *[("sensor", s) for s in "ABC"], ("held_out", "0"), ("held_out", "1")}
+    fitted = {}
+    for f in (0, 1):
+        a, c = np.array([r[3] for r in rows if r[2] != f]), np.array([r[4] for r in rows if r[2] != f])
+        s = a.max(axis=0)
+        fitted[f] = V.nonnegative_solve((a.T @ a) / np.outer(s, s) + 0.09 * np.eye(3), (a.T @ c) / s) / s
+    e = np.array([r[4] - np.array(r[3]) @ fitted[r[2]] for r in rows])
+    for (scope, part), r in got.items():
+        own = np.array([scope == "overall" or (scope == "sensor" and x[1] == part) or (scope == "held_out" and str(x[2]) == part) for x in rows])
+        c = np.array([x[4] for x in rows])[own]
+        assert r["n_test"] == own.sum() and r["rmse"] == pytest.approx(np.sqrt((e[own] ** 2).mean())) and r["bias"] == pytest.approx(e[own].mean())
+        assert r["rmse_over_std"] == pytest.approx(np.sqrt((e[own] ** 2).mean()) / c.std())
+
+
+def test_rolling_window_ends(frame):
+    d = frame([(f"2024-01-{k:02d} 06:00:00",) for k in range(1, 11)], "obs_time timestamp")
+    day = lambda w: sorted(r[0].day for r in w.collect())
+    assert day(V.rolling_window(d, 3)) == [7, 8, 9, 10]
+    assert day(V.rolling_window(d, 1.5, "2024-01-05 18:00:00")) == [4, 5] and day(V.rolling_window(d.limit(0), 3)) == []
+
+
+def test_cells_within_a_circle(spark):
+    pts = [("a", 32.55, -117.1), ("b", 32.45, -117.25), ("c", 32.9, -117.1), ("d", None, -117.1), ("e", 32.699, -117.001)]
+    df = spark.createDataFrame(pts, "k string, la double, lo double")
+    rows, cols = D.grid_shape(C.FORWARD_GRID_BOUNDS, 1000.0)
+    km = lambda d: F.sqrt(F.pow((F.col("cell_lat") - F.col("la")) * P.LAT_M, 2) + F.pow((F.col("cell_lon") - F.col("lo")) * P.LON_M, 2))
+    want = {(r.k, r.row, r.col) for r in D.on_grid(df, resolution_m=1000.0).filter(km(df) <= 5000.0).collect()}
+    opened = D.cells_within(df, "la", "lo", 5000.0, ["k"], resolution_m=1000.0)
+    got = {(r.k, r.row, r.col) for r in opened.filter(km(df) <= 5000.0).collect()}
+    assert got == want and len({k for k, _, _ in got}) == 3 and opened.count() <= len(want) + 4
+    assert rows * cols * 5 > 4 * len(want)
+
+
+def test_segments_of_fixed_points(spark):
+    for spacing in (150.0, 400.0, 5000.0):
+        assert D.n_segments(C.CHANNEL_WAYPOINTS, spacing) == D.channel_segments(C.waypoints(spark), spacing).count()
+
+
+def test_pairs_with_maps_and_repeated_rows(spark):
+    from airq.operators.dims import pair_with
+
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (2, None)], "i int, m map<string, int>")
+    dim = spark.createDataFrame([(10,), (20,)], "d int")
+    for salts in (None, 1, 7):
+        assert sorted((r.i, r.d) for r in pair_with(df, dim, salts).collect()) == [(1, 10), (1, 10), (1, 20), (1, 20), (2, 10), (2, 20)]
+    assert pair_with(df.select("m"), dim).count() == 6

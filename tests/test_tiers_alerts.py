@@ -247,3 +247,28 @@ def test_merge_keeps_the_first_model_on_a_tie(frame):
     r = A.lookahead_alerts(merged, F.lit("2023-12-31 18:00:00").cast("timestamp")).first()
     assert (r.model, r.tier) == ("x", "WATCH")
     assert A.lookahead_alerts(merged, F.lit("2023-12-31 17:59:00").cast("timestamp")).count() == 0
+
+
+@pytest.mark.parametrize("seconds", [3600, 5 * 3600, 7 * 86400])
+def test_scan_over_blocks_matches_a_replay(frame, seconds):
+    import random
+
+    rng, rows, want = random.Random(seconds), [], {}
+    for key in ("a", "b", None):
+        active, last, clear = False, None, 0
+        for h in range(60):
+            if rng.random() < 0.2:
+                continue  # cycles may be missing
+            f, s = rng.random() < 0.2, rng.choice([0.1, 0.2, 0.5])
+            rows.append((key, f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00", f, s))
+            was = (last, active)
+            if f:
+                active, last, clear = True, h, 0
+            elif s < 0.3 and last is not None:
+                clear = min(clear + 1, 3)
+                active = clear < 3
+            want[key, h] = (last, clear, active, *was)
+    d = L.scan_cells(frame(rows, "k string, evaluated_at timestamp, fired boolean, score double"), ["k"], seconds=seconds)
+    hour = lambda t: None if t is None else (t.day - 1) * 24 + t.hour
+    got = {(r.k, hour(r.evaluated_at)): (hour(r.last_fire), r.clear_cycles, r.active, hour(r.was_last), r.was_active) for r in d.collect()}
+    assert got == want
