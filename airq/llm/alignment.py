@@ -3,8 +3,8 @@
 A text is tokenised whole by both. Where a space-marked token of A and one of B start at the
 same byte, both have an end just before it: these verified places cut the text into windows,
 each a pair of id tuples. The groups of a window (runs of tokens between bytes where both
-have an end) depend on its ids alone, so every distinct window is aligned once per worker
-and looked up by its id tuples afterwards; the new windows of some texts are aligned together.
+have an end) depend on its ids alone, so of a batch of texts every distinct pair of tuples is aligned
+once, all of them together, and each window takes its tuples' alignment.
 
 Counts of linked id pairs over the corpus come from blocks of documents: a block lists each
 of its pairs once with the number of its documents that hold it, and receives one count per
@@ -13,7 +13,10 @@ pair back, so that a frequent pair has one row per block and not one per documen
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import os
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,10 +24,12 @@ from pyspark.sql import functions as F
 
 from airq.llm.bpe import joined, spelled
 from airq.llm.tables import kept_table
-from airq.llm.words import byte_letters, slices, tokenizer
+from airq.llm.words import byte_letters, slices
 
-#: Windows remembered per worker, longest remembered window in tokens, windows handled at a time.
-ROOM, SHORT, SLICE = 150_000, 64, 400_000
+#: Windows handled at a time.
+SLICE = 400_000
+#: Texts that go to A's library whole: letters that another Unicode table may class differently, runs that a merge by rank takes long for.
+ODD = re.compile("[^\x00-\u024f]|\\S{5000}|\\s{5000}")
 #: Documents and listed pairs of a block, about.
 BLOCK_DOCS, BLOCK_PAIRS = 2048, 1_000_000
 OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -40,7 +45,8 @@ def group_edges(end: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """Alignments of some windows, given as token ids one window after the other.
+    """Alignments of some windows, given as token ids one window after the other: ``text`` (bytes, starts, sizes; with a
+    semicolon after each group), ``groups`` and ``links`` per window, ``pairs`` and ``times`` from ``cut`` to ``cut``.
 
     A group's linked pairs are all its A ids with all its B ids; where that is more than ROOMY, equal ids are
     counted first.
@@ -57,8 +63,8 @@ class Windows:
         n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
         first = group_a[at_a[:-1]]  # of each window's groups
         window = np.repeat(np.arange(len(first)), np.diff(first, append=len(n_a)))
-        self.groups = np.diff(first, append=len(n_a)).tolist()
-        self.links = np.add.reduceat(n_a * n_b, first).tolist()
+        self.groups = np.diff(first, append=len(n_a))
+        self.links = np.add.reduceat(n_a * n_b, first)
         # the groups' tokens in the order of the text form, each with its decimal and a separator
         spot_a = np.arange(len(a)) + (stop_b - n_b)[group_a]
         spot_b = np.arange(len(b)) + stop_a[group_b]
@@ -68,7 +74,8 @@ class Windows:
         ends = np.cumsum(decimal[2][order])
         text[ends[spot_a[last_a]] - 1], text[ends[spot_b[last_b]] - 1] = ord("|"), ord(";")
         stop = ends[spot_b[last_b]][np.append(first[1:], len(n_a)) - 1]
-        self.text, self.stop = text.tobytes(), stop.tolist()
+        start = np.append(0, stop[:-1])
+        self.text = text, start, stop - start
         pairs, many = n_a * n_b, n_a * n_b > self.ROOMY
         few = np.where(many, 0, pairs)
         step = places_in(np.cumsum(few) - few, int(few.sum())) if few.any() else np.empty(0, np.int64)
@@ -81,16 +88,8 @@ class Windows:
             code.append(((window[g] << 42) | (x.astype(np.int64) << 21)[:, None] | y).ravel())
             times.append(np.outer(n, m).ravel())
         code, times = summed(np.concatenate(code), np.concatenate(times))
-        self.cut = (8 * np.searchsorted(code >> 42, np.arange(len(first) + 1))).tolist()
-        self.pairs = (((code >> 21 & (1 << 21) - 1) << 32) | (code & (1 << 21) - 1)).tobytes()
-        self.times = times.tobytes()
-
-    def __iter__(self):
-        """(groups as text, their number, links, linked pairs, times each is linked) of each window."""
-        start = 0
-        for stop, groups, links, i, j in zip(self.stop, self.groups, self.links, self.cut, self.cut[1:]):
-            yield self.text[start : stop - 1], groups, links, self.pairs[i:j], self.times[i:j]
-            start = stop
+        self.cut = np.searchsorted(code >> 42, np.arange(len(first) + 1))
+        self.pairs, self.times = ((code >> 21 & (1 << 21) - 1) << 32) | (code & (1 << 21) - 1), times
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -111,17 +110,26 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Aligner:
-    """Both tokenizers of a worker, the bytes of their tokens and the windows met so far."""
+    """Both tokenizers of a worker and the bytes of their tokens."""
 
-    def __init__(self, file_a: str, file_b: str):
+    def __init__(self, file_a: str, ranks_a: str | None, file_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import sentencepiece
-
-        self.a = tokenizer(file_a)
+        import tiktoken
+        import tokenizers
+
+        self.whole = tokenizers.Tokenizer.from_file(public_tokenizers.path(file_a))
+        self.whole.encode_special_tokens = True
+        self.fast = None
+        if ranks_a:
+            with open(public_tokenizers.path(ranks_a), "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(file_b))
         byte_of = {ord(c): b for b, c in byte_letters().items()}
-        spell_a = [b""] * self.a.whole.get_vocab_size()
-        for token, i in self.a.whole.get_vocab().items():
+        spell_a = [b""] * self.whole.get_vocab_size()
+        for token, i in self.whole.get_vocab().items():
             spell_a[i] = token.translate(byte_of).encode("latin-1") if all(ord(c) in byte_of for c in token) else token.encode()
         spell_b = []
         for i in range(self.b.get_piece_size()):
@@ -134,12 +142,17 @@ class Aligner:
         self.decimal = joined([b"%d," % i for n in (len(spell_a), len(spell_b)) for i in range(n)])
         self.space_a = np.array([t[:1] == b" " for t in spell_a])
         self.space_b = np.array([self.b.id_to_piece(i)[:1] == "▁" for i in range(self.b.get_piece_size())])
-        self.met: dict[tuple[bytes, bytes], tuple] = {}
+
+    def ids_of_a(self, text: str) -> np.ndarray:
+        """A's ids of a whole text: by the ranks of the same vocabulary, or by its library where those may differ."""
+        if self.fast is None or ODD.search(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.int32)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each whole text; None for texts that have no tokens by definition."""
         full = [t for t in texts if t]
-        ids_a = [np.frombuffer(x, dtype="<i4") for x in self.a.encode([" " + t for t in full])]
+        ids_a = [self.ids_of_a(" " + t) for t in full]
         ids_b = [np.array(x, dtype=np.int32) for x in self.b.encode(full, num_threads=1)]
         want = [(" " + t).encode() for t in full]
         none = np.empty(0, np.int32)
@@ -174,17 +187,18 @@ class Aligner:
             high = min(low + SLICE, len(cuts))
             which, window = self._windows(a[at_a[low] : at_a[high]], at_a[low : high + 1] - at_a[low], b[at_b[low] : at_b[high]], at_b[low : high + 1] - at_b[low])
             own = doc[low:high]
-            np.add.at(groups, own, np.array([w[1] for w in window])[which])
-            np.add.at(links, own, np.array([w[2] for w in window])[which])
+            np.add.at(groups, own, window.groups[which])
+            np.add.at(links, own, window.links[which])
+            text = memoryview(spelled(which, window.text))
             spans = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
-            order = which.tolist()
-            for s, e in zip(spans.tolist(), spans[1:].tolist()):
-                d, text = own[s], b";".join([window[k][0] for k in order[s:e]])
+            places = np.append(0, np.cumsum(window.text[2][which]))[spans].tolist()
+            for d, s, e in zip(own[spans[:-1]].tolist(), places, places[1:]):
                 if digests[d] is None:
-                    digests[d] = hashlib.sha256(text)
-                else:
-                    digests[d].update(b";" + text)
-            found.append(pairs_of(own, which, window, len(tokens)))
+                    digests[d] = hashlib.sha256(text[s : e - 1])
+                else:  # a text that goes on
+                    digests[d].update(b";")
+                    digests[d].update(text[s : e - 1])
+            found.append(pairs_of(own, which, window))
         docs, pairs, times = (np.concatenate(x) for x in zip(*found))
         if len(found) > 1:  # a text that goes on in the next slice
             distinct, pair = np.unique(pairs, return_inverse=True)
@@ -193,8 +207,8 @@ class Aligner:
         ends = np.searchsorted(docs, np.arange(len(tokens) + 1))
         return [(int(g), int(n), d.hexdigest(), pairs[s:e], times[s:e]) for g, n, d, s, e in zip(groups, links, digests, ends, ends[1:])]
 
-    def _windows(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, list]:
-        """(number of each window among the distinct ones, the distinct windows' alignments)."""
+    def _windows(self, a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, Windows]:
+        """(number of each window's id tuple among the distinct ones, the alignment of each of those)."""
         with np.errstate(over="ignore"):
             def tuple_hash(x, at):
                 step = places_in(at[:-1], len(x)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -212,51 +226,39 @@ class Aligner:
 
         if not (same(a, at_a) and same(b, at_b)):  # two tuples with one hash: every window stands for itself
             first = which = np.arange(len(code))
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        if len(self.met) > ROOM:
-            self.met.clear()
-        get, spans = self.met.get, list(zip(*[x[k].tolist() for x in (at_a, at_b) for k in (first, first + 1)]))
-        keys = [(raw_a[4 * i : 4 * u], raw_b[4 * j : 4 * v]) for i, u, j, v in spans]
-        out = [get(k) for k in keys]
-        new = np.array([k for k, w in enumerate(out) if w is None], dtype=np.int64)
-        if len(new):
-            def picked(x, at):
-                start, size = at[first[new]], np.diff(at)[first[new]]
-                cut = np.append(0, np.cumsum(size))
-                return x[np.repeat(start - cut[:-1], size) + np.arange(cut[-1])], cut
-
-            for k, w in zip(new.tolist(), Windows(*picked(a, at_a), *picked(b, at_b), self.size_a, self.size_b, self.decimal)):
-                out[k] = w
-                if len(keys[k][0]) + len(keys[k][1]) <= 4 * SHORT:
-                    self.met[keys[k]] = w
-        return which, out
-
-
-def pairs_of(doc: np.ndarray, which: np.ndarray, window: list, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+        def picked(x, at):
+            start, size = at[:-1][first], np.diff(at)[first]
+            cut = np.append(0, np.cumsum(size))
+            return x[np.repeat(start - cut[:-1], size) + np.arange(cut[-1])], cut
+
+        return which, Windows(*picked(a, at_a), *picked(b, at_b), self.size_a, self.size_b, self.decimal)
+
+
+def pairs_of(doc: np.ndarray, which: np.ndarray, window: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, linked pair, times) in order, from the number of each document's windows among the distinct ones."""
-    code, often = np.unique(doc * len(window) + which, return_counts=True)
-    of, at = code // len(window), code % len(window)
-    size = np.array([len(w[3]) for w in window]) // 8
-    flat, times = (np.frombuffer(b"".join([w[k] for w in window]), np.int64) for k in (3, 4))
-    distinct, number = np.unique(flat, return_inverse=True)
-    start, n = np.cumsum(size) - size, size[at]
-    place = np.repeat(start[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-    code, total = summed(np.repeat(of, n) * len(distinct) + number[place], times[place] * np.repeat(often, n))
+    n = len(window.groups)
+    code, often = np.unique(doc * n + which, return_counts=True)
+    of, at = code // n, code % n
+    distinct, number = np.unique(window.pairs, return_inverse=True)
+    start, size = window.cut[at], np.diff(window.cut)[at]
+    place = np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+    code, total = summed(np.repeat(of, size) * len(distinct) + number[place], window.times[place] * np.repeat(often, size))
     return code // len(distinct), distinct[code % len(distinct)], total
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple, Aligner] = {}
 
 
-def aligner(file_a: str, file_b: str) -> Aligner:
+def aligner(file_a: str = "byte_bpe_50k.json", ranks_a: str | None = "byte_bpe_50k.tiktoken", file_b: str = "piece_bpe_32k.model") -> Aligner:
     """One per worker process."""
-    key = file_a, file_b
+    key = file_a, ranks_a, file_b
     if key not in _ALIGNERS:
-        _ALIGNERS[key] = Aligner(file_a, file_b)
+        _ALIGNERS[key] = Aligner(*key)
     return _ALIGNERS[key]
 
 
-def staged(docs: DataFrame, file_a: str, file_b: str, block_docs: int = BLOCK_DOCS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def staged(docs: DataFrame, files: tuple, block_docs: int = BLOCK_DOCS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Per document its own figures and pairs (as places in its block's list), and per block one row with that list.
 
     A block ends with the document that takes it to ``block_docs`` documents or ``block_pairs`` listed pairs.
@@ -266,7 +268,7 @@ def staged(docs: DataFrame, file_a: str, file_b: str, block_docs: int = BLOCK_DO
         import pyarrow as pa
         from pyspark import TaskContext
 
-        both, block = aligner(file_a, file_b), TaskContext.get().partitionId() << 33
+        both, block = aligner(*files), TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
         lists: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -320,15 +322,16 @@ def pair_counts(staged_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return listed.drop("found"), counts.join(top, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
 
 
-def align_documents(docs: DataFrame, file_a: str = "byte_bpe_50k.json", file_b: str = "piece_bpe_32k.model", block_docs: int = BLOCK_DOCS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def align_documents(docs: DataFrame, file_a: str = "byte_bpe_50k.json", ranks_a: str | None = "byte_bpe_50k.tiktoken", file_b: str = "piece_bpe_32k.model", block_docs: int = BLOCK_DOCS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``.
 
     A text that is NULL or empty, or whose tokens do not spell a space and the text, has no
     tokens: zeros and an empty digest. Rows that repeat (same id or same text) count as documents
     of their own; pairs tied for the highest count of an A id are all best. A NULL ``doc_id`` is
-    passed on. Texts of any length are tokenised whole; their windows are handled in slices.
+    passed on. Texts of any length are tokenised whole; their windows are handled in slices. ``ranks_a`` names
+    the ranks of A's own vocabulary, a faster way to the same ids (None: A's library alone).
     """
-    kept = kept_table(staged(docs, file_a, file_b, block_docs, block_pairs), "aligned")
+    kept = kept_table(staged(docs, (file_a, ranks_a, file_b), block_docs, block_pairs), "aligned")
     listed, counts = pair_counts(kept)
     back = listed.join(counts, "pair").select("block", "place", "n", "best")
 

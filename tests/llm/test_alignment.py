@@ -7,6 +7,8 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from airq.llm import alignment
 from airq.llm.tables import table
@@ -100,8 +102,8 @@ def same(one, other):
     return all(x[:3] == y[:3] and (x[3] == y[3]).all() and (x[4] == y[4]).all() for x, y in zip(one, other, strict=True))
 
 
-def test_windows_in_slices_and_with_little_memory(spell, monkeypatch):
-    both = alignment.aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+def test_windows_in_slices(spell, monkeypatch):
+    both = alignment.aligner()
     texts = ["Grüße an alle, die  hier lesen;\nand to everyone unbelievably far away. " * 20, "x", "one two", "one two " * 30]
     tokens = both.tokens(texts)
     whole = both.aligned(tokens)
@@ -109,17 +111,31 @@ def test_windows_in_slices_and_with_little_memory(spell, monkeypatch):
     for k, t in enumerate(texts):
         assert (0, len(tokens[k][0]), len(tokens[k][1]), *whole[k][:2]) == brute([(0, t)], spell)[0][:5]
     monkeypatch.setattr(alignment, "SLICE", 3)
-    monkeypatch.setattr(alignment, "ROOM", 5)
     assert same(whole, both.aligned(tokens))
 
 
 def test_tuples_that_share_a_hash_stay_apart(monkeypatch):
-    both = alignment.aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+    both = alignment.aligner()
     tokens = both.tokens(["several words of one text, several words", "and some of another"])
     whole = both.aligned(tokens)
     monkeypatch.setattr(alignment, "mixed", lambda h: h * alignment.np.uint64(0))
     assert same(whole, both.aligned(tokens))
 
 
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(alphabet=st.one_of(st.sampled_from("theandor' \n.!0éß"), st.characters(codec="utf-8")), max_size=50))
+def test_both_ways_to_the_ids_agree(text):
+    both, plain = alignment.aligner(), alignment.aligner(ranks_a=None)
+    assert both.ids_of_a(" " + text).tolist() == plain.ids_of_a(" " + text).tolist()
+
+
+def test_big_groups(monkeypatch):
+    both = alignment.aligner()
+    tokens = both.tokens(["Zürich" * 40 + " end", "x y"])
+    whole = both.aligned(tokens)
+    monkeypatch.setattr(alignment.Windows, "ROOMY", 0)
+    assert same(whole, both.aligned(tokens))
+
+
 def test_empty_table(docs):
     assert alignment.align_documents(docs([])).collect() == []
