@@ -97,7 +97,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Neighbours:
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Neighbours:
     """Fits on an expected ``limit`` of labelled rows that are not held out, chosen by a hash of doc_id. A document with several labels has its lowest."""
-    known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_doc")).agg(F.min("quality").alias("quality"))
+    known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.min("quality").alias("quality"))
     n = known.count()
     own = known.filter(F.pmod(F.xxhash64("_doc"), F.lit(1 << 30)) < min(1.0, limit / max(1, n)) * (1 << 30))
     # the same filter on the documents before the join, so that only the sample's texts move
@@ -111,7 +111,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Neighbours
                 x = terms(texts).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([b.column("quality").slice(at, len(texts)), pa.array([r.tobytes() for r in x], pa.binary())], ["quality", "x"])
 
-    joined = picked.join(own, F.col("doc_id") == F.col("_doc")).select(F.col("quality").cast("int").alias("quality"), "text")
+    joined = picked.join(own, F.col("doc_id").cast("long") == F.col("_doc")).select(F.col("quality").cast("int").alias("quality"), "text")
     got = joined.mapInArrow(rows, "quality int, x binary").toPandas()
     x = np.frombuffer(b"".join(got["x"]), dtype=np.float32).reshape(len(got), -1) if len(got) else terms([""])[:0]
     order = np.lexsort([got["x"].to_numpy(), got["quality"].to_numpy()]) if len(got) else np.zeros(0, int)

@@ -90,15 +90,44 @@ def test_all_that_is_left_is_packed(steps):
     assert got == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in rows(steps[4])}
 
 
+def through(spark, data):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", True) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long, kept string, _kept_id boolean")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(kept_table(stage(spark, out[-1], DIR), "edge-" + name.replace(" ", "-")))
+        assert name == "packing" or out[-1].columns == docs.columns
+    return out
+
+
 def test_edge_cases_pass_through_every_stage(spark):
     clean = " ".join(f"w{i}" for i in range(60))
     data = [(1, None), (2, ""), (3, clean), (3, clean), (4, clean.upper()), (None, clean + " more"), (5, " ".join(f"v{i}" for i in range(20_000)))]
-    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", True) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long, kept string, _kept_id boolean")
-    for frame in (docs, docs.filter("false")):
-        d = frame
-        for name, stage in corpus_pipeline.STAGES[:-1]:
-            d = kept_table(stage(spark, d, DIR), "edge-" + name.replace(" ", "-"))
-            assert d.columns == docs.columns
-        left = d.select("doc_id").collect()
-        assert len(left) == (0 if frame is not docs else 3)  # 4, 5 and the row without id
-        corpus_pipeline.STAGES[-1][1](spark, d, DIR).collect()
+    *_, left, packed = through(spark, data)
+    # equal texts: the largest id; the row without id comes first in order, so it stays where near copies meet
+    assert sorted(rows(left), key=str) == sorted([(None, clean + " more"), data[6]], key=str)
+    assert {r["doc_id"] for r in packed.collect()} == {None, 5}
+    *_, left, packed = through(spark, [])
+    assert left.collect() == [] and packed.collect() == []
+
+
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    text = lambda p, n=60: " ".join(f"{p}{k}" for k in range(n))
+    passage = text("passage")
+    data = [(0, passage), (1, passage + " " + text("left")), (1, passage + " " + text("right")), (2, text("low", 5)), (2, text("high")), (3, text("same")), (3, text("same")), (3, text("SAME")), (None, text("a")), (None, text("b"))]
+    *_, left, packed = through(spark, data)
+    want = [(0, passage), (1, text("left")), (1, text("right")), (2, text("high")), (None, text("a")), (None, text("b"))]
+    got = [(i, t.strip()) for i, t in rows(left) if i != 3]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    same = [t for i, t in rows(left) if i == 3]
+    assert len(same) == 1 and same[0].lower() == text("same")
+    tokens = defaultdict(int)
+    for r in packed.collect():
+        tokens[r["doc_id"]] += r["length"]
+    import public_tokenizers
+    import tokenizers
+
+    t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    size = defaultdict(int)
+    for i, x in rows(left):
+        size[i] += len(t.encode(x, add_special_tokens=False).ids) + 1
+    assert tokens == size

@@ -92,6 +92,13 @@ def test_quality_votes_on_held_out_rows(spark):
     assert good.mean() > 0.95 and bad.mean() < 0.3
 
 
+def test_labels_of_another_type_choose_the_same_sample(spark):
+    d, labels = table(spark, str(SF / "sf0.01"), "documents"), table(spark, str(SF / "sf0.01"), "labels")
+    sizes = {kind: len(quality_classifier.learn(d.withColumn("doc_id", F.col("doc_id").cast(other)), labels.withColumn("doc_id", F.col("doc_id").cast(kind)), 100).labels)
+             for kind, other in (("long", "long"), ("int", "long"), ("long", "int"), ("int", "int"))}
+    assert len(set(sizes.values())) == 1 and sizes["long"] > 60
+
+
 def test_votes_are_exact(spark):
     import numpy as np
 
