@@ -2,12 +2,12 @@
 
 Each rule scores a document (higher is worse) and has a grid of cutoffs. A cutoff may be
 used in a stratum (a band of text lengths) only if the labelled good documents of that stratum
-show, by an exact binomial test, that it rejects less than the rule's share of ``RISK`` of
-them. All rules, cutoffs and strata are tested together under Holm's correction at
-``LEVEL``; the shares of the rules add up, so with probability 1 - LEVEL every stratum loses at
-most RISK of its good documents. Of the proven cutoffs of a rule the strictest is used;
-where none is proven the rule rejects nothing. ``joint_cutoffs``, which the pipeline uses, needs
-far fewer labels: all rules of a stratum are tested together, in a fixed order.
+show, by an exact binomial test, that the rules reject less than ``RISK`` of
+them (``joint_cutoffs``): all rules of a stratum are tested together in a fixed order of cutoffs, which
+needs no correction within it, and the strata share ``LEVEL``, so that with probability 1 - LEVEL every
+stratum loses at most RISK of its good documents. Of the proven cutoffs of a rule the strictest is used; where
+none is proven the rule rejects nothing. ``cutoffs`` is the plainer way, each rule, cutoff and stratum
+by itself under Holm's correction; it needs many more labels.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ VISIBLE = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
 SPAN = 8
 RISK, LEVEL = 0.03, 0.05
-#: One labelled document in so many chooses the rules' ends in ``joint_cutoffs``; the others test.
-CHOOSING = 4
+#: First hexadecimal digits of the hashes of labelled documents (a quarter of them) that choose the rules' ends in ``joint_cutoffs``; the others test.
+CHOOSING = ("0", "4", "8", "c")
 #: Upper ends of the length strata, in words; one more stratum has no end.
 BANDS = (64, 256, 1024)
 #: Rule -> (numerator, denominator, cutoffs); a document is rejected when the ratio is above the cutoff.
@@ -127,7 +127,7 @@ def joint_cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, level:
     """Cutoffs proven together, from laxest to strictest: columns and rows as from ``cutoffs``.
 
     The labelled good documents of a stratum are dealt in two parts by a hash of their id. Of the
-    smaller one (one in CHOOSING) each rule takes its end: the strictest cutoff that rejects at most the rule's
+    smaller one (a quarter) each rule takes its end: the strictest cutoff that rejects at most the rule's
     share of ``risk``. The other part tests a fixed order of steps, the laxest cutoff of every rule first,
     each rule up to its end: a step is proven if all rules so far together reject less than
     ``risk``, by an exact binomial test at ``level`` over the number of strata, and the order
@@ -136,9 +136,9 @@ def joint_cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, level:
     """
     good = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(F.min("quality").alias("_quality")).filter("_quality = 1")
     held = rows.filter("NOT base_failed").join(good, F.col("doc_id") == F.col("_labelled"))
-    tests = [(r, j, c) for j in reversed(range(max(len(g) for _, _, g in RULES.values()))) for r, (_, _, g) in RULES.items() if j < len(g) for c in [g[j]]]
-    over = [(F.col(f"r_{r}") > c).cast("int") for r, _, c in tests]
-    choosing = F.pmod(F.xxhash64(F.lit("choosing"), "_labelled"), F.lit(CHOOSING)) == 0
+    tests = steps()
+    over = [(F.col(f"r_{r}") > c).cast("int") for _, r, c in tests]
+    choosing = F.substring(F.md5(F.concat(F.lit("choosing "), F.col("_labelled").cast("string"))), 1, 1).isin(*CHOOSING)
     few = held.filter(choosing).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"k_{i}") for i, x in enumerate(over)])
     used = few.select(F.col("stratum").alias("_chosen"), *[(F.col(f"k_{i}") <= F.col("n") * (risk / len(RULES))).alias(f"u_{i}") for i in range(len(tests))])
     tested = held.filter(~choosing).join(F.broadcast(used), F.col("stratum") == F.col("_chosen"))
@@ -146,8 +146,8 @@ def joint_cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, level:
     wide = tested.withColumn("_at", at).groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"), *[F.first(f"u_{i}").alias(f"u_{i}") for i in range(len(tests))], *[F.sum((F.col("_at") <= i).cast("long")).alias(f"k_{i}") for i in range(len(tests))]
     )
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"u_{i}").alias("used"), F.col(f"k_{i}").alias("k")) for i, (r, _, c) in enumerate(tests)])
-    tall = wide.select("stratum", "n", F.explode(steps).alias("t")).select("stratum", "n", "t.*")
+    tall = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"u_{i}").alias("used"), F.col(f"k_{i}").alias("k")) for i, r, c in tests])
+    tall = wide.select("stratum", "n", F.explode(tall).alias("t")).select("stratum", "n", "t.*")
     proven = F.min(binomial_cdf(F.col("k"), F.col("n"), risk) <= level / (len(BANDS) + 1)).over(Window.partitionBy("stratum").orderBy("i"))
     tall = tall.withColumn("proven", proven).filter("proven AND used")
     return tall.groupBy(F.col("stratum").alias("_stratum")).agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"c_{r}") for r in RULES])
@@ -158,13 +158,13 @@ def labels_needed(risk: float = RISK, level: float = LEVEL) -> int:
     return ceil(log(level / (len(BANDS) + 1)) / log(1 - risk))
 
 
-def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, prove=cutoffs) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, prove=joint_cutoffs) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
 
     A document fails the base rules with fewer than 20 words (so NULL and empty texts fail) or
     with over 30 % of its words in repeated windows; else the proven cutoffs of its stratum
     decide. Without labels nothing is proven and only the base rules reject. Rows that share a
-    ``doc_id`` are judged each by its own text. ``prove`` is ``cutoffs`` (as the SQL twin does) or ``joint_cutoffs``.
+    ``doc_id`` are judged each by its own text. ``prove`` is ``joint_cutoffs`` (as the SQL twin does) or ``cutoffs``.
     """
     rows = kept_table(scored(docs), "quality-counts")
     cut = prove(rows, labels, risk, level)
@@ -173,10 +173,17 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", passed.alias("kept"))
 
 
+def steps() -> list[tuple[int, str, float]]:
+    """(place, rule, cutoff) in the order in which ``joint_cutoffs`` tests: the laxest cutoff of every rule first."""
+    width = max(len(g) for _, _, g in RULES.values())
+    order = [(r, g[j]) for j in reversed(range(width)) for r, (_, _, g) in RULES.items() if j < len(g)]
+    return [(i, r, c) for i, (r, c) in enumerate(order)]
+
+
 def oracle(risk: float = RISK, level: float = LEVEL) -> str:
     share = risk / len(RULES)
-    n_tests = sum(len(g) for _, _, g in RULES.values()) * (len(BANDS) + 1)
-    grid = ", ".join(f"('{r}', {c!r}::DOUBLE)" for r, (_, _, g) in RULES.items() for c in g)
+    grid = ", ".join(f"({i}, '{r}', {c!r}::DOUBLE)" for i, r, c in steps())
+    digits = ", ".join(f"'{d}'" for d in CHOOSING)
     ratios = ", ".join(f"{x} AS r_{r}" for r, x in RATIO.items())
     value = "CASE rule " + " ".join(f"WHEN '{r}' THEN r_{r}" for r in RULES) + " END"
     band = "CASE " + " ".join(f"WHEN n_words <= {b} THEN {k}" for k, b in enumerate(BANDS)) + f" ELSE {len(BANDS)} END"
@@ -194,13 +201,16 @@ c AS (SELECT a.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(wor
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM a LEFT JOIN m USING (doc_id)),
 s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {band} AS stratum, {ratios} FROM c),
 q AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER ({value} > cutoff) AS k
-  FROM s JOIN q USING (doc_id), (VALUES {grid}) AS grid(rule, cutoff) WHERE NOT base_failed GROUP BY ALL),
-p AS (SELECT *, CASE WHEN k >= n * {share!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
-  exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({share!r}) + (n - i) * ln(1 - {share!r})))) END AS p FROM k),
-o AS (SELECT *, row_number() OVER (ORDER BY p, rule, cutoff, stratum) AS i FROM p),
-h AS (SELECT *, bool_and(p <= {level!r} / ({n_tests} - i + 1)) OVER (ORDER BY p, rule, cutoff, stratum ROWS UNBOUNDED PRECEDING) AS proven FROM o),
-b AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM h WHERE proven GROUP BY ALL),
+grid AS (SELECT * FROM (VALUES {grid}) AS x(i, rule, cutoff)),
+z AS (SELECT s.*, row_number() OVER () AS row, substr(md5('choosing ' || CAST(doc_id AS VARCHAR)), 1, 1) IN ({digits}) AS choosing FROM s JOIN q USING (doc_id) WHERE NOT base_failed),
+u AS (SELECT stratum, i FROM z, grid WHERE choosing GROUP BY ALL HAVING count(*) FILTER ({value} > cutoff) <= count(*) * {share!r}),
+f AS (SELECT z.stratum, row, min(CASE WHEN {value} > cutoff AND u.i IS NOT NULL THEN grid.i END) AS first_step
+  FROM z CROSS JOIN grid LEFT JOIN u ON u.stratum = z.stratum AND u.i = grid.i WHERE NOT choosing AND z.stratum IN (SELECT stratum FROM z WHERE choosing) GROUP BY ALL),
+k AS (SELECT stratum, i, rule, cutoff, count(*) AS n, count(*) FILTER (first_step <= i) AS k FROM f, grid GROUP BY ALL),
+p AS (SELECT *, CASE WHEN k >= n * {risk!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+  exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r})))) END AS p FROM k),
+h AS (SELECT *, bool_and(p <= {level!r} / {len(BANDS) + 1}) OVER (PARTITION BY stratum ORDER BY i ROWS UNBOUNDED PRECEDING) AS proven FROM p),
+b AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM h SEMI JOIN u USING (stratum, i) WHERE proven GROUP BY ALL),
 r AS (SELECT DISTINCT doc_id FROM s JOIN b USING (stratum) WHERE {value} > cutoff)
 SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND r.doc_id IS NULL AS kept FROM s LEFT JOIN r USING (doc_id)
 """

@@ -43,7 +43,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     if not own.isEmpty():  # labels under the rows' numbers
         own = rows.select(F.col("doc_id").cast("long").alias("_id"), "_row")
         labels = labels.join(own, labels["doc_id"].cast("long") == own["_id"]).withColumn("doc_id", F.col("_row")).select(*labels.columns)
-    return _stay(rows, quality_rules.judge(_seen(rows), labels, prove=quality_rules.joint_cutoffs))
+    return _stay(rows, quality_rules.judge(_seen(rows), labels))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,11 +124,13 @@ def test_classifier_edge_cases(spark, docs):
 
 
 def test_joint_cutoffs_reject_symbol_junk(spark):
-    """On sf0.1 the pipeline's first stage loses documents labelled 0 for their symbols, and few labelled 1."""
+    """On sf0.1 the registered query and the pipeline's first stage reject documents labelled 0 for their symbols, and few labelled 1."""
     import corpus_pipeline
+    from airq.llm import queries
 
     d, labels = table(spark, str(SF / "sf0.1"), "documents"), table(spark, str(SF / "sf0.1"), "labels")
     kept = {r["doc_id"] for r in corpus_pipeline.reject_low_quality(spark, d, str(SF / "sf0.1")).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in queries.op9_quality_rules(spark, str(SF / "sf0.1")).filter("kept").select("doc_id").collect()}
     stay = {0: [], 1: []}
     for i, text, quality in d.join(labels, "doc_id").select("doc_id", "text", "quality").collect():
         c = counts(text)
