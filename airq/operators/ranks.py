@@ -69,12 +69,48 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float
     return res.select(*keys, *cols)
 
 
+def _near_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int) -> DataFrame:
+    """(keys, prob, total, value, n): how many rows lie below the bounds of a quantile (``value`` NULL) and each value inside with its count.
+
+    A mergeable sketch gives the bounds, two sketch errors to either side of the quantile, so what is shuffled is
+    a small share of the values; a key of few values, for which the next rank may lie beyond them, is taken whole.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    step = 2.0 / accuracy
+
+    def edge(p, end):
+        return end if p <= 0 or p >= 1 else F.when(F.count(F.lit(1)) < 4 * accuracy, end).otherwise(F.percentile_approx("_v", p, accuracy))
+
+    ends = F.array(*[F.struct(F.lit(name).alias("prob"), edge(p - step, F.min("_v")).alias("lo"), edge(p + step, F.max("_v")).alias("hi")) for name, p in probs.items()])
+    bounds = rows.groupBy(*keys).agg(ends.alias("_ends"), F.count(F.lit(1)).alias("total"))
+    placed = meet(rows, bounds, keys).select(*keys, "total", "_v", F.inline("_ends")).filter(F.col("_v") <= F.col("hi"))
+    return placed.groupBy(*keys, "prob", "total", F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def selected_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """The same quantiles in two passes, for few keys with many different values: a first pass bounds each quantile, a second ranks only what lies inside.
+
+    Exact; should a quantile ever lie outside its bounds, the query fails rather than answer wrongly.
+    """
+    w = W.partitionBy(*keys, "prob").orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    d = _near_quantiles(df, keys, value, probs, accuracy).withColumn("below", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    p = F.create_map(*[x for name, q in probs.items() for x in (F.lit(name), F.lit(float(q)))])[F.col("prob")]
+    at = (F.col("total") - 1) * p
+    hit = lambda pos: F.max(F.when((F.col("below") <= pos) & (pos < F.col("below") + F.col("n")), F.col("value")))
+    per = d.groupBy(*keys, "prob").agg(hit(F.floor(at)).alias("_lo"), hit(F.ceil(at)).alias("_hi"), F.max(at - F.floor(at)).alias("_part"))
+    lost = F.col("_lo").isNull() | F.col("_hi").isNull()
+    got = F.when(lost, F.raise_error(F.lit("a quantile lies outside the bounds of its sketch")).cast("double")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part"))
+    per = per.withColumn("_q", got)
+    return per.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == name, F.col("_q"))).alias(name) for name in probs])
+
+
 def medians(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Exact medians of several columns, one row per key."""
     long = df.select(*keys, F.explode(F.map_from_arrays(
         F.array(*[F.lit(c) for c in cols]), F.array(*[F.col(c).cast("double") for c in cols])
     )).alias("_col", "_val"))
-    med = quantiles(long, [*keys, "_col"], "_val", {"m": 0.5})
+    # over the whole table there are few keys and many values
+    med = (quantiles if keys else selected_quantiles)(long, [*keys, "_col"], "_val", {"m": 0.5})
     return med.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_col") == c, F.col("m"))).alias(c) for c in cols
     ])

@@ -481,6 +481,24 @@ def _(i):
                  F.count(F.when(F.col("skipped"), 1)).alias("n_skipped"), F.min("obs_time").alias("first"), F.max("obs_time").alias("last"))
 
 
+@query("s11_fixed_field_copies", "S11", "copy:s week:s segments:i rate:d", """
+SELECT copy, week, count(*) AS segments, sum(segment % 7 * 0.01 * day(week)) AS rate
+FROM weeks, range(""" + str(N_SEGMENTS) + """) AS r(segment), (VALUES ('weekly'), ('latest')) AS c(copy)
+WHERE copy = 'weekly' OR week = (SELECT max(week) FROM weeks WHERE date_diff('day', week + 7, DATE '2024-02-20') <= 30) GROUP BY copy, week""", SENS + """,
+weeks AS (SELECT DISTINCT CAST(date_trunc('week', obs_time) AS DATE) AS week FROM chk WHERE NOT skipped)""")
+def _(i):
+    """The weekly copies and the one that is recent enough, of a fixed field in place of the solution."""
+    from airq.session import scratch_path
+    from airq.sources.sinks import write_q_field
+
+    weeks = V.usable_rows(_rows(i), V.geometry_check(_rows(i), ["network"]), ["network"]).select("week").distinct()
+    field = weeks.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(N_SEGMENTS - 1)))).withColumn("rate", F.col("segment") % 7 * 0.01 * F.dayofmonth("week"))
+    path = scratch_path(i.spark, "fixed-field")
+    write_q_field(field, path, "2024-02-20")
+    copy = lambda name, at: i.spark.read.parquet(f"{path}/{at}").select(F.lit(name).alias("copy"), F.to_date("week").alias("week"), "rate")
+    return copy("weekly", "weekly").unionByName(copy("latest", "latest")).groupBy("copy", "week").agg(F.count("*").alias("segments"), F.sum("rate").alias("rate"))
+
+
 @query("e35_gates", "E35 F16", "week:s cv_pass:b n_test:i total_rate:d budget_pass:b strong:i")
 def _(i):
     cv = V.cv_gates(V.cross_validate(_usable(i), "site_name", N_SEGMENTS), ["week"])

@@ -14,6 +14,7 @@ from airq.operators.ordering import latest
 from airq.plans.inputs import PRED_SQL
 from airq.plans.registry import query
 from airq.session import scratch_path
+from airq.sources.rollups import DailyRollup
 
 SITE = X.SITE
 PERS = """
@@ -276,6 +277,24 @@ def _(i):
     return S.period_scorecards(S.effective_cells(_daily(i), ORDER), S.period_windows(i.spark, "2024-01-30"))
 
 
+@query("a16_kept_scorecards", "A16 A46 A2", f"scope:s period_start:s period_end:s site:s n:i {SCORE_SPEC}",
+       scores_sql(sums_sql("scope, period_start, period_end, site", "sited")), PERIODS)
+def _(i):
+    """The periods from kept daily counts: the first refresh sees the table without its last day and with wrong rows on another, the second
+    reads those two days."""
+    rows = i.scored().select("event_id", *SITE, "actual", "predicted", F.to_date("obs_time").alias("day"))
+    pipeline = F.when(F.col("event_id") % 3 == 0, "root").otherwise("daily_station")
+    source, store = scratch_path(i.spark, "days"), scratch_path(i.spark, "rollup")
+    late, wrong = F.col("day") == F.lit("2024-01-30").cast("date"), F.col("day") == F.lit("2024-01-12").cast("date")
+    early = rows.filter(~late).withColumn("predicted", F.when(wrong, "green").otherwise(F.col("predicted")))
+    early.write.partitionBy("day").parquet(source)
+    kept = DailyRollup(i.spark, source, store, lambda d: M.confusion(d.withColumn("pipeline", pipeline), ["day", "pipeline", *SITE]))
+    kept.refresh()
+    rows.filter(late | wrong).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(source)
+    kept.refresh()
+    return S.period_scorecards(S.effective_cells(kept.cells(), ORDER), S.period_windows(i.spark, "2024-01-30"))
+
+
 @query("a17_alert_performance", "A17", "site:s orange_recall:d orange_precision:d orange_f1:d yellow_recall:d yellow_precision:d false_alarm_rate:d",
        scores_sql(sums_sql("site", "(SELECT * FROM sited WHERE scope = 'rolling_30d')"), "0"), PERIODS)
 def _(i):

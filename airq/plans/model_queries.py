@@ -155,6 +155,26 @@ def _(i):
     return Z.train_classes(d, "actual", FEATS, 5, Z.TreeSettings(trees=5, depth=4), tie=["event_id"])[1]
 
 
+def _validated(i):
+    from airq.functions.classes import three_class
+
+    d = _features(i).withColumn("actual", three_class(F.col("h2s")))
+    return Z.train_classes(d, "actual", FEATS, 5, Z.TreeSettings(trees=20, depth=5), tie=["event_id"], keep=[*SITE, "obs_time", "h2s"])[2]
+
+
+@query("m11_validation_predictions", "M11", "fold:i network:i site_name:s obs_time:t h2s:d actual:s predicted:s p_orange:d")
+def _(i):
+    """Every row of the test folds with its class, the one predicted without it or later rows, and the hazard's probability."""
+    return _validated(i).withColumn("p_orange", F.coalesce(F.try_element_at("probabilities", F.lit("orange")), F.lit(0.0)))
+
+
+@query("m11_validation_report", "M11 A4", "scope:s n:i accuracy:d balanced_accuracy:d orange_recall:d orange_precision:d yellow_recall:d false_alarm_rate:d")
+def _(i):
+    """Scores of those predictions per fold and over all of them."""
+    d = _validated(i).withColumn("scope", F.explode(F.array(F.concat(F.lit("fold "), F.col("fold").cast("string")), F.lit("all"))))
+    return M.confusion_scores(M.confusion(d, ["scope"]), ["scope"], zero=0.0)
+
+
 @query("m06_oversampling", "M6", "kind:s actual:s n:i")
 def _(i):
     d = i.scored().select(*SITE, "obs_time", "actual", "temperature_2m", "dewpoint_2m", "share")

@@ -167,3 +167,20 @@ def _(i):
     hit = lambda t: F.count(F.when(F.col("trigger") == t, 1))
     return d.groupBy("network").agg(hit("onset").alias("onsets"), hit("summary").alias("summaries"), F.count_distinct("event_id").alias("ids"))
 
+
+
+@query("st12_archive_of_two_runs", "ST12 S13", "network:i onsets:i summaries:i ids:i reports:i", f"""
+SELECT network, count(CASE WHEN trigger = 'onset' THEN 1 END) AS onsets, count(CASE WHEN trigger = 'summary' THEN 1 END) AS summaries,
+  count(DISTINCT concat_ws('_', site_name, tier, trigger, strftime(event_start, '%Y%m%d%H%M'))) AS ids, count(*) AS reports FROM ({EVENT_ROWS}) GROUP BY network""", EVENT_CTES)
+def _(i):
+    """The stream runs twice, the second time under a new checkpoint: every event is archived twice, compacted after each run, and read once."""
+    from airq.sources.sinks import ReportArchive, with_event_id
+
+    archive = ReportArchive(i.spark, scratch_path(i.spark, "reports"))
+    ev = with_event_id(M.event_stream(readings(i)), KEYS)
+    ev = ev.withColumn("event_id", F.concat_ws("_", "event_id", "trigger"))
+    for run in ("first", "second"):
+        S.run_available(ev, f"reports-{run}", foreach_batch=archive.writer(run))
+        archive.compact()
+    hit = lambda t: F.count(F.when(F.col("trigger") == t, 1))
+    return archive.read().groupBy("network").agg(hit("onset").alias("onsets"), hit("summary").alias("summaries"), F.count_distinct("event_id").alias("ids"), F.count("*").alias("reports"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airq.operators.ordering import earliest
+
 
 def with_event_id(events: DataFrame, keys: list[str]) -> DataFrame:
     """A stable id from the station, tier and start of an event."""
@@ -114,3 +118,93 @@ def archive_batch(path: str):
         batch.dropDuplicates(["event_id"]).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
+
+
+class ReportArchive:
+    """An archive of reports that many runs add to, with one row per ``event_id`` when read.
+
+    A batch goes to a folder of its own, and a commit, written last, names it. A batch that is retried commits
+    again under its run and number and so replaces itself; a restart under a new checkpoint or a
+    second run may write an event again, and reading keeps the row of the earliest commit. ``compact`` writes
+    what is read as one folder and a commit that replaces all before it, so that readers of
+    the old folders are not disturbed; ``vacuum`` deletes what no commit names any more.
+    """
+
+    COMMIT = "run string, batch bigint, at timestamp, folder string, replaces array<string>"
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _folders(self, below: str) -> list[str]:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(f"{self.path}/{below}")
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+    def _commit(self, name: str, run: str, batch: int, folder: str, replaces: list[str]) -> None:
+        one = self.spark.createDataFrame([(run, batch, folder, replaces)], "run string, batch bigint, folder string, replaces array<string>")
+        one.withColumn("at", F.current_timestamp()).select("run", "batch", "at", "folder", "replaces").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{name}")
+
+    def commits(self) -> DataFrame:
+        """The commits that hold, one row each: as many as batches since the last compaction."""
+        made = [f"{self.path}/commits/{n}" for n in self._folders("commits") if n in self._finished()]
+        if not made:
+            return self.spark.createDataFrame([], self.COMMIT + ", name string")
+        all_ = self.spark.read.schema(self.COMMIT).parquet(*made).withColumn("name", F.element_at(F.split(F.input_file_name(), "/"), -2))
+        gone = all_.select(F.explode("replaces").alias("name"))
+        return all_.join(gone, "name", "left_anti")
+
+    def _finished(self) -> set[str]:
+        """Commits whose writing ended."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        done = set()
+        for n in self._folders("commits"):
+            mark = hadoop.Path(f"{self.path}/commits/{n}/_SUCCESS")
+            if mark.getFileSystem(conf).exists(mark):
+                done.add(n)
+        return done
+
+    def add(self, batch: DataFrame, batch_id: int, run: str) -> None:
+        folder = uuid.uuid4().hex
+        batch.write.parquet(f"{self.path}/data/{folder}")
+        self._commit(f"{run}-{batch_id}", run, batch_id, folder, [])
+
+    def writer(self, run: str):
+        """For ``foreachBatch``; ``run`` names the checkpoint that counts the batches."""
+        return lambda batch, batch_id: self.add(batch, batch_id, run)
+
+    def _all(self) -> tuple[DataFrame | None, list[str]]:
+        held = self.commits().select("name", "folder", "at").collect()
+        out = None
+        for r in held:
+            one = self.spark.read.parquet(f"{self.path}/data/{r.folder}").withColumn("_at", F.struct(F.lit(r.at).alias("at"), F.lit(r.name).alias("name")))
+            out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+        return out, [r.name for r in held]
+
+    def read(self) -> DataFrame | None:
+        """One row per event, that of the earliest commit and in it the least by all columns; None while nothing is committed."""
+        d, _ = self._all()
+        if d is None:
+            return None
+        rest = [c for c in d.columns if c not in ("event_id", "_at")]
+        return earliest(d, ["event_id"], ["_at", *rest], keep=rest).select(*[c for c in d.columns if c != "_at"])
+
+    def compact(self) -> None:
+        d, names = self._all()
+        if d is None or len(names) < 2:
+            return
+        folder = uuid.uuid4().hex
+        self.read().write.parquet(f"{self.path}/data/{folder}")
+        self._commit(f"compaction-{folder}", "compaction", 0, folder, names)
+
+    def vacuum(self) -> None:
+        """Deletes folders and commits that are replaced; to be called when nobody reads an older state or writes."""
+        held = self.commits().select("name", "folder").collect()
+        keep = {f"data/{r.folder}" for r in held} | {f"commits/{r.name}" for r in held}
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        for below in ("commits", "data"):
+            for n in self._folders(below):
+                if f"{below}/{n}" not in keep:
+                    at = hadoop.Path(f"{self.path}/{below}/{n}")
+                    at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

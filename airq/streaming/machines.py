@@ -24,41 +24,72 @@ EVENT_SCHEMA = "network bigint, site_name string, tier string, trigger string, e
 class WaitingRows(StatefulProcessor):
     """Keeps rows until the watermark passes them, with one timer per key and batch.
 
-    Whatever timer fires, all rows due at the watermark are handled in time order, the
-    rest is put back and one timer is set for the earliest of them.
+    Waiting rows lie in parts of a map state, keyed by the time of a part's first row. Whatever timer fires, the
+    keys tell which parts have begun before the watermark; only those are read, all rows due are
+    handled in time order, and what such parts hold beyond the watermark goes back as one part. So a timer
+    costs as much as the rows it handles and those of the parts that it cuts, however many wait behind. One timer
+    is set for the earliest row or part that is left. A time to live can't be set in event time;
+    a key whose rows are handled keeps its memory alone.
     """
 
-    row_schema = "t bigint, body string"
+    #: Rows of a part at least, parts of one key's rows of a batch at most.
+    LEAST, PARTS = 64, 16
 
     def init(self, handle):
         self.handle = handle
-        self.pending = handle.getListState("pending", self.row_schema)
+        self.pending = handle.getMapState("pending", "t bigint, part bigint", "rows string")
+        self.parts = handle.getValueState("parts", "part bigint")
         self.memory = handle.getValueState("memory", "body string")
 
+    def keep(self, rows):
+        """Puts rows in time order away in parts."""
+        part = self.parts.get()[0] if self.parts.exists() else 0
+        size = max(self.LEAST, -(-len(rows) // self.PARTS))
+        for k in range(0, len(rows), size):
+            part += 1
+            self.pending.updateValue((rows[k][0], part), (json.dumps(rows[k : k + size]),))
+        self.parts.update((part,))
+
     def handleInputRows(self, key, rows, timerValues):
         fresh = []
         for pdf in rows:
             fresh += list(zip((int(t) for t in pdf["t"]), pdf["body"]))
         if fresh:
-            self.pending.appendList(fresh)
-            self.handle.registerTimer(min(fresh)[0] // 1000 + 1)
+            fresh.sort()
+            self.keep(fresh)
+            self.handle.registerTimer(fresh[0][0] // 1000 + 1)
         yield pd.DataFrame()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted((int(t), body) for t, body in self.pending.get())
+    def take(self, now):
+        """(rows before ``now`` in time order, time of the earliest row or part that is left)."""
+        begun, behind = [], []
+        for k in self.pending.keys():
+            (begun if k[0] < now else behind).append((int(k[0]), int(k[1])))
+        waiting = []
+        if not behind:
+            for _, value in self.pending.iterator() if begun else ():
+                waiting += json.loads(value[0])
+            self.pending.clear()
+        else:
+            for k in begun:
+                waiting += json.loads(self.pending.getValue(k)[0])
+                self.pending.removeKey(k)
+        waiting = sorted((int(t), body) for t, body in waiting)
         due = [r for r in waiting if r[0] < now]
         later = waiting[len(due):]
+        if later:
+            self.keep(later)
+        first = [t for t, _ in behind] + [t for t, _ in later[:1]]
+        return due, min(first, default=None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        due, left = self.take(now)
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else self.start()
         out, wake = self.advance(memory, due, now)
         self.memory.update((json.dumps(memory),))
-        if due:
-            if later:
-                self.pending.put(later)
-            else:
-                self.pending.clear()
-        if later:
-            wake = min(wake, later[0][0] // 1000 + 1) if wake is not None else later[0][0] // 1000 + 1
+        if left is not None:
+            wake = min(wake, left // 1000 + 1) if wake is not None else left // 1000 + 1
         if wake is not None:
             self.handle.registerTimer(wake)
         yield self.frame(key, out) if out else pd.DataFrame()

@@ -150,6 +150,32 @@ def test_retried_batch_replaces_itself(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_archive_counts_an_event_once(spark):
+    from pyspark.sql import Row
+
+    make = lambda *rows: spark.createDataFrame(list(rows), "event_id string, v double")
+    a = S.ReportArchive(spark, scratch_path(spark, "archive"))
+    assert a.read() is None and a.commits().count() == 0
+    a.compact()
+    a.vacuum()
+    a.add(make(("e1", 1.0), ("e2", 2.0), ("e2", 2.0)), 0, "first")
+    a.add(make(("e1", 1.0), ("e2", 2.0), ("e2", 2.0)), 0, "first")  # a batch that is retried
+    a.add(make(("e2", 9.0), ("e3", 3.0)), 0, "second")  # a restart under a new checkpoint
+    a.add(make(), 1, "second")
+    want = [Row(event_id="e1", v=1.0), Row(event_id="e2", v=2.0), Row(event_id="e3", v=3.0)]
+    read = lambda: sorted(a.read().select("event_id", "v").collect())
+    assert read() == want and a.commits().count() == 3
+    before = a.read()
+    a.compact()
+    assert a.commits().count() == 1 and read() == want and before.count() == 3  # older readers go on
+    a.add(make(("e3", 7.0), ("e4", 4.0)), 2, "second")
+    a.vacuum()
+    assert read() == [*want, Row(event_id="e4", v=4.0)] and len(a._folders("data")) == 2
+    # data without a commit is not read
+    make(("e9", 9.0)).write.parquet(f"{a.path}/data/unfinished")
+    assert read()[-1].event_id == "e4"
+
+
 def test_snapshot_is_never_overwritten(spark):
     base = scratch_path(spark, "snap")
     S.write_snapshot(spark.range(3), base, "a")

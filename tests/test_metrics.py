@@ -143,3 +143,31 @@ def test_polar_bins_of_a_north_wind(frame):
                "site_name string, obs_time timestamp, h2s double, wind_speed_10m double, wind_direction_10m double")
     r = polar_bins(df, ["site_name"]).collect()
     assert len(r) == 1 and (r[0].dir_bin, r[0].speed_bin, r[0].mean_h2s) == (9, 9, 7.0)
+
+
+def test_rollup_reads_changed_days_only(spark):
+    from pyspark.sql import functions as F
+
+    from airq.session import scratch_path
+    from airq.sources.rollups import DailyRollup
+
+    source, store = scratch_path(spark, "src"), scratch_path(spark, "store")
+    rows = spark.createDataFrame([(f"2024-01-{d:02d}", d * n) for d in range(1, 8) for n in range(1, 5)], "day string, v int")
+    rows.write.partitionBy("day").parquet(source)
+    r = DailyRollup(spark, source, store, lambda d: d.groupBy("day").agg(F.sum("v").alias("v"), F.count("*").alias("n")))
+    assert len(r.refresh()) == 7 and r.refresh() == []
+    kept = lambda: {x.day.day: (x.v, x.n) for x in r.cells().collect()}
+    want = {d: (10 * d, 4) for d in range(1, 8)}
+    assert kept() == want
+    # a late correction, a late row and a day that goes
+    fix = spark.createDataFrame([("2024-01-03", 1), ("2024-01-08", 5)], "day string, v int")
+    fix.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(source)
+    spark.createDataFrame([("2024-01-05", 100)], "day string, v int").write.mode("append").partitionBy("day").parquet(source)
+    r._drop(f"{source}/day=2024-01-07")
+    days, gone = r.changed()
+    assert days == ["2024-01-03", "2024-01-05", "2024-01-08"] and gone == ["2024-01-07"]
+    files = r.rows_of(days).inputFiles()
+    assert files and all(any(f"day={d}" in f for d in days) for f in files)
+    assert r.refresh() == days
+    del want[7]
+    assert kept() == want | {3: (1, 1), 5: (150, 5), 8: (5, 1)} and r.changed() == ([], [])

@@ -12,7 +12,7 @@ from airq.operators import features as X
 from airq.operators.asof import nearest_join
 from airq.operators.dims import pair_with
 from airq.operators.ordering import fill_missing, latest, number_rows, row_windows, running_sums, time_windows
-from airq.operators.ranks import auc, medians, quantiles, spearman
+from airq.operators.ranks import _near_quantiles, auc, medians, quantiles, selected_quantiles, spearman
 
 
 @pytest.fixture(scope="module")
@@ -227,3 +227,21 @@ def test_numbering_a_whole_table_with_a_crowded_instant(spark, tie):
     if tie == ["id"]:
         want = pdf.sort_values(["t", "id"]).id.tolist()
         assert got.id.tolist() == want
+
+
+def test_selected_quantiles_are_exact_and_narrow(spark):
+    rng = np.random.default_rng(12)
+    parts = {"wide": rng.normal(size=30_000), "hot": np.where(rng.random(9000) < 0.4, 1.5, rng.random(9000) * 3), "two": np.array([1.0, 4.0]), None: rng.random(501), "one": np.array([2.5])}
+    rows = [(k, float(v)) for k, x in parts.items() for v in x] + [("wide", None), ("void", None)]
+    d = spark.createDataFrame(pd.DataFrame(rows, columns=["k", "v"]).astype({"k": object}), "k string, v double").withColumn("v", F.when(~F.isnan("v"), F.col("v"))).repartition(9)
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.999, "e": 1.0}
+    for accuracy in (100, 10_000):
+        got = {r["k"]: [r[n] for n in probs] for r in selected_quantiles(d, ["k"], "v", probs, accuracy).collect()}
+        assert set(got) == set(parts)
+        for k, x in parts.items():
+            assert np.allclose(got[k], np.quantile(x, list(probs.values()))), (k, accuracy)
+    inside = _near_quantiles(d.filter("k = 'wide'"), ["k"], "v", {"c": 0.5}, 1000).count()
+    assert inside < 0.02 * 30_000
+    plain = quantiles(d, ["k"], "v", {"c": 0.5}).collect()
+    assert {r["k"]: round(r["c"], 9) for r in plain} == {k: round(float(np.median(x)), 9) for k, x in parts.items()}
+    assert medians(d.withColumn("w", F.col("v") * 2), [], ["v", "w"]).first()["w"] == pytest.approx(2 * np.median(np.concatenate(list(parts.values()))))
