@@ -114,13 +114,45 @@ class Tokenizer:
         return out
 
 
-_TOKENIZERS: dict[str, Tokenizer] = {}
+class RankedTokenizer:
+    """The same by the ranks of the same vocabulary, whole texts at a time.
 
+    Texts with letters beyond BEYOND's range, or with a run that a merge by rank takes long for, go to the
+    tokenizer itself.
+    """
 
-def tokenizer(file: str) -> Tokenizer:
+    ODD = re.compile(BEYOND.pattern + r"|\S{5000}|\s{5000}")
+
+    def __init__(self, file: str, ranks: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+        import tokenizers
+
+        self.whole = tokenizers.Tokenizer.from_file(public_tokenizers.path(file))
+        self.whole.encode_special_tokens = True
+        with open(public_tokenizers.path(ranks), "rb") as f:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [
+            np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if self.ODD.search(t) else self.fast.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes()
+            for t in texts
+        ]
+
+
+#: Vocabularies that also come as ranks.
+RANKS = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
+_TOKENIZERS: dict[str, Tokenizer | RankedTokenizer] = {}
+
+
+def tokenizer(file: str) -> Tokenizer | RankedTokenizer:
     """One per worker process."""
     if file not in _TOKENIZERS:
-        _TOKENIZERS[file] = Tokenizer(file)
+        _TOKENIZERS[file] = RankedTokenizer(file, RANKS[file]) if file in RANKS else Tokenizer(file)
     return _TOKENIZERS[file]
 
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from airq.llm import packing
-from airq.llm.words import Tokenizer
+from airq.llm.words import Tokenizer, tokenizer
 
 ROWS = [(1, "hello world"), (2, None), (3, ""), (4, "word " * 3000), (5, "a  b \n c\t d "), (6, " lead"), (7, "naïve Ünïcode 北京 👍🏽 <|endoftext|>"), (7, "again"), (8, "x" * 5000), (9, "\x1c a\x1c b   c"), (None, "no id")]
 
@@ -54,10 +54,10 @@ def reference():
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_word_cache_equals_tokenizer(reference, file):
     texts = [t or "" for _, t in ROWS] + ["it's we'll 'S IT'S x'rea", "end. \nStart", "İstanbul ΣΑΣ Éa", "a" * 100, "1234 5 six7", "--!! ??.", "  two  ", "\n\n a"]
-    got = Tokenizer(file).encode(texts)
     want = reference(file)
-    for t, g in zip(texts, got, strict=True):
-        assert np.frombuffer(g, "<u4").tolist() == want(t), t
+    for own in (Tokenizer(file), tokenizer(file)):
+        for t, g in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(g, "<u4").tolist() == want(t), t
 
 
 @settings(max_examples=150, deadline=None)
@@ -70,9 +70,10 @@ def test_word_cache_on_any_text(text):
         if file not in CACHED:
             t = tokenizers.Tokenizer.from_file(public_tokenizers.path(file))
             t.encode_special_tokens = True
-            CACHED[file] = (t, Tokenizer(file))
-        t, own = CACHED[file]
-        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+            CACHED[file] = (t, Tokenizer(file), tokenizer(file))
+        t, *both = CACHED[file]
+        for own in both:
+            assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 CACHED: dict = {}
