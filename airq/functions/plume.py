@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,3 +137,30 @@ def plume_array(sources: Column, rec_lat: Column, rec_lon: Column, s: PlumeSetti
 def confidence(min_dist_m: Column, lead_h: Column) -> Column:
     near = F.least(F.greatest(F.lit(1.0) - min_dist_m / 1000.0 * 0.07, F.lit(0.3)), F.lit(1.0))
     return near * F.greatest(F.lit(1.0) - lead_h * 0.02, F.lit(0.3))
+
+
+def plume_values(dx: np.ndarray, dy: np.ndarray, rate, u, v, speed, ay, az, s: PlumeSettings = PlumeSettings()) -> np.ndarray:
+    """The values of :func:`add_plume` at offsets in metres from a source, for arrays that broadcast; NULL is NaN."""
+    dx, dy, rate, u, v, speed, ay, az = np.broadcast_arrays(dx, dy, rate, u, v, speed, ay, az)
+    by = np.maximum(speed, 1e-9)
+    along = (dx * u + dy * v) / by
+    out = np.where(np.isnan(along), np.nan, 0.0)
+    calm = speed < s.calm_ms
+    d = np.maximum(np.sqrt(dx[calm] ** 2 + dy[calm] ** 2), 50.0)
+    out[calm] = rate[calm] * 1e6 / (d * d * 50.0)
+    down = np.nonzero((along > 0) & ~calm)
+    dx, dy, rate, u, v, speed, ay, az, along = (x[down] for x in (dx, dy, rate, u, v, speed, ay, az, along))
+    cross = (u * dy - v * dx) / speed
+    km = np.power(np.maximum(along / 1000.0, s.floor_km), C.PLUME_EXPONENT) * 1000.0
+    spread, sz = along * math.radians(s.meander_deg), az * km
+    s2, z2 = (ay * km) ** 2 + spread * spread, sz * sz
+    direct, mirror = -0.5 * (s.receptor_m - s.stack_m) ** 2, -0.5 * (s.receptor_m + s.stack_m) ** 2
+    vertical = np.exp(direct / z2) + np.exp(mirror / z2)
+    out[down] = rate * 1e6 / (np.maximum(speed, 0.3) * np.sqrt(s2) * sz * math.pi) * np.exp(cross * cross / s2 * -0.5) * vertical
+    return out
+
+
+def confidence_values(min_dist_m: np.ndarray, lead_h: np.ndarray) -> np.ndarray:
+    """The values of :func:`confidence`; NULL is NaN."""
+    near = np.fmin(np.fmax(1.0 - min_dist_m / 1000.0 * 0.07, 0.3), 1.0)
+    return near * np.fmax(1.0 - lead_h * 0.02, 0.3)

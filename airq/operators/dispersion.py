@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airq import catalog as C
 from airq.functions import emission
@@ -14,6 +16,9 @@ from airq.functions import plume as P
 from airq.operators.dims import as_array, pair_with, spread
 from airq.operators.ordering import number_rows, row_windows, running_sums
 
+#: Values of a raster that are computed at a time, and cells of a batch that a task gives out.
+TILE, BATCH_CELLS = 1 << 16, 1 << 18
+
 
 def point_sources(conditions: DataFrame) -> DataFrame:
     """Sewage sources under the given conditions and minor community sources by hour."""
@@ -111,6 +116,23 @@ def place_cells(d: DataFrame, bounds, rows: int, cols: int) -> DataFrame:
     })
 
 
+def _span(centre, half, origin, step, count):
+    """Numbers of the cells whose centres lie within ``half`` of a place, with a little room."""
+    room = 1e-6
+    first = F.greatest(F.ceil((centre - half - origin) / step - 0.5 - room), F.lit(0)).cast("int")
+    last = F.least(F.floor((centre + half - origin) / step - 0.5 + room), F.lit(count - 1)).cast("int")
+    return F.when(first <= last, F.sequence(first, last))
+
+
+def rows_within(df: DataFrame, lat: str, lon: str, radius_m: float, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0) -> DataFrame:
+    """Each row at every row of the grid that the circle around its point touches (``row, cell_lat``), hashed by (keys, row)."""
+    south, north = bounds[:2]
+    rows, _ = grid_shape(bounds, resolution_m)
+    high = (north - south) / rows
+    strips = df.withColumn("row", F.explode(_span(F.col(lat), F.lit(radius_m / P.LAT_M), south, high, rows)))
+    return spread(strips, [*keys, "row"]).withColumn("cell_lat", (F.col("row") + 0.5) * high + south)
+
+
 def cells_within(df: DataFrame, lat: str, lon: str, radius_m: float, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0) -> DataFrame:
     """Each row at every cell centre of the grid within ``radius_m`` of its point (``row, col, cell_lat, cell_lon``), and at hardly any other.
 
@@ -119,54 +141,84 @@ def cells_within(df: DataFrame, lat: str, lon: str, radius_m: float, keys: list[
     not with the grid. Edges have a little room, so a caller's own distance test decides. A
     point without a position, or whose circle misses the grid, has no cell.
     """
-    rows, cols = grid_shape(bounds, resolution_m)
-    south, north, west, east = bounds
-    high, wide, room = (north - south) / rows, (east - west) / cols, 1e-6
-
-    def span(centre, half, origin, step, count):
-        first = F.greatest(F.ceil((centre - half - origin) / step - 0.5 - room), F.lit(0)).cast("int")
-        last = F.least(F.floor((centre + half - origin) / step - 0.5 + room), F.lit(count - 1)).cast("int")
-        return F.when(first <= last, F.sequence(first, last))
-
-    strips = df.withColumn("row", F.explode(span(F.col(lat), F.lit(radius_m / P.LAT_M), south, high, rows)))
-    strips = spread(strips, [*keys, "row"])
-    strips = strips.withColumn("cell_lat", (F.col("row") + 0.5) * high + south)
+    _, _, west, east = bounds
+    _, cols = grid_shape(bounds, resolution_m)
+    wide = (east - west) / cols
+    strips = rows_within(df, lat, lon, radius_m, keys, bounds, resolution_m)
     dy = (F.col("cell_lat") - F.col(lat)) * P.LAT_M
     half = F.sqrt(F.greatest(F.lit(radius_m * radius_m) - dy * dy, F.lit(0.0))) / P.LON_M
-    d = strips.withColumn("col", F.explode(span(F.col(lon), half, west, wide, cols)))
+    d = strips.withColumn("col", F.explode(_span(F.col(lon), half, west, wide, cols)))
     return d.withColumn("cell_lon", (F.col("col") + 0.5) * wide + west)
 
 
+def _add(total: np.ndarray | None, seen: np.ndarray, to: np.ndarray, values: np.ndarray | None, there: np.ndarray) -> None:
+    """Add rows of values to the rows ``to``, which rise, and mark where there are any."""
+    first = np.flatnonzero(np.diff(to, prepend=-1))
+    if total is not None:
+        total[to[first]] += np.add.reduceat(values, first, axis=0)
+    seen[to[first]] |= np.logical_or.reduceat(there, first, axis=0)
+
+
 def gridded_forecast(met: DataFrame, sources: DataFrame, sensors: DataFrame, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS,
                      resolution_m: float = 100.0, scale: float = 0.1, clip_ppb: float = 500.0, lead_h: str | None = None,
                      block_cells: int = 4096) -> DataFrame:
     """Long raster (keys, row, col, ppb, confidence): one row per frame and cell.
 
-    Frames are copied once per block of cells and hashed by frame and block; cells and
-    sources open and are summed behind that exchange, which therefore carries met rows
-    only, and no task works on a whole frame of a large grid.
+    Frames are copied once per block of cells and hashed by frame and block; met rows of a frame meet there, and
+    a task computes the block's cells under all sources as arrays. The exchange carries met
+    rows only, and no task works on a whole frame of a large grid.
     """
-    src = sources.filter("rate > 0").select("source_lat", "source_lon", (F.col("rate") * scale).alias("rate"))
+    src = as_array(sources.filter("rate > 0").select("source_lat", "source_lon", (F.col("rate") * scale).alias("rate")), "_src")
     near = as_array(sensors.select("station_lat", "station_lon"), "_near")
     lead = F.col(lead_h) if lead_h else F.lit(0.0)
     rows, cols = grid_shape(bounds, resolution_m)
+    south, north, west, east = bounds
     blocks = -(-rows * cols // block_cells)
+    terms = {"u": F.col("_u"), "v": F.col("_v"), "ws": F.col("_ws"), "ay": F.col("_ay"), "az": F.col("_az"), "ppb": P.to_ppb(F.lit(1.0), F.col("temperature_2m")), "lead": lead}
     d = met.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     d = P.with_wind_terms(spread(d, [*keys, "_block"]))
-    last = F.least((F.col("_block") + 1) * block_cells, F.lit(rows * cols)) - 1
-    d = place_cells(d.withColumn("_cell", F.explode(F.sequence(F.col("_block") * block_cells, last))), bounds, rows, cols)
-
-    def dist(p):
-        dy, dx = (F.col("cell_lat") - p["station_lat"]) * P.LAT_M, (F.col("cell_lon") - p["station_lon"]) * P.LON_M
-        return F.sqrt(dy * dy + dx * dx)
-
-    d = P.add_plume(pair_with(d, src), "cell_lat", "cell_lon", P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
-    total = d.groupBy(*keys, "_block", "row", "col").agg(
-        F.sum(P.to_ppb(F.col("_ug"), F.col("temperature_2m"))).alias("ppb"), F.first("cell_lat").alias("cell_lat"),
-        F.first("cell_lon").alias("cell_lon"), F.first(lead).alias("_lead"))
-    return pair_with(total, near).select(
-        *keys, "row", "col", F.least(F.col("ppb"), F.lit(clip_ppb)).alias("ppb"),
-        P.confidence(F.array_min(F.transform("_near", dist)), F.col("_lead")).alias("confidence"))
+    d = d.groupBy(*keys, "_block").agg(F.collect_list(F.struct(*[c.cast("double").alias(k) for k, c in terms.items()])).alias("_met"))
+    names = list(terms)
+    d = pair_with(pair_with(d, src.filter(F.size("_src") > 0)), near)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            block, n = batch.column("_block").to_numpy(), batch.column("_met").value_lengths().to_numpy()
+            start, flat = np.cumsum(n) - n, batch.column("_met").flatten()
+            t = {k: flat.field(k).to_numpy(zero_copy_only=False)[:, None, None] for k in names}
+            point = lambda c, k: np.array([np.nan if x[k] is None else x[k] for x in batch.column(c)[0].as_py()])
+            la, lo, rate, s_la, s_lo = (point(*x)[:, None] for x in (("_src", "source_lat"), ("_src", "source_lon"), ("_src", "rate"), ("_near", "station_lat"), ("_near", "station_lon")))
+            for b in np.unique(block):
+                cell = np.arange(b * block_cells, min((b + 1) * block_cells, rows * cols))
+                row, col = cell // cols, cell % cols
+                lat, lon = (row + 0.5) * ((north - south) / rows) + south, (col + 0.5) * ((east - west) / cols) + west
+                dy, dx = (lat - la) * P.LAT_M, (lon - lo) * P.LON_M
+                placed = ~np.isnan(dy[:, 0] + dx[:, 0])
+                apart = np.sqrt(((lat - s_la) * P.LAT_M) ** 2 + ((lon - s_lo) * P.LON_M) ** 2)
+                apart = np.fmin.reduce(apart, axis=0, initial=np.nan)
+                frames = np.flatnonzero(block == b)
+                for at in range(0, len(frames), max(1, BATCH_CELLS // len(cell))):
+                    own = frames[at : at + max(1, BATCH_CELLS // len(cell))]
+                    of = np.repeat(np.arange(len(own)), n[own])
+                    rows_ = np.concatenate([np.arange(start[k], start[k] + n[k]) for k in own])
+                    total, known = np.zeros((len(own), len(cell))), np.zeros((len(own), len(cell)), dtype=bool)
+                    step = max(1, TILE // (max(1, placed.sum()) * len(cell)))
+                    for k in range(0, len(rows_), step):
+                        m = rows_[k : k + step]
+                        ug = P.plume_values(dx[placed], dy[placed], rate[placed], *[t[x][m] for x in ("u", "v", "ws", "ay", "az")], P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
+                        part = ug * t["ppb"][m]
+                        there = ~np.isnan(part)
+                        _add(total, known, of[k : k + step], np.where(there, part, 0.0).sum(axis=1), there.any(axis=1))
+                    first = t["lead"][start[own], 0]
+                    out = {"row": np.tile(row, len(own)), "col": np.tile(col.astype(np.int32), len(own)),
+                           "ppb": np.where(known, np.minimum(total, clip_ppb), clip_ppb).ravel(), "confidence": P.confidence_values(apart, first).ravel()}
+                    again = pa.array(np.repeat(own, len(cell)))
+                    yield pa.RecordBatch.from_arrays([*[batch.column(x).take(again) for x in keys], *map(pa.array, out.values())], [*keys, *out])
+
+    schema = StructType([met.schema[k] for k in keys]).add("row", "long").add("col", "integer").add("ppb", "double").add("confidence", "double")
+    return d.mapInArrow(run, schema)
 
 
 def downsample_frames(frames: DataFrame, group: list[str], minutes: int = 60, time: str = "obs_time") -> DataFrame:
@@ -185,22 +237,55 @@ def frame_arrays(frames: DataFrame, keys: list[str]) -> DataFrame:
 def river_grid(conditions: DataFrame, keys: list[str], bounds=C.FORWARD_GRID_BOUNDS, resolution_m: float = 100.0, radius_km: float = 8.0) -> DataFrame:
     """Smell intensity per cell from the river sources under given flow, tide,
     temperature and wind, distances stretched along the wind; cells beyond the
-    radius of every point are absent and never opened."""
+    radius of every point are absent. Points meet by grid row behind one exchange, where a
+    task computes the row's cells as arrays."""
     spark = conditions.sparkSession
     pts = [(n, k, b, int(f), int(t), la, lo) for n, k, b, f, t, xy in C.RIVER_SOURCES for la, lo in xy]
     src = C.literal_table(spark, pts, "source string, kind string, base double, fd int, td int, source_lat double, source_lon double")
     d = pair_with(conditions, src)
     d = d.withColumn("_e", emission.river_strength(
         F.col("base"), F.col("kind"), F.col("fd") == 1, F.col("td") == 1, F.col("flow"), F.col("tide"), F.col("temperature"))).filter("_e > 0")
-    d = cells_within(d, "source_lat", "source_lon", radius_km * 1000.0, keys, bounds, resolution_m)
-    dx, dy = (F.col("cell_lon") - F.col("source_lon")) * P.LON_M, (F.col("cell_lat") - F.col("source_lat")) * P.LAT_M
-    d = d.withColumns({"_km": F.sqrt(dx * dx + dy * dy) / 1000.0, "_al": F.cos(F.atan2(dx, dy) - F.radians(F.col("wind_direction") + 180.0))})
-    d = d.filter(F.col("_km") <= radius_km)
-    km, al = F.col("_km"), F.col("_al")
-    sigma = F.when(al > 0, km * 0.1 + 0.5).otherwise(0.4)
-    eff = F.when(al > 0, km / (al * F.col("wind_speed") / 10.0 + 1.0)).otherwise(km * 3.0)
-    conc = F.col("_e") * F.exp(-(eff * eff) / (sigma * sigma * 2.0)) * F.when(F.col("kind") == "channel", 1.2).otherwise(1.0)
-    return d.groupBy(*keys, "row", "col").agg(F.sum(conc).alias("emission"))
+    d = rows_within(d, "source_lat", "source_lon", radius_km * 1000.0, keys, bounds, resolution_m)
+    terms = {"lat": F.col("source_lat"), "lon": F.col("source_lon"), "e": F.col("_e") * F.when(F.col("kind") == "channel", 1.2).otherwise(1.0),
+             "from": F.radians(F.col("wind_direction") + 180.0), "ws": F.col("wind_speed")}
+    d = d.groupBy(*keys, "row").agg(F.collect_list(F.struct(*[c.cast("double").alias(k) for k, c in terms.items()])).alias("_strips"))
+    names = list(terms)
+    south, north, west, east = bounds
+    rows, cols = grid_shape(bounds, resolution_m)
+    lon = (np.arange(cols) + 0.5) * ((east - west) / cols) + west
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            row, n = batch.column("row").to_numpy(), batch.column("_strips").value_lengths().to_numpy()
+            start, flat = np.cumsum(n) - n, batch.column("_strips").flatten()
+            t = {k: flat.field(k).to_numpy(zero_copy_only=False)[:, None] for k in names}
+            lat = np.repeat((row + 0.5) * ((north - south) / rows) + south, n)[:, None]
+            step = max(1, TILE // cols)
+            for at in range(0, len(row), step):
+                own = np.arange(at, min(at + step, len(row)))
+                total, known, inside = np.zeros((len(own), cols)), np.zeros((len(own), cols), dtype=bool), np.zeros((len(own), cols), dtype=bool)
+                of = np.repeat(np.arange(len(own)), n[own])
+                low, end = start[own[0]], start[own[-1]] + n[own[-1]]
+                for k in range(low, end, step):
+                    m = slice(k, min(k + step, end))
+                    dx, dy = (lon - t["lon"][m]) * P.LON_M, (lat[m] - t["lat"][m]) * P.LAT_M
+                    km, al = np.sqrt(dx * dx + dy * dy) / 1000.0, np.cos(np.arctan2(dx, dy) - t["from"][m])
+                    sigma = np.where(al > 0, km * 0.1 + 0.5, 0.4)
+                    eff = np.where(al > 0, km / np.where(al > 0, al * t["ws"][m] / 10.0 + 1.0, 1.0), km * 3.0)
+                    near = km <= radius_km
+                    conc = np.where(near, t["e"][m] * np.exp(-(eff * eff) / (sigma * sigma * 2.0)), np.nan)
+                    there, to = ~np.isnan(conc), of[m.start - low : m.stop - low]
+                    _add(total, known, to, np.where(there, conc, 0.0), there)
+                    _add(None, inside, to, None, near)
+                r, col = np.nonzero(inside)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(x).take(pa.array(own[r])) for x in (*keys, "row")], pa.array(col.astype(np.int32)), pa.array(total[r, col], mask=~known[r, col])],
+                    [*keys, "row", "col", "emission"])
+
+    schema = StructType([conditions.schema[k] for k in keys]).add("row", "integer").add("col", "integer").add("emission", "double")
+    return d.mapInArrow(run, schema)
 
 
 def zone_rates(fractions: DataFrame, keys: list[str], total: float = C.TOTAL_RATE) -> DataFrame:

@@ -284,3 +284,46 @@ def test_pairs_with_maps_and_repeated_rows(spark):
     for salts in (None, 1, 7):
         assert sorted((r.i, r.d) for r in pair_with(df, dim, salts).collect()) == [(1, 10), (1, 10), (1, 20), (1, 20), (2, 10), (2, 20)]
     assert pair_with(df.select("m"), dim).count() == 6
+
+
+def test_rasters_of_arrays_equal_those_of_expressions(spark):
+    met = spark.createDataFrame(
+        [("a", 2.0, 200.0, 15.0, 1, 3.0), ("b", 0.0, 10.0, 15.0, 0, None), ("c", None, 10.0, 15.0, 0, 1.0), ("d", 4.0, 30.0, None, 0, 1.0), (None, 6.0, 300.0, 5.0, None, 60.0), ("a", 3.0, 90.0, 9.0, 0, 3.0)],
+        "k string, wind_speed_10m double, wind_direction_10m double, temperature_2m double, is_night int, lead double")
+    src = D.default_rates(spark)
+    d = D.on_grid(P.with_wind_terms(met), resolution_m=2500.0)
+    d = P.add_plume(D.pair_with(d, src.withColumn("rate", F.col("rate") * 0.1)), "cell_lat", "cell_lon", P.PlumeSettings(floor_km=P.GRID_FLOOR_KM))
+    near = F.least(*[F.sqrt(F.pow((F.col("cell_lat") - la) * P.LAT_M, 2) + F.pow((F.col("cell_lon") - lo) * P.LON_M, 2)) for _, _, la, lo in C.STATIONS])
+    want = d.groupBy("k", "row", "col").agg(F.least(F.sum(P.to_ppb(F.col("_ug"), F.col("temperature_2m"))), F.lit(500.0)).alias("ppb"), F.first(P.confidence(near, F.col("lead"))).alias("confidence"))
+    got = D.gridded_forecast(met, src, C.stations(spark), ["k"], resolution_m=2500.0, lead_h="lead", block_cells=50)
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    at = lambda x: {(r.k, r.row, r.col): (r.ppb, r.confidence) for r in x.collect()}
+    got, want = at(got), at(want)
+    assert got.keys() == want.keys() and len(got) == 5 * np.prod(D.grid_shape(C.FORWARD_GRID_BOUNDS, 2500.0))
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-9), k
+
+
+def test_river_grid_equals_a_loop_over_cells(spark):
+    rows = [("a", 3.0, 200.0, 40.0, 1.0, 22.0), ("b", None, 20.0, 90.0, 0.5, 15.0), (None, 5.0, None, 10.0, 0.0, 30.0), ("c", 2.0, 90.0, 40.0, 1.0, None)]
+    cond = spark.createDataFrame(rows, "k string, wind_speed double, wind_direction double, flow double, tide double, temperature double")
+    pts = [(n, k, b, int(f), int(t), la, lo) for n, k, b, f, t, xy in C.RIVER_SOURCES for la, lo in xy]
+    src = C.literal_table(spark, pts, "source string, kind string, base double, fd int, td int, source_lat double, source_lon double")
+    e = D.emission.river_strength(F.col("base"), F.col("kind"), F.col("fd") == 1, F.col("td") == 1, F.col("flow"), F.col("tide"), F.col("temperature"))
+    want = {}
+    cells = D.on_grid(D.pair_with(cond, src).withColumn("e", e).filter("e > 0"), resolution_m=2000.0).collect()
+    for r in cells:
+        dx, dy = (r.cell_lon - r.source_lon) * P.LON_M, (r.cell_lat - r.source_lat) * P.LAT_M
+        km = np.sqrt(dx * dx + dy * dy) / 1000
+        if km <= 8.0:
+            al = -1.0 if r.wind_direction is None else np.cos(np.arctan2(dx, dy) - np.radians(r.wind_direction + 180))
+            if al > 0 and r.wind_speed is None:
+                want.setdefault((r.k, r.row, r.col), None)
+                continue
+            eff, sg = (km / (al * r.wind_speed / 10 + 1), km * 0.1 + 0.5) if al > 0 else (km * 3, 0.4)
+            c = r.e * np.exp(-(eff * eff) / (2 * sg * sg)) * (1.2 if r.kind == "channel" else 1.0)
+            want[r.k, r.row, r.col] = (want.get((r.k, r.row, r.col)) or 0.0) + c
+    got = {(r.k, r.row, r.col): r.emission for r in D.river_grid(cond, ["k"], resolution_m=2000.0).collect()}
+    assert got.keys() == want.keys() and len({k for k, _, _ in got}) >= 3
+    for k, v in want.items():
+        assert (got[k] is None) == (v is None) and (v is None or got[k] == pytest.approx(v, rel=1e-9)), k
