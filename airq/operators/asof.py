@@ -37,10 +37,11 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: list[str], left_time:
         chunk(F.col("_t")), chunk(F.col("_t") - micros), chunk(F.col("_t") + micros)
     ))))
     line = l.unionByName(r.withColumn("_l", F.lit(None)))
-    w = W.partitionBy(*keys, "_chunk").orderBy("_t")
+    # both frames grow row by row; one that ends at the last row would be read anew for every row
+    side = W.partitionBy(*keys, "_chunk")
     seen = line.withColumns({
-        "_p": F.last("_r", ignorenulls=True).over(w.rangeBetween(W.unboundedPreceding, 0)),
-        "_n": F.first("_r", ignorenulls=True).over(w.rangeBetween(0, W.unboundedFollowing)),
+        "_p": F.last("_r", ignorenulls=True).over(side.orderBy("_t").rangeBetween(W.unboundedPreceding, 0)),
+        "_n": F.last("_r", ignorenulls=True).over(side.orderBy(F.desc("_t")).rangeBetween(W.unboundedPreceding, 0)),
     }).filter(F.col("_l").isNotNull())
     dp = F.col("_t") - F.col("_p._rt")
     dn = F.col("_n._rt") - F.col("_t")

@@ -245,3 +245,11 @@ def test_selected_quantiles_are_exact_and_narrow(spark):
     plain = quantiles(d, ["k"], "v", {"c": 0.5}).collect()
     assert {r["k"]: round(r["c"], 9) for r in plain} == {k: round(float(np.median(x)), 9) for k, x in parts.items()}
     assert medians(d.withColumn("w", F.col("v") * 2), [], ["v", "w"]).first()["w"] == pytest.approx(2 * np.median(np.concatenate(list(parts.values()))))
+
+
+def test_nearest_join_reads_each_row_once_per_frame(frame):
+    """A frame up to the last row is evaluated anew for every row, which is quadratic in a chunk."""
+    left = frame([("a", "2024-01-01 00:10:00")], "site string, lt timestamp")
+    right = frame([("a", "2024-01-01 00:00:00", 1.0)], "site string, rt timestamp, val double")
+    plan = nearest_join(left, right, ["site"], "lt", "rt", ["val"], 1800)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
