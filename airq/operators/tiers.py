@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from airq import catalog as C
 from airq.functions.classes import flag, truth
 from airq.functions.clock import epoch, night
-from airq.operators.dims import as_array, pair_with
+from airq.operators.dims import parts_for, spread
 from airq.operators.ranks import quantiles
 
 MEANS = ["sbiwtp_flow_mgd", "sbiwtp_anomaly", "sbiwtp_sli", "sbiwtp_deficit", "precipitation", "flow_log",
          "wind_speed_10m", "stable_atm", "temperature_2m", "dewpoint_2m", "surface_pressure"]
 GATE_WIND, GATE_TEMP, GATE_DEW, GATE_STABLE = 4.0, 13.0, 11.0, 0.6
 PPB = dict(C.TIER_PPB)
+#: Planned bytes of readings a task: some 10,000 rows, which open into 24 hours each.
+TASK_BYTES = 512 << 10
 
 
 def group_facts(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
@@ -31,6 +33,30 @@ def group_facts(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: s
         F.count_distinct(F.when(F.col(h2s).isNotNull(), F.col("site_name"))).alias("n_active"))
 
 
+def _readings(obs: DataFrame, group: list[str], time: str, h2s: str, horizons, seconds: int) -> DataFrame:
+    """What the cells are made of, once per chunk of evaluation hours that a reading belongs to."""
+    rad = F.radians("wind_direction_10m")
+    reach = (max(b for _, _, b in horizons) - 1) * 3600
+    rows = obs.select(
+        *group, "site_name", epoch(F.date_trunc("hour", time)).alias("_t"), epoch(F.col(time)).alias("_at"), *MEANS,
+        F.col(h2s).alias("_h2s"), (-F.col("wind_speed_10m") * F.sin(rad)).alias("_u"),
+        (-F.col("wind_speed_10m") * F.cos(rad)).alias("_v"), night(F.col(time), "local").alias("_night")).filter("_t IS NOT NULL")
+    chunk = lambda x: F.floor(x / F.lit(seconds))
+    return rows.withColumn("_chunk", F.explode(F.array_distinct(F.array(chunk(F.col("_t")), chunk(F.col("_t") - reach)))))
+
+
+def _hours_ahead(horizons) -> Column:
+    """(horizon, _e) of each evaluation hour of a reading."""
+    return F.array(*[F.struct(F.lit(n).alias("horizon"), (F.col("_t") - o * 3600).alias("_e")) for n, a, b in horizons for o in range(a, b)])
+
+
+def _cell_values() -> list[Column]:
+    return [
+        F.count("_t").alias("n"), *[F.avg(c).alias(c) for c in MEANS], F.min("wind_speed_10m").alias("wind_speed_min"),
+        F.min("temperature_2m").alias("temp_min"), F.avg("_night").alias("night_share"), F.avg("_u").alias("wind_u"), F.avg("_v").alias("wind_v"),
+        F.max("_h2s").alias("h2s_max"), *[F.min(F.when(F.col("_h2s") >= p, F.col("_at"))).alias(f"first_{n}") for n, p in C.TIER_PPB]]
+
+
 def horizon_cells(obs: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
                   horizons=C.HORIZONS, seconds: int = 7 * 86400) -> DataFrame:
     """(group, evaluated_at, site, horizon): aggregates over the rows of
@@ -39,24 +65,11 @@ def horizon_cells(obs: DataFrame, group: list[str], time: str = "obs_time", h2s:
     A reading belongs to one evaluation hour per hour of look-ahead.  Readings are
     shuffled once, by station and time chunk (with copies for evaluation hours of
     the chunk before), and open into their hours only behind that shuffle, where the
-    same partitioning serves the aggregation.
+    same partitioning serves the aggregation. The number of tasks follows the size of the input.
     """
-    rad = F.radians("wind_direction_10m")
-    reach = (max(b for _, _, b in horizons) - 1) * 3600
-    t = F.col("_t")
-    chunk = lambda x: F.floor(x / F.lit(seconds))
-    rows = obs.select(
-        *group, "site_name", epoch(F.date_trunc("hour", time)).alias("_t"), epoch(F.col(time)).alias("_at"), *MEANS,
-        F.col(h2s).alias("_h2s"), (-F.col("wind_speed_10m") * F.sin(rad)).alias("_u"),
-        (-F.col("wind_speed_10m") * F.cos(rad)).alias("_v"), night(F.col(time), "local").alias("_night"))
-    placed = rows.withColumn("_chunk", F.explode(F.array_distinct(F.array(chunk(t), chunk(t - reach)))))
-    placed = placed.repartition(*group, "site_name", "_chunk")
-    steps = F.array(*[F.struct(F.lit(n).alias("horizon"), F.lit(o * 3600).alias("_ahead")) for n, a, b in horizons for o in range(a, b)])
-    opened = placed.select("*", F.inline(steps)).withColumn("_e", t - F.col("_ahead")).filter(chunk(F.col("_e")) == F.col("_chunk"))
-    cells = opened.groupBy(*group, "site_name", "_chunk", "_e", "horizon").agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in MEANS], F.min("wind_speed_10m").alias("wind_speed_min"),
-        F.min("temperature_2m").alias("temp_min"), F.avg("_night").alias("night_share"), F.avg("_u").alias("wind_u"), F.avg("_v").alias("wind_v"),
-        F.max("_h2s").alias("h2s_max"), *[F.min(F.when(F.col("_h2s") >= p, F.col("_at"))).alias(f"first_{n}") for n, p in C.TIER_PPB])
+    placed = spread(_readings(obs, group, time, h2s, horizons, seconds), [*group, "site_name", "_chunk"], parts_for(obs, TASK_BYTES))
+    opened = placed.select("*", F.inline(_hours_ahead(horizons))).filter(F.floor(F.col("_e") / F.lit(seconds)) == F.col("_chunk"))
+    cells = opened.groupBy(*group, "site_name", "_chunk", "_e", "horizon").agg(*_cell_values())
     return cells.withColumn("evaluated_at", F.timestamp_seconds("_e")).drop("_chunk", "_e")
 
 
@@ -90,7 +103,7 @@ def contributions(cell: str, weights: dict[str, float], single: Column) -> Colum
 
 
 def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
-               primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION) -> DataFrame:
+               primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION, seconds: int = 7 * 86400) -> DataFrame:
     """One row per evaluation hour and horizon: gates, bellwether features, scores, labels.
 
     A station without rows in a window borrows the met window: the primary
@@ -100,38 +113,51 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
 
     The windows of a group's only station count for all stations in gates and scores;
     labels (maxima, exceedances, first times) are those of its own readings.
+
+    Readings and the groups' first and last hours are shuffled by group and time chunk; all
+    that they open into is aggregated behind that exchange.
     """
     known = obs.join(stations.select("site_name"), "site_name", "left_semi")
     facts = group_facts(known, group, time, h2s, primary)
-    spine = facts.filter("first_eval <= last_eval").select(
-        *group, F.explode(F.sequence("first_eval", "last_eval", F.expr("INTERVAL 1 HOUR"))).alias("evaluated_at"))
-    spine = spine.select("*", F.explode(F.array(*[F.lit(n) for n, _, _ in C.HORIZONS])).alias("horizon"))
-    names = as_array(stations.select("site_name"), "_names")
-    firsts = [f"first_{t}" for t, _ in C.TIER_PPB]
-    cells = pair_with(horizon_cells(known, group, time, h2s).join(facts.select(*group, "lone"), group), names)
-    cells = cells.withColumn("_site", F.explode(F.when(F.col("lone"), F.col("_names.site_name")).otherwise(F.array("site_name"))))
-    own = F.col("_site") == F.col("site_name")
-    cells = cells.withColumns({"own_max": F.when(own, F.col("h2s_max")), **{x: F.when(own, F.col(x)) for x in firsts}}).drop(
-        "site_name", "lone", "_names").withColumnRenamed("_site", "site_name")
-    cols = [c for c in cells.columns if c not in (*group, "site_name", "evaluated_at", "horizon")]
-    c = F.col
+    chunk = lambda x: F.floor(x / F.lit(seconds))
+    first, last, start = epoch(F.col("first_eval")), epoch(F.col("last_eval")), F.col("_chunk") * seconds
+    # a group's hours are opened, as its readings are, behind the exchange by (group, chunk)
+    due = facts.dropna(subset=group).filter("first_eval <= last_eval").select(
+        *group, "has_primary", "n_active", F.lit(True).alias("_spine"), first.alias("_first"), last.alias("_last"),
+        F.explode(F.sequence(chunk(first), chunk(last))).alias("_chunk"))
+    rows = _readings(known, group, time, h2s, C.HORIZONS, seconds).join(facts.select(*group, "lone"), group)
+    placed = spread(rows.unionByName(due, allowMissingColumns=True), [*group, "_chunk"], parts_for(known, TASK_BYTES))
+    low = F.col("_first") + F.greatest(F.ceil((start - F.col("_first")) / 3600), F.lit(0)) * 3600
+    high = F.least(F.col("_last"), start + (seconds - 1))
+    hours = F.when(low <= high, F.sequence(low, high, F.lit(3600).cast("long")))
+    steps = F.flatten(F.transform(hours, lambda e: F.array(*[F.struct(F.lit(n).alias("horizon"), e.alias("_e")) for n, _, _ in C.HORIZONS])))
+    opened = placed.select("*", F.inline(F.when(F.col("_spine"), steps).otherwise(_hours_ahead(C.HORIZONS)))).filter(chunk(F.col("_e")) == F.col("_chunk"))
+    cells = opened.groupBy(*group, "_chunk", "site_name", "_e", "horizon").agg(
+        *_cell_values(), F.bool_or("lone").alias("lone"), F.bool_or("_spine").alias("_spine"), F.bool_or("has_primary").alias("has_primary"), F.max("n_active").alias("n_active"))
+    # a lone station's windows stand for those of all stations
+    total = stations.agg(F.count(F.lit(1))).scalar()
+    named = lambda site: stations.agg(F.bool_or(F.col("site_name") == site)).scalar()
+    cells = cells.withColumns({
+        "_times": F.when(F.col("lone"), total).otherwise(F.lit(1)), **{
+            f"_at_{site}": (F.col("site_name") == site) | (F.col("lone") & named(site)) for site in (primary, backup)}})
+    c, times = F.col, F.col("_times")
     g1 = c("wind_speed_10m").isNotNull()
     g2 = truth(c("wind_speed_10m") < GATE_WIND)
     g3 = g2 & truth((c("temp_min") > GATE_TEMP) & (c("dewpoint_2m") > GATE_DEW) & (c("stable_atm") > GATE_STABLE))
-    at = lambda site, col: F.max(F.when(c("site_name") == site, c(col)))
+    at = lambda site, col: F.max(F.when(c(f"`_at_{site}`"), c(col)))
+    own = lambda site: F.max(F.when(c("site_name") == site, c("h2s_max")))
     keep = ["n", *MEANS, "wind_speed_min", "temp_min", "night_share", "h2s_max"]
     aggs = [
-        F.count("n").alias("_present"), F.sum(flag(g1)).alias("_t1"), F.max(flag(g2)).alias("_g2"), F.max(flag(g3)).alias("_g3"),
-        F.coalesce(F.max("own_max"), F.lit(0.0)).alias("any_max"), F.bool_or("_spine").alias("_due"),
+        F.coalesce(F.sum(F.when(c("site_name").isNotNull(), times)), F.lit(0)).alias("_present"), F.sum(flag(g1) * times).alias("_t1"),
+        F.max(flag(g2)).alias("_g2"), F.max(flag(g3)).alias("_g3"),
+        F.coalesce(F.max("h2s_max"), F.lit(0.0)).alias("any_max"), F.bool_or("_spine").alias("_due"),
+        F.bool_or("has_primary").alias("has_primary"), F.max("n_active").alias("n_active"),
         *[at(primary, k).alias(f"p_{k}") for k in keep], *[at(backup, k).alias(f"b_{k}") for k in keep],
-        at(primary, "own_max").alias("p_own"), at(backup, "own_max").alias("b_own"),
+        own(primary).alias("p_own"), own(backup).alias("b_own"),
     ]
     for t, p in C.TIER_PPB:
-        aggs += [F.sum(flag(c("own_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
-    both = cells.select(*group, "evaluated_at", "horizon", "site_name", *cols).unionByName(
-        spine.withColumn("_spine", F.lit(True)), allowMissingColumns=True)
-    d = both.groupBy(*group, "evaluated_at", "horizon").agg(*aggs).filter("_due").join(facts, group)
-    total = stations.agg(F.count(F.lit(1))).scalar()
+        aggs += [F.sum(flag(c("h2s_max") >= p)).alias(f"exceeding_{t}"), F.min(f"first_{t}").alias(f"first_{t}")]
+    d = cells.groupBy(*group, "_chunk", "_e", "horizon").agg(*aggs).filter("_due").withColumn("evaluated_at", F.timestamp_seconds("_e"))
     p_ok, b_ok = c("p_n").isNotNull(), c("b_n").isNotNull()
     met = lambda k: F.when(c("has_primary"), c(f"p_{k}")).otherwise(c(f"b_{k}"))
     n_t1 = c("_t1") + F.when(met("wind_speed_10m").isNotNull(), total - c("_present")).otherwise(0)
@@ -153,8 +179,8 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
         *[f"exceeding_{t}" for t, _ in C.TIER_PPB], *[f"first_{t}" for t, _ in C.TIER_PPB], *[f"bell_{k}" for k in keep])
 
 
-def backtest(cells: DataFrame, group: list[str], threshold: float = 0.5) -> DataFrame:
-    """Records per evaluation time, horizon and tier; a tier fires only with its parent."""
+def backtest(cells: DataFrame, group: list[str], threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+    """Records per evaluation time, horizon and tier, with further columns ``keep`` of the cell; a tier fires only with its parent."""
     fires, above = [], F.lit(True)
     for t, _ in C.TIER_PPB:
         above = above & F.col(f"gate_{t}") & (F.col(f"score_{t}") >= threshold)
@@ -166,7 +192,7 @@ def backtest(cells: DataFrame, group: list[str], threshold: float = 0.5) -> Data
         (F.col("primary_max") >= PPB[t]).alias("primary_exceeds"),
     ) for (t, _), fire in zip(C.TIER_PPB, fires)])
     return cells.select(
-        *group, "evaluated_at", "horizon", "daytime_horizon", "single_station_mode", "primary_max", "backup_max", "any_max", F.inline(rows))
+        *group, "evaluated_at", "horizon", "daytime_horizon", "single_station_mode", "primary_max", "backup_max", "any_max", *(keep or []), F.inline(rows))
 
 
 def firing_scores(df: DataFrame, keys: list[str], actual: Column) -> DataFrame:

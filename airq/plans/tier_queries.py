@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq import catalog as C
@@ -129,12 +130,14 @@ def _(i):
     """Every station as a network of its own."""
     site = F.when(F.col("site_name") == NB, 0).when(F.col("site_name") == IB, 1).otherwise(2)
     cells = T.tier_cells(_obs(i).withColumn("network", F.col("network") * 3 + site), C.stations(i.spark), G)
-    whole = cells.groupBy("network").agg(F.sum("n_t1").alias("n_t1"), F.count(F.when(F.col("degraded"), 1)).alias("degraded"))
-    rows = T.backtest(cells, G).groupBy("network", "tier", "horizon").agg(
+    rows = T.backtest(cells, G, keep=["n_t1", "degraded"]).groupBy("network", "tier", "horizon").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("fired"), 1)).alias("fired"), F.count(F.when(F.col("gate_passed"), 1)).alias("gates"),
         F.sum("score").alias("score"), F.sum("n_stations_exceeding").alias("exceeding"), F.sum("lead_time_hours").alias("lead"),
-        F.sum("primary_max").alias("primary_max"), F.sum("any_max").alias("any_max"))
-    return rows.join(whole, "network")
+        F.sum("primary_max").alias("primary_max"), F.sum("any_max").alias("any_max"),
+        F.sum("n_t1").alias("_t1"), F.count(F.when(F.col("degraded"), 1)).alias("_degraded"))
+    # a cell has a record per tier; one tier's rows give the network's sums
+    one, whole = F.col("tier") == C.TIER_PPB[0][0], W.partitionBy("network")
+    return rows.withColumns({"n_t1": F.sum(F.when(one, F.col("_t1"))).over(whole), "degraded": F.sum(F.when(one, F.col("_degraded"))).over(whole)}).drop("_t1", "_degraded")
 
 
 @query("a23_backtest_records", "A23 A54", "network:i tier:s horizon:s n:i fired:i gates:i score:d exceeding:i lead:d primary_max:d any_max:d", """

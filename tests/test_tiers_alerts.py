@@ -364,3 +364,26 @@ def test_a_timer_reads_what_is_due(monkeypatch):
                 assert all(handle.map[k] == before[k] for k in behind) and handle.map.read <= len(before) - len(behind)
         assert got == sorted(got) and set(got) == {r for r in sent if r[0] < now * 1000} and len(got) == len(set(got))
         assert handle.timers or not handle.map
+
+
+def test_tier_cells_shuffle_readings_and_not_what_they_open_into(spark, hourly):
+    obs = base_features(conform(spark.createDataFrame(hourly), OBS))
+    plan = T.tier_cells(obs, C.stations(spark), ["network"])._jdf.queryExecution().executedPlan().toString()
+    own = [line for line in plan.splitlines() if ":" not in line.split("+-")[0]]  # without subqueries
+    first = next(k for k, line in enumerate(own) if "Generate inline" in line)
+    assert not [line for line in own[:first] if "Exchange" in line or "Join" in line]
+
+
+def test_tier_cells_do_not_depend_on_chunks(spark, hourly):
+    obs = base_features(conform(spark.createDataFrame(hourly), OBS))
+    a = T.tier_cells(obs, C.stations(spark), ["network"])
+    b = T.tier_cells(obs.repartition(7), C.stations(spark), ["network"], seconds=86400)
+    cols = ["network", "evaluated_at", "horizon", "gate_tier_1", "gate_tier_2", "gate_tier_3", "n_t1", "n_active", "primary_max", "any_max", "first_tier_1", F.round("score_tier_1", 9).alias("s")]
+    assert a.count() == b.count() > 0 and a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_tasks_follow_the_size_of_the_input(spark):
+    from airq.operators.dims import parts_for
+
+    few, many = spark.range(1000), spark.range(10_000_000)
+    assert parts_for(many, 1 << 20) > parts_for(few, 1 << 20) == parts_for(spark.createDataFrame([(1,)], "a int"), 1)
