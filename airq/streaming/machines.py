@@ -24,7 +24,9 @@ EVENT_SCHEMA = "network bigint, site_name string, tier string, trigger string, e
 class WaitingRows(StatefulProcessor):
     """Keeps rows until the watermark passes them, with one timer per key and batch.
 
-    Waiting rows lie in parts of a map state, keyed by the time of a part's first row. Whatever timer fires, the
+    A key's memory, its waiting rows while they are few, and the times of its parts lie in one value, read and
+    written once per call: a call to the state costs more than the rows of most keys. Where more rows wait, they
+    lie in parts of a map state, keyed by the time of a part's first row. Whatever timer fires, the
     keys tell which parts have begun before the watermark; only those are read, all rows due are
     handled in time order, and what such parts hold beyond the watermark goes back as one part. So a timer
     costs as much as the rows it handles and those of the parts that it cuts, however many wait behind. One timer
@@ -32,23 +34,29 @@ class WaitingRows(StatefulProcessor):
     a key whose rows are handled keeps its memory alone.
     """
 
-    #: Rows of a part at least, parts of one key's rows of a batch at most.
+    #: Rows of a part at least and beside the memory at most, parts of one key's rows of a batch at most.
     LEAST, PARTS = 64, 16
 
     def init(self, handle):
         self.handle = handle
         self.pending = handle.getMapState("pending", "t bigint, part bigint", "rows string")
-        self.parts = handle.getValueState("parts", "part bigint")
-        self.memory = handle.getValueState("memory", "body string")
-
-    def keep(self, rows):
-        """Puts rows in time order away in parts."""
-        part = self.parts.get()[0] if self.parts.exists() else 0
+        self.held = handle.getValueState("held", "body string")
+
+    def load(self):
+        """A key's memory, rows beside it, parts and the number of the last one."""
+        value = self.held.get()
+        return json.loads(value[0]) if value else {"memory": None, "few": [], "parts": [], "last": 0}
+
+    def keep(self, held, rows):
+        """Puts rows in time order away: beside the memory while all are few, else in parts."""
+        if len(held["few"]) + len(rows) <= self.LEAST:
+            held["few"] += rows
+            return
         size = max(self.LEAST, -(-len(rows) // self.PARTS))
         for k in range(0, len(rows), size):
-            part += 1
-            self.pending.updateValue((rows[k][0], part), (json.dumps(rows[k : k + size]),))
-        self.parts.update((part,))
+            held["last"] += 1
+            held["parts"].append((rows[k][0], held["last"]))
+            self.pending.updateValue(held["parts"][-1], (json.dumps(rows[k : k + size]),))
 
     def handleInputRows(self, key, rows, timerValues):
         fresh = []
@@ -56,43 +64,44 @@ class WaitingRows(StatefulProcessor):
             fresh += list(zip((int(t) for t in pdf["t"]), pdf["body"]))
         if fresh:
             fresh.sort()
-            self.keep(fresh)
+            held = self.load()
+            self.keep(held, fresh)
+            self.held.update((json.dumps(held),))
             self.handle.registerTimer(fresh[0][0] // 1000 + 1)
-        yield pd.DataFrame()
+        return iter(())
 
-    def take(self, now):
+    def take(self, held, now):
         """(rows before ``now`` in time order, time of the earliest row or part that is left)."""
-        begun, behind = [], []
-        for k in self.pending.keys():
-            (begun if k[0] < now else behind).append((int(k[0]), int(k[1])))
-        waiting = []
-        if not behind:
-            for _, value in self.pending.iterator() if begun else ():
-                waiting += json.loads(value[0])
-            self.pending.clear()
-        else:
-            for k in begun:
+        waiting, behind = held["few"], []
+        for k in map(tuple, held["parts"]):
+            if k[0] < now:
                 waiting += json.loads(self.pending.getValue(k)[0])
                 self.pending.removeKey(k)
+            else:
+                behind.append(k)
         waiting = sorted((int(t), body) for t, body in waiting)
         due = [r for r in waiting if r[0] < now]
         later = waiting[len(due):]
+        held.update(few=[], parts=behind)
         if later:
-            self.keep(later)
+            self.keep(held, later)
         first = [t for t, _ in behind] + [t for t, _ in later[:1]]
         return due, min(first, default=None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        due, left = self.take(now)
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else self.start()
-        out, wake = self.advance(memory, due, now)
-        self.memory.update((json.dumps(memory),))
+        held = self.load()
+        due, left = self.take(held, now)
+        if held["memory"] is None:
+            held["memory"] = self.start()
+        out, wake = self.advance(held["memory"], due, now)
+        self.held.update((json.dumps(held),))
         if left is not None:
             wake = min(wake, left // 1000 + 1) if wake is not None else left // 1000 + 1
         if wake is not None:
             self.handle.registerTimer(wake)
-        yield self.frame(key, out) if out else pd.DataFrame()
+        if out:
+            yield self.frame(key, out)
 
     def close(self):
         pass

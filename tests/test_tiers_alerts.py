@@ -366,6 +366,44 @@ def test_a_timer_reads_what_is_due(monkeypatch):
         assert handle.timers or not handle.map
 
 
+def test_few_waiting_rows_cost_few_calls_to_the_state():
+    """Rows that come and are handled take a read and a write of one value each time, whatever they hold; an event is told in full."""
+    calls, asked = [], 0
+
+    class Counted(FakeHandle):
+        def getMapState(self, *a):
+            calls.append(super().getMapState(*a))
+            for name in ("updateValue", "getValue", "removeKey", "iterator", "keys", "clear"):
+                setattr(calls[0], name, lambda *a, n=name: pytest.fail(n))
+            return calls[0]
+
+        def getValueState(self, *a):
+            value = super().getValueState(*a)
+            calls.append(value)
+            for name in ("exists", "get", "update"):
+                def count(*a, f=getattr(value, name)):
+                    nonlocal asked
+                    asked += 1
+                    return f(*a)
+                setattr(value, name, count)
+            return value
+
+    class At:
+        def __init__(self, us):
+            self.us = us
+
+        def getCurrentWatermarkInMs(self):
+            return self.us // 1000
+
+    hour, machine, handle = SM.HOUR_US, SM.ExceedanceMachine(), Counted()
+    machine.init(handle)
+    rows = pd.DataFrame([(k * hour // 2, "") for k in range(1, 41)], columns=["t", "body"])
+    assert list(machine.handleInputRows((1, "s", "watch"), iter([rows]), At(0))) == [] and asked == 2
+    (told,) = machine.handleExpiredTimer((1, "s", "watch"), At(30 * hour), None)
+    assert list(told["trigger"]) == ["onset", "summary"] and asked == 4
+    assert list(machine.handleExpiredTimer((1, "s", "watch"), At(31 * hour), None)) == []
+
+
 def test_tier_cells_shuffle_readings_and_not_what_they_open_into(spark, hourly):
     obs = base_features(conform(spark.createDataFrame(hourly), OBS))
     plan = T.tier_cells(obs, C.stations(spark), ["network"])._jdf.queryExecution().executedPlan().toString()
