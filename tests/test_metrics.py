@@ -118,6 +118,43 @@ def test_scoring_keeps_rows_with_missing_features(spark):
     assert pred.count() == 3 * 75 and scores.count() == 3
 
 
+def test_both_learners_pass_over_rows_assembled_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def looked_at(v):
+        seen.add(1)
+        return v
+
+    df = spark.range(300).select((F.col("id") % 50).cast("double").alias("x"), looked_at((F.col("id") % 7).cast("double")).alias("z"))
+    models = Z.fit_pair(df, "regression", "x", ["x", "z"], Z.TreeSettings(trees=3, depth=3))
+    # the first pass of a fit looks at a few rows of the first partition, to learn the width of a vector
+    assert [type(m.stages[-1]).__name__ for m in models] == ["RandomForestRegressionModel", "GBTRegressionModel"] and seen.value <= 2 * 300
+
+
+def test_variants_of_a_station_share_a_split_and_give_what_each_gives_alone(spark, monkeypatch):
+    rows = [(i, "s", float(i * 37 % 50), float(i % 11), float(i * 37 % 50), int(i * 37 % 50 > 30)) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id bigint, site_name string, x double, z double, h2s double, hit int").withColumn("obs_time", F.timestamp_seconds("event_id"))
+    settings, tasks = Z.TreeSettings(trees=2, depth=2), [("regression", "h2s"), ("clf_30ppb", "hit")]
+    values = lambda one: sorted(map(tuple, one[1].collect()))
+    alone = {("both", t): values(one) for t, one in Z.train_station(df, "s", ["x", "z"], tasks, settings=settings).items()}
+    alone |= {("one", t): values(one) for t, one in Z.train_station(df, "s", ["z"], tasks, settings=settings).items()}
+    splits, split = [], Z.chronological_split
+    monkeypatch.setattr(Z, "chronological_split", lambda *a, **k: splits.append(a) or split(*a, **k))
+    fitted = Z.train_variants(df, "s", {"both": ["x", "z"], "one": ["z"]}, tasks, settings=settings, keep=["event_id"])
+    assert len(splits) == 1 and list(fitted) == list(alone) and {k: values(one) for k, one in fitted.items()} == alone
+    assert set(fitted["one", "regression"][3].columns) == {"event_id", "h2s", "a", "b", "prediction"} and fitted["one", "regression"][3].count() == 80
+
+
+def test_work_side_by_side_keeps_its_order_and_raises(spark):
+    import threading
+
+    both = threading.Barrier(2)
+    assert Z.side_by_side(spark, lambda k: (both.wait(20), k)[1], [1, 2]) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        Z.side_by_side(spark, lambda k: 1 // k, [1, 0])
+
+
 def test_each_task_has_its_own_selection_metrics(spark):
     df = spark.createDataFrame([(1.0, 1.0)], "x double, h2s double")
     with pytest.raises(ValueError):
