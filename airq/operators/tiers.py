@@ -103,7 +103,7 @@ def contributions(cell: str, weights: dict[str, float], single: Column) -> Colum
 
 
 def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str = "obs_time", h2s: str = "h2s",
-               primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION, seconds: int = 7 * 86400) -> DataFrame:
+               primary: str = C.PRIMARY_STATION, backup: str = C.BACKUP_STATION, seconds: int = 7 * 86400, chunk_as: str | None = None) -> DataFrame:
     """One row per evaluation hour and horizon: gates, bellwether features, scores, labels.
 
     A station without rows in a window borrows the met window: the primary
@@ -115,7 +115,8 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
     labels (maxima, exceedances, first times) are those of its own readings.
 
     Readings and the groups' first and last hours are shuffled by group and time chunk; all
-    that they open into is aggregated behind that exchange.
+    that they open into is aggregated behind that exchange. ``chunk_as`` names a column for the time chunk, for what is done per
+    group and chunk next without another exchange.
     """
     known = obs.join(stations.select("site_name"), "site_name", "left_semi")
     facts = group_facts(known, group, time, h2s, primary)
@@ -176,7 +177,8 @@ def tier_cells(obs: DataFrame, stations: DataFrame, group: list[str], time: str
     return d.withColumns({f"score_{t}": score("bell", C.TIER_WEIGHTS[t], single) for t, _ in C.TIER_PPB}).select(
         *group, "evaluated_at", "horizon", *[f"gate_{t}" for t, _ in C.TIER_PPB], *[f"score_{t}" for t, _ in C.TIER_PPB], "n_t1", "n_active",
         "degraded", "single_station_mode", "daytime_horizon", "primary_known", "bell_known", "primary_max", "backup_max", "any_max",
-        *[f"exceeding_{t}" for t, _ in C.TIER_PPB], *[f"first_{t}" for t, _ in C.TIER_PPB], *[f"bell_{k}" for k in keep])
+        *[f"exceeding_{t}" for t, _ in C.TIER_PPB], *[f"first_{t}" for t, _ in C.TIER_PPB], *[f"bell_{k}" for k in keep],
+        *([c("_chunk").alias(chunk_as)] if chunk_as else []))
 
 
 def backtest(cells: DataFrame, group: list[str], threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:

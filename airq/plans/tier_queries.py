@@ -235,7 +235,9 @@ SELECT network, tier, horizon, count(*) cycles, count(CASE WHEN fired AND (NOT c
           max(CASE WHEN fired THEN evaluated_at END) OVER (PARTITION BY network, tier, horizon ORDER BY evaluated_at) lastf FROM rec))))
 GROUP BY network, tier, horizon""", RECORDS)
 def _(i):
-    d = L.debounce(T.backtest(_tier_cells(i), G), ["network", "tier", "horizon"])
+    # the cells' chunks are the blocks of the scan, so a block's records are where its cells were made
+    rows = T.backtest(T.tier_cells(_obs(i), C.stations(i.spark), G, chunk_as="week"), G, keep=["week"])
+    d = L.debounce(rows.select("network", "tier", "horizon", "evaluated_at", "fired", "score", "week"), ["network", "tier", "horizon"], block="week")
     return d.groupBy("network", "tier", "horizon").agg(
         F.count("*").alias("cycles"), F.count(F.when(F.col("send_onset"), 1)).alias("onsets"), F.count(F.when(F.col("active"), 1)).alias("active"),
         F.sum("clear_cycles").alias("clear_cycles"))

@@ -425,3 +425,24 @@ def test_tasks_follow_the_size_of_the_input(spark):
 
     few, many = spark.range(1000), spark.range(10_000_000)
     assert parts_for(many, 1 << 20) > parts_for(few, 1 << 20) == parts_for(spark.createDataFrame([(1,)], "a int"), 1)
+
+
+def test_debounced_cells_are_computed_once(spark):
+    """One exchange of readings by group and chunk, and one of packed blocks by cell; no second reading of the history."""
+    from airq.plans import load_all
+    from airq.plans.registry import spark_queries
+
+    load_all()
+    plan = spark_queries()["w15_debounced_cells"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "SortMergeJoin" not in plan
+    by_block = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_block" in x]
+    assert not by_block
+
+
+def test_scan_takes_blocks_that_are_there(frame):
+    rows = [("a", f"2024-01-01 {h:02d}:00:00", h % 5 == 1, 0.1 + 0.3 * (h % 2)) for h in range(20)] + [(None, None, True, 0.9), (None, "2024-01-01 01:00:00", None, 0.1)]
+    d = frame(rows, "k string, evaluated_at timestamp, fired boolean, score double").withColumn("part", F.floor(F.hour("evaluated_at") / 6))
+    out = lambda x: {tuple(r) for r in x.select("k", "evaluated_at", "score", "last_fire", "clear_cycles", "active", "was_last", "was_active").collect()}
+    got = L.scan_cells(d, ["k"], block="part")
+    assert {r["part"] for r in got.collect()} == {0, 1, 2, 3, None}
+    assert out(got) == out(L.scan_cells(d, ["k"], seconds=6 * 3600)) and got.count() == 22
