@@ -208,3 +208,28 @@ def test_rollup_reads_changed_days_only(spark):
     assert r.refresh() == days
     del want[7]
     assert kept() == want | {3: (1, 1), 5: (150, 5), 8: (5, 1)} and r.changed() == ([], [])
+
+
+def test_training_queries_use_full_size_settings(spark, monkeypatch):
+    """Both queries train 500 trees a learner: forests 20 deep, boosted trees 6 deep, for classes 5."""
+    from airq.plans import load_all
+    from airq.plans.registry import spark_queries
+
+    load_all()
+    seen = []
+
+    def stop(*args, settings=Z.TreeSettings(), **how):
+        seen.append(settings)
+        raise InterruptedError
+
+    monkeypatch.setattr(Z, "train_variants", stop)
+    monkeypatch.setattr(Z, "ablation", stop)
+    for name in ("m01_station_training", "m08_feature_ablation"):
+        with pytest.raises(InterruptedError):
+            spark_queries()[name](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 2
+    for s in seen:
+        forest, boost, classes = Z._estimator("a", "regression", s), Z._estimator("b", "regression", s), Z._estimator("b", "clf_5ppb", s)
+        assert (forest.getNumTrees(), forest.getMaxDepth(), boost.getMaxIter(), boost.getMaxDepth(), classes.getMaxDepth()) == (500, 20, 500, 6, 5)
+    small = Z._estimator("b", "clf_5ppb", Z.TreeSettings(trees=3, depth=3))
+    assert (small.getMaxIter(), small.getMaxDepth()) == (3, 3)
